@@ -21,6 +21,11 @@ def hash_hex(seed: object, *parts: str | Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[c.cast("string") for c in columns]))
 
 
+def below(hash_column: Column, rate: float) -> Column:
+    """True for a share ``rate`` of hashes, compared as text without a conversion."""
+    return F.substring(hash_column, 1, HEX_DIGITS) < F.lit(f"{int(rate * 16**HEX_DIGITS):013x}")
+
+
 def hash_uniform(seed: object, *parts: str | Column) -> Column:
     """Uniform draw in [0, 1)."""
     digits = F.substring(hash_hex(seed, *parts), 1, HEX_DIGITS)

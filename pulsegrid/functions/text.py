@@ -14,7 +14,7 @@ NON_LETTER_PATTERN = r"(?U)[^a-zA-Z\s\x1c-\x1f]"
 TOKEN_PATTERN = r"\b\w\w+\b"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``, which may use it many times."""
     return F.transform(F.array(value), body)[0]
 
@@ -45,4 +45,4 @@ def ngrams(words: Column, sizes: tuple[int, ...] = (1, 2)) -> Column:
             joined = F.zip_with(joined, later, lambda a, b: F.concat(a, F.lit(" "), b))
         return joined if n == 1 else F.filter(joined, lambda g: g.isNotNull())
 
-    return _let(words, lambda w: F.concat(*[grams(w, n) for n in sizes]))
+    return let(words, lambda w: F.concat(*[grams(w, n) for n in sizes]))

@@ -10,19 +10,24 @@ from __future__ import annotations
 
 import json
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.functions.hashing import hash_hex, hash_uniform
+from pulsegrid.functions.hashing import below, hash_hex
 from pulsegrid.operators.quantiles import quantile_columns
 from pulsegrid.schemas import FEATURE_COLS
 
+# Workers get the functions below by value, so they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Model parameters and the Euler-Mascheroni constant.
 TREES = 100
 PSI = 256
@@ -73,16 +78,18 @@ def tree_samples(
     """
     key = [key] if isinstance(key, str) else list(key)
     n = df.count() if n_rows is None else n_rows
-    pool = df
+    pool = df.withColumn("_row", hash_hex(f"{seed}:pool", *key))
     if n > pool_rows:
-        pool = df.filter(hash_uniform(f"{seed}:pool", *key) < F.lit(pool_rows / n))
+        pool = pool.filter(below(F.col("_row"), pool_rows / n))
+    # Each tree hashes the short row hash rather than the key columns again.
     drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    drawn = drawn.withColumn("_draw", hash_hex(f"{seed}:tree", "tree", "_row"))
     rate = DRAW_MARGIN * psi / min(n, pool_rows) if n else 1.0
     if rate < 1.0:
-        drawn = drawn.filter(hash_uniform(f"{seed}:tree", "tree", *key) < F.lit(rate))
-    order = Window.partitionBy("tree").orderBy(hash_hex(f"{seed}:tree", "tree", *key), *key)
+        drawn = drawn.filter(below(F.col("_draw"), rate))
+    order = Window.partitionBy("tree").orderBy("_draw", *key)
     ranked = drawn.withColumn("_rank", F.row_number().over(order))
-    return ranked.filter(F.col("_rank") <= psi).drop("_rank")
+    return ranked.filter(F.col("_rank") <= psi).drop("_rank", "_row", "_draw")
 
 
 def grow_tree(rows: np.ndarray, max_depth: int, rng: np.random.Generator) -> list[tuple]:

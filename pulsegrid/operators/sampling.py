@@ -26,9 +26,12 @@ def _ceil(n: Column, fraction: float) -> Column:
     return F.ceil(n * F.lit(fraction))
 
 
-def _cutoff(df: DataFrame, key: Sequence[str], seed: object, size: Callable) -> DataFrame:
-    """One row: the largest (hash, key) still in the sample, NULL if it is empty."""
-    hashed = df.select(hash_hex(seed, *key).alias("_hash"), *key)
+def _cutoff(hashed: DataFrame, size: Callable[[Column], Column]) -> str | None:
+    """The largest hash still in the sample, or None for an empty sample.
+
+    Computed once and then used as a constant, so neither the two parts of a split
+    nor repeated actions on them search for it again.
+    """
     hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, PREFIX_DIGITS))
     # At most 16**PREFIX_DIGITS rows, so one task for the running sum is enough.
     upto = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
@@ -45,13 +48,13 @@ def _cutoff(df: DataFrame, key: Sequence[str], seed: object, size: Callable) ->
             size(F.sum("_n").over(overall)).alias("_k"),
         )
     )
-    edge = histogram.filter("_upto - _n < _k and _k <= _upto").select(
-        "_prefix", (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_rank")
-    )
-    ranked = hashed.join(F.broadcast(edge), "_prefix").withColumn(
-        "_row", F.row_number().over(Window.partitionBy("_prefix").orderBy("_hash", *key))
-    )
-    return ranked.filter("_row = _rank").agg(F.max(F.struct("_hash", *key)).alias("cutoff"))
+    edge = histogram.filter("_upto - _n < _k and _k <= _upto").first()
+    if edge is None:
+        return None
+    rank = edge._k - edge._upto + edge._n
+    place = F.row_number().over(Window.partitionBy("_prefix").orderBy("_hash"))
+    bucket = hashed.filter(F.col("_prefix") == edge._prefix).withColumn("_place", place)
+    return bucket.filter(F.col("_place") == rank).first()._hash
 
 
 def flag_sample(
@@ -67,9 +70,10 @@ def flag_sample(
     ``key`` must identify a row; the choice depends on it and the seed only.
     """
     key = [key] if isinstance(key, str) else list(key)
-    cutoff = _cutoff(df, key, seed, lambda n: (_ceil if round_up else _floor)(n, fraction))
-    own = F.struct(hash_hex(seed, *key).alias("_hash"), *key)
-    return df.withColumn(flag, F.coalesce(own <= cutoff.scalar(), F.lit(False)))
+    own = hash_hex(seed, *key)
+    size = _ceil if round_up else _floor
+    cutoff = _cutoff(df.select(own.alias("_hash")), lambda n: size(n, fraction))
+    return df.withColumn(flag, F.lit(False) if cutoff is None else own <= F.lit(cutoff))
 
 
 def exact_sample(

@@ -14,6 +14,7 @@ from pulsegrid.operators.textfeatures import MAX_FEATURES, fit_tfidf, map_label,
 # Label codes and solver limit.
 LABELS = {"positive": 1, "negative": 0}
 MAX_ITER = 1000
+TOLERANCE = 1e-6
 
 
 def binary_labels(df: DataFrame, column: str = "sentiment", out: str = "label") -> DataFrame:
@@ -34,23 +35,22 @@ def fit_sentiment(
     are not rescaled.
     """
     examples = df.select(F.col(text).alias("text"), F.col(label).cast("double").alias("label"))
-    missing = examples.filter("label is null").limit(1).count()
-    if missing:
-        raise ValueError("rows without a label: drop them or map their values first")
-    model = fit_tfidf(examples, "text", max_features=max_features)
+    n, labelled = examples.select(F.count("*"), F.count("label")).first()
+    if labelled < n:
+        raise ValueError(f"{n - labelled} rows without a label: drop them or map their values")
+    model = fit_tfidf(examples, "text", max_features=max_features, n_documents=n)
     vectors = examples.select("label", terms("text").alias("terms"))
     for stage in model.stages:
         vectors = stage.transform(vectors)
     # Solver passes read this again and again; lost blocks are recomputed.
     vectors = vectors.select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = vectors.count()
         classifier = LogisticRegression(
             maxIter=MAX_ITER,
             regParam=1.0 / (inverse_strength * n),
             elasticNetParam=0.0,
             standardization=False,
-            tol=1e-9,
+            tol=TOLERANCE,
         ).fit(vectors)
     finally:
         vectors.unpersist()

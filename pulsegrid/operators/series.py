@@ -41,40 +41,72 @@ class Axis:
         within = F.hour(order) * 3600 + F.minute(order) * 60 + F.second(order)
         return F.floor((days * 86_400 + within) / F.lit(self.step))
 
+    @property
+    def series(self) -> list[str]:
+        """Columns that tell series apart, none of them NULL."""
+        return [*(f"_key{i}" for i in range(len(self.keys))), "_nulls"] if self.keys else []
+
     def tag(self, df: DataFrame) -> DataFrame:
-        """Add ``_series`` (NULL keys form a series too), ``_pos`` and ``_seg``."""
-        series = F.struct(*self.keys) if self.keys else F.lit(0)
-        return df.withColumns({"_series": series, "_pos": self.position(df)}).withColumn(
-            "_seg", F.floor(F.col("_pos") / F.lit(self.segment))
-        )
+        """Add the ``series`` columns, ``_pos`` and ``_seg``.
+
+        Rows with a NULL key form a series too. Such a key is replaced by a default
+        and marked in ``_nulls``, so that plain equality joins find it.
+        """
+        added = {"_pos": self.position(df)}
+        for i, key in enumerate(self.keys):
+            added[f"_key{i}"] = F.coalesce(F.col(key), _default(df.schema[key].dataType))
+        if self.keys:
+            flags = [F.when(F.col(k).isNull(), 1 << i).otherwise(0) for i, k in enumerate(self.keys)]
+            added["_nulls"] = sum(flags[1:], flags[0])
+        tagged = df.withColumns(added).drop(*self.keys)
+        return tagged.withColumn("_seg", F.floor(F.col("_pos") / F.lit(self.segment)))
+
+    def restore(self, columns: Sequence[str]) -> list[Column]:
+        """The named columns of a tagged table, keys as they were.
+
+        Tagged tables hold each key once, so all that is derived from one needs the
+        same columns of it and can share its shuffle.
+        """
+        keys = {
+            k: F.when(F.col("_nulls").bitwiseAND(1 << i) == 0, F.col(f"_key{i}"))
+            for i, k in enumerate(self.keys)
+        }
+        return [keys[c].alias(c) if c in keys else F.col(c) for c in columns]
+
+
+def _default(data_type: T.DataType) -> Column:
+    calendar = isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    return F.lit("1970-01-01" if calendar else "0").cast(data_type)
 
 
 def _fill(df: DataFrame, columns: Sequence[str] | None, axis: Axis, forward: bool) -> DataFrame:
     columns = list(columns or [c for c in df.columns if c not in (axis.order, *axis.keys)])
-    rows = axis.tag(df)
+    # Shuffled once, up front: the per-segment table and the fill then share the
+    # shuffled rows, so whatever computed ``df`` does not run twice.
+    rows = axis.tag(df).repartition(*axis.series, "_seg")
     nearest = F.max_by if forward else F.min_by
 
     def directed(name: str) -> Column:
         return F.col(name).asc() if forward else F.col(name).desc()
 
     known = {c: F.when(F.col(c).isNotNull(), F.col(axis.order)) for c in columns}
-    ends = rows.groupBy("_series", "_seg").agg(
+    ends = rows.groupBy(*axis.series, "_seg").agg(
         *[nearest(c, known[c]).alias(c) for c in columns]
     )
     earlier = (
-        Window.partitionBy("_series")
+        Window.partitionBy(*axis.series)
         .orderBy(directed("_seg"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = ends.select(
-        "_series",
+        *axis.series,
         "_seg",
         *[F.last(c, ignorenulls=True).over(earlier).alias(f"_carried_{c}") for c in columns],
     )
     # Backward fill looks at rows in descending order: a frame up to
     # unboundedFollowing would be evaluated anew for each row.
     so_far = (
-        Window.partitionBy("_series", "_seg")
+        Window.partitionBy(*axis.series, "_seg")
         .orderBy(directed(axis.order))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -82,9 +114,8 @@ def _fill(df: DataFrame, columns: Sequence[str] | None, axis: Axis, forward: boo
         c: F.coalesce(F.last(c, ignorenulls=True).over(so_far), F.col(f"_carried_{c}"))
         for c in columns
     }
-    return rows.join(carried, ["_series", "_seg"], "left").select(
-        *[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns]
-    )
+    joined = rows.join(carried, [*axis.series, "_seg"], "left")
+    return joined.withColumns(filled).select(*axis.restore(df.columns))
 
 
 def ffill(df: DataFrame, columns: Sequence[str] | None = None, axis: Axis = Axis()) -> DataFrame:
@@ -101,16 +132,18 @@ def with_ordinal(df: DataFrame, axis: Axis, name: str = "ordinal") -> DataFrame:
     """Number the rows of each series 0, 1, 2, ... in order, segment by segment."""
     rows = axis.tag(df)
     earlier = (
-        Window.partitionBy("_series").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*axis.series).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        rows.groupBy("_series", "_seg")
+        rows.groupBy(*axis.series, "_seg")
         .agg(F.count("*").alias("_n"))
-        .select("_series", "_seg", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        .select(*axis.series, "_seg", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    )
+    here = F.row_number().over(Window.partitionBy(*axis.series, "_seg").orderBy(axis.order))
+    numbered = rows.join(offsets, [*axis.series, "_seg"])
+    return numbered.withColumn(name, F.col("_offset") + here - 1).select(
+        *axis.restore([*df.columns, name])
     )
-    here = F.row_number().over(Window.partitionBy("_series", "_seg").orderBy(axis.order))
-    numbered = rows.join(offsets, ["_series", "_seg"])
-    return numbered.select(*df.columns, (F.col("_offset") + here - 1).alias(name))
 
 
 def over_rows(
@@ -128,12 +161,11 @@ def over_rows(
         place >= axis.segment - back, F.array(F.col("_seg"), F.col("_seg") + 1)
     ).otherwise(F.array("_seg"))
     rows = rows.withColumn("_home", F.explode(homes))
-    window = Window.partitionBy("_series", "_home").orderBy(axis.order)
-    added = {n: c.alias(n) for n, c in build(window).items()}
-    kept = [c for c in df.columns if c not in added]
-    return rows.select(*kept, *added.values(), "_seg", "_home").filter("_seg = _home").drop(
-        "_seg", "_home"
-    )
+    window = Window.partitionBy(*axis.series, "_home").orderBy(axis.order)
+    added = dict(build(window))
+    # Filtered after the windows: copies serve as neighbours only.
+    own = rows.withColumns(added).filter("_seg = _home")
+    return own.select(*axis.restore([*df.columns, *[n for n in added if n not in df.columns]]))
 
 
 def rolling_mean(

@@ -9,7 +9,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.text import clean_text, ngrams, tokens
+from pulsegrid.functions.text import clean_text, let, ngrams, tokens
 
 # Fixed value: terms kept.
 MAX_FEATURES = 5000
@@ -33,23 +33,25 @@ def terms(text: str | Column) -> Column:
 def vocabulary(df: DataFrame, text: str, max_features: int = MAX_FEATURES) -> DataFrame:
     """Terms with the highest total count, ties by term: term, tf, df.
 
-    One pass and one shuffle: each document yields its terms once per use and once
-    more per distinct term, and both kinds are summed together before the shuffle,
-    so a term found in every document is no hot key.
+    One pass and one shuffle: each document yields its distinct terms, then all its
+    terms, and both are counted per term before the shuffle, so a term found in
+    every document is no hot key.
     """
 
-    def both(all_terms: Column) -> Column:
-        uses = F.transform(all_terms, lambda t: F.struct(t.alias("term"), F.lit(0).alias("doc")))
-        distinct = F.transform(
-            F.array_distinct(all_terms), lambda t: F.struct(t.alias("term"), F.lit(1).alias("doc"))
+    def twice(all_terms: Column) -> Column:
+        distinct = F.array_distinct(all_terms)
+        return F.struct(
+            F.size(distinct).alias("n_distinct"), F.concat(distinct, all_terms).alias("both")
         )
-        return F.concat(uses, distinct)
 
-    marked = df.select(F.transform(F.array(terms(text)), both)[0].alias("marked"))
+    documents = df.select(let(terms(text), twice).alias("d"))
+    uses = documents.select("d.n_distinct", F.posexplode("d.both").alias("place", "term"))
     return (
-        marked.select(F.inline("marked"))
-        .groupBy("term")
-        .agg(F.sum(1 - F.col("doc")).alias("tf"), F.sum("doc").alias("df"))
+        uses.groupBy("term")
+        .agg(
+            F.count_if(F.col("place") >= F.col("n_distinct")).alias("tf"),
+            F.count_if(F.col("place") < F.col("n_distinct")).alias("df"),
+        )
         .orderBy(F.desc("tf"), "term")
         .limit(max_features)
     )
@@ -76,14 +78,18 @@ class TfidfStages:
 
 
 def fit_tfidf(
-    df: DataFrame, text: str, terms_column: str = "terms", max_features: int = MAX_FEATURES
+    df: DataFrame,
+    text: str,
+    terms_column: str = "terms",
+    max_features: int = MAX_FEATURES,
+    n_documents: int | None = None,
 ) -> TfidfStages:
     """Learn vocabulary and weights ln((1 + n) / (1 + df)) + 1.
 
     The vocabulary, at most ``max_features`` rows, is part of the model and comes
     to the driver. MLlib's IDF stage lacks the + 1, hence the product stage.
     """
-    n = F.lit(df.count())
+    n = F.lit(df.count() if n_documents is None else n_documents)
     weight = F.log((1 + n) / (1 + F.col("df"))) + 1
     learned = vocabulary(df, text, max_features).select("term", weight.alias("weight")).collect()
     if not learned:

@@ -58,14 +58,19 @@ def cleaned(spark: SparkSession, folder: str, keys: tuple[str, ...] = ()) -> Dat
     return health.clean_telemetry(minute_telemetry(spark, folder), keys=keys)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written and read back, as the pipelines do between stages."""
+    spark = df.sparkSession
+    return read_table(spark, write_table(df, scratch_dir(spark, name)))
+
+
 def feature_table(spark: SparkSession, folder: str, keys: tuple[str, ...] = ()) -> DataFrame:
-    return features.engineer_features(cleaned(spark, folder, keys), series.Axis(keys=keys))
+    clean = stored(cleaned(spark, folder, keys), "cleaned")
+    return features.engineer_features(clean, series.Axis(keys=keys))
 
 
 def stored_features(spark: SparkSession, folder: str, keys: tuple[str, ...] = ()) -> DataFrame:
-    """The feature table written once, for jobs that read it several times."""
-    path = scratch_dir(spark, "features")
-    return read_table(spark, write_table(feature_table(spark, folder, keys), path))
+    return stored(feature_table(spark, folder, keys), "features")
 
 
 def with_score(df: DataFrame) -> DataFrame:
@@ -322,7 +327,7 @@ def q_holdout_table(spark, folder):
     prepared = sentiment.prepare_reviews(reviews_view(spark, folder))
     _, test = sampling.exact_split(prepared, sentiment.TEST_FRACTION, "doc_id", sentiment.SEED)
     test = test.select("doc_id", F.col("cleaned_review").alias("review"), "label")
-    return read_table(spark, write_table(test, scratch_dir(spark, "holdout")))
+    return stored(test, "holdout")
 
 
 def q_sentiment_stream(spark, folder):

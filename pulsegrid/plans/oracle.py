@@ -462,17 +462,18 @@ from (select *, {QUALITY} from counted)""",
   case when anomaly_rate_pct < 1 then 'NOMINAL' when anomaly_rate_pct < 5 then 'CAUTION'
     else 'ALERT' end as status from graded""",
     ),
-    "tree_samples": f"""with numbered as (
-  select event_id as seq, count(*) over () as n from events),
+    "tree_samples": f"""with hashed as (
+  select event_id as seq, {_hash("42:pool", "event_id")} as row_hash, count(*) over () as n
+  from events),
 pool as (
-  select * from numbered
-  where n <= 65536 or {_uniform("42:pool", "seq")} < 65536e0 / n),
+  select * from hashed
+  where n <= 65536 or cast('0x' || substr(row_hash, 1, 13) as bigint)
+    < floor(65536e0 / n * 4503599627370496e0)),
 drawn as (
-  select t.tree, seq, n from pool, (select cast(i as int) as tree from range(100) x(i)) t
-  where {_uniform("42:tree", "t.tree", "seq")} < 1024e0 / least(n, 65536))
+  select t.tree, seq, n, {_hash("42:tree", "t.tree", "row_hash")} as draw
+  from pool, (select cast(i as int) as tree from range(100) x(i)) t)
 select tree, seq from (
-  select tree, seq,
-    row_number() over (partition by tree order by {_hash("42:tree", "tree", "seq")}, seq) as rn
+  select tree, seq, row_number() over (partition by tree order by draw, seq) as rn
   from drawn) where rn <= 256""",
     "iforest_trees": _with(
         [
