@@ -262,7 +262,9 @@ def _score_column(model: IForestModel) -> Column:
 
     @F.pandas_udf("double")
     def score_batches(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for columns in batches:
+        for batch in batches:
+            # A single feature arrives as a series rather than a tuple of them.
+            columns = (batch,) if isinstance(batch, pd.Series) else batch
             rows = np.column_stack([c.to_numpy(dtype=float) for c in columns])
             known = ~np.isnan(rows).any(axis=1)
             result = np.full(len(rows), np.nan)

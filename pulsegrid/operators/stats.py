@@ -57,18 +57,20 @@ def sigma_outliers(
     df: DataFrame, columns: Sequence[str] = SIGMA_COLUMNS, k: float = SIGMAS
 ) -> DataFrame:
     """Per metric: mean, sample std, outliers, outliers in percent of all rows."""
-    spread = _spread(df, columns)
-    rows = [
-        F.struct(
-            F.lit(c).alias("metric"),
-            F.any_value(spread.getField(c).getField("mean")).alias("mean"),
-            F.any_value(spread.getField(c).getField("std")).alias("std"),
-            count_where(_is_outlier(spread, c, k)).alias("n_outliers"),
-            percent(count_where(_is_outlier(spread, c, k)), F.count("*")).alias("outlier_pct"),
+    flagged = flag_outliers(df, columns, k)
+    rows = []
+    for c in columns:
+        n_outliers = count_where(F.col(f"{c}_outlier"))
+        rows.append(
+            F.struct(
+                F.lit(c).alias("metric"),
+                F.avg(c).alias("mean"),
+                F.stddev_samp(c).alias("std"),
+                n_outliers.alias("n_outliers"),
+                percent(n_outliers, F.count("*")).alias("outlier_pct"),
+            )
         )
-        for c in columns
-    ]
-    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    return flagged.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def simple_report(df: DataFrame, k: float = SIGMAS) -> DataFrame:
@@ -77,12 +79,11 @@ def simple_report(df: DataFrame, k: float = SIGMAS) -> DataFrame:
     The overall rate adds the outliers of both metrics, so a row outlying on both
     counts twice.
     """
-    spread = _spread(df, SIGMA_COLUMNS)
-    counted = df.agg(
+    counted = flag_outliers(df, SIGMA_COLUMNS, k).agg(
         F.count("*").alias("total_samples"),
         *averages(),
-        count_where(_is_outlier(spread, "temperature", k)).alias("temp_anomalies"),
-        count_where(_is_outlier(spread, "voltage", k)).alias("voltage_anomalies"),
+        count_where(F.col("temperature_outlier")).alias("temp_anomalies"),
+        count_where(F.col("voltage_outlier")).alias("voltage_anomalies"),
     )
     total = F.col("total_samples")
     both = F.col("temp_anomalies") + F.col("voltage_anomalies")
