@@ -177,11 +177,17 @@ class IForestModel:
         leaf = nodes["feature"].to_numpy() < 0
         depth = nodes["depth"].to_numpy(dtype=float)
         return {
-            "roots": roots.astype(np.int32),
-            "feature": np.where(leaf, 0, nodes["feature"]).astype(np.int32),
+            "roots": roots,
+            "feature": np.where(leaf, 0, nodes["feature"]),
             "threshold": nodes["threshold"].to_numpy(dtype=float),
-            "left": np.where(leaf, own, base + nodes["left"]).astype(np.int32),
-            "right": np.where(leaf, own, base + nodes["right"]).astype(np.int32),
+            # Both children of node i, left then right, at 2 * i.
+            "children": np.stack(
+                [
+                    np.where(leaf, own, base + nodes["left"]),
+                    np.where(leaf, own, base + nodes["right"]),
+                ],
+                axis=1,
+            ).ravel(),
             "length": np.where(leaf, depth + average_path(nodes["n"]), 0.0),
             "levels": np.array(int(depth.max()) if len(depth) else 0),
         }
@@ -190,13 +196,15 @@ class IForestModel:
 def path_lengths(forest: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
     """Mean path length of each row over all trees."""
     total = np.zeros(len(rows))
-    index = np.arange(len(rows))
+    values = np.ascontiguousarray(rows).ravel()
+    first = np.arange(len(rows)) * rows.shape[1]
     for root in forest["roots"]:
-        at = np.full(len(rows), root, dtype=np.int32)
+        at = np.full(len(rows), root)
         for _ in range(int(forest["levels"])):
-            left = rows[index, forest["feature"][at]] <= forest["threshold"][at]
-            at = np.where(left, forest["left"][at], forest["right"][at])
-        total += forest["length"][at]
+            value = values.take(first + forest["feature"].take(at))
+            right = value > forest["threshold"].take(at)
+            at = forest["children"].take(2 * at + right)
+        total += forest["length"].take(at)
     return total / max(len(forest["roots"]), 1)
 
 

@@ -19,8 +19,8 @@ from pulsegrid.operators.sentiment import sentiment_columns
 from pulsegrid.plans import health, sentiment
 from pulsegrid.schemas import FEATURE_COLS, LABEL, METRICS, TELEMETRY, TIMESTAMP
 from pulsegrid.session import scratch_dir
-from pulsegrid.sources.tables import read_table, write_table
-from pulsegrid.sources.views import documents, reviews_view, telemetry_view
+from pulsegrid.sources.tables import read_table, report_text, write_table
+from pulsegrid.sources.views import documents, pages, reviews_view, telemetry_view
 from pulsegrid.streaming.reviews import read_review_stream, start_predictions
 
 UNITS = 1e6
@@ -263,13 +263,11 @@ def q_clean_text(spark, folder):
 
 
 def q_strip_html(spark, folder):
-    pages = spark.read.parquet(f"{folder}/pages.parquet")
-    return pages.select("page_id", strip_tags(F.col("html")).alias("text"))
+    return pages(spark, folder).select("page_id", strip_tags(F.col("html")).alias("text"))
 
 
 def q_clean_html(spark, folder):
-    pages = spark.read.parquet(f"{folder}/pages.parquet")
-    return pages.select("page_id", clean_text(F.col("html")).alias("text"))
+    return pages(spark, folder).select("page_id", clean_text(F.col("html")).alias("text"))
 
 
 def q_map_label(spark, folder):
@@ -374,8 +372,6 @@ def q_parquet_round_trip(spark, folder):
 
 
 def q_report_text(spark, folder):
-    from pulsegrid.sources.tables import report_text
-
     report = stats.simple_report(telemetry_view(spark, folder))
     report = report.select("total_samples", "temp_anomalies", "temp_anomaly_pct", "status")
     return report.select(report_text(report).alias("report"))
