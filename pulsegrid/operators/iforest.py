@@ -20,6 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from pulsegrid.functions.hashing import below, hash_hex
 from pulsegrid.operators.quantiles import quantile_columns
@@ -241,10 +242,14 @@ def fit_iforest(
     params = {"trees": trees, "seed": str(seed), "contamination": contamination}
     model = IForestModel(nodes, list(features), size, None, params)
     if contamination is not None:
-        scores = score(rows, model).select("anomaly_score")
-        model.offset = contamination_threshold(
-            scores, contamination, approximate=approximate_offset
-        ).first()["threshold"]
+        # Scoring is the costly part, so passes over the scores share one run of it.
+        scores = score(rows, model).select("anomaly_score").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model.offset = contamination_threshold(
+                scores, contamination, approximate=approximate_offset
+            ).first()["threshold"]
+        finally:
+            scores.unpersist()
     return model
 
 

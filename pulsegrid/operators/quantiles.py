@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-IN_MEMORY_ROWS = 5_000_000
+IN_MEMORY_ROWS = 2_000_000
 ACCURACY = 10_000
 
 
@@ -53,14 +53,18 @@ def exact_quantiles(
     if n == 0:
         return [None] * len(probabilities)
     answers = []
-    found: dict[int, float] = {}
     for p in probabilities:
         place = p * (n - 1)
-        low, high = math.floor(place), math.ceil(place)
-        for rank in (low, high):
-            if rank not in found:
-                found[rank] = _value_at(values, rank, n, limit)
-        answers.append(found[low] + (found[high] - found[low]) * (place - low))
+        rank = math.floor(place)
+        low = high = _value_at(values, rank, n, limit)
+        if place > rank:
+            # The next value: the same one if it is repeated, else the next larger.
+            beyond = F.col("v") > low
+            upto, larger = values.select(
+                F.count_if(~beyond), F.min(F.when(beyond, F.col("v")))
+            ).first()
+            high = low if upto > rank + 1 else larger
+        answers.append(low + (high - low) * (place - rank))
     return answers
 
 
