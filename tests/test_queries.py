@@ -1,4 +1,4 @@
-"""Every registered query against its SQL twin on the smallest tables."""
+"""Every registered query that has an SQL twin against it, on the smallest tables."""
 
 import glob
 import os
@@ -26,12 +26,12 @@ def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+# The queries without a twin fit models; the forest, text and pipeline tests cover them.
+@pytest.mark.parametrize("name", list(ORACLE))
 def test_query(spark, db, name):
     ours = QUERIES[name](spark, FOLDER).toArrow()
     assert ours.num_rows > 0
-    if name in ORACLE:
-        assert compare(ours, db.sql(ORACLE[name]).to_arrow_table()) == "ok"
+    assert compare(ours, db.sql(ORACLE[name]).to_arrow_table()) == "ok"
 
 
 def test_entry(spark):
