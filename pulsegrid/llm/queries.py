@@ -88,7 +88,7 @@ with v as (
     select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
     where embedding is not null and len(embedding) > 0
       and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-), s as (
+), s as materialized (
     select a.vec_id as query_id, b.vec_id, list_inner_product(a.q, b.q)::bigint as score
     from v a join v b on a.vec_id <> b.vec_id and len(a.q) = len(b.q) where a.vec_id % 50 = 0
 ), r as (
@@ -100,16 +100,16 @@ with recursive w as (
     select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
     from documents
-), s as (
+), s as materialized (
     select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
         else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
     from w
-), nodes as (select doc_id, len(s)::bigint as n from s
-), flat as (select doc_id, hash(unnest(s)) as sh from s
+), nodes as materialized (select doc_id, len(s)::bigint as n from s
+), flat as materialized (select doc_id, hash(unnest(s)) as sh from s
 ), pairs as (
     select a.doc_id as x, b.doc_id as y, count(*) as c from flat a join flat b using (sh)
     where a.doc_id <> b.doc_id group by all
-), links as (
+), links as materialized (
     select x, y from pairs join nodes a on a.doc_id = x join nodes b on b.doc_id = y
     where 100 * c >= 85 * (a.n + b.n - c)
 ), """ + REACH.format(id="doc_id") + """
@@ -133,7 +133,7 @@ with recursive nodes as (
         and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         and len(list_filter(embedding, lambda x: x <> 0)) > 0 as fits
     from embeddings
-), links as (
+), links as materialized (
     select a.vec_id as x, b.vec_id as y from nodes a join nodes b
     on a.label = b.label and a.vec_id <> b.vec_id and a.fits and b.fits and len(a.e) = len(b.e)
     where list_cosine_similarity(a.e, b.e) >= 0.98

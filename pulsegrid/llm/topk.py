@@ -29,7 +29,8 @@ from pulsegrid.llm.common import named, stored
 
 LEVELS = (1, 4, 16)
 BLOCK_ROWS = 16_384
-FIRST_LOOK = 64
+FIRST_LOOK = 32
+TOGETHER = 64
 EXACT_DOUBLE = 2.0**53
 
 
@@ -74,33 +75,37 @@ class Block:
             return (self.floats[at] @ query.astype(float)).astype(np.int64)
         return (self.rows[at] * query).sum(axis=1)
 
-    def best(self, query_id: int, query: np.ndarray, k: int, coarse: np.ndarray, finer) -> tuple:
-        """Ids and scores of the k best rows for one query."""
-        slack = 1e-9 * (1.0 + float(np.sqrt((query.astype(float) ** 2).sum())) * self.norms.max(initial=0))
-        at, bound = np.arange(len(self.ids)), coarse
-        at = at[self.ids != query_id]
-        bound = bound[self.ids != query_id]
-        found, scores, floor = np.zeros(0, np.int64), np.zeros(0, np.int64), -np.inf
-        for level in range(len(self.levels)):
-            if level:
-                bound = self.statistics[level][at] @ finer[level]
+    def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple]:
+        """Of each query its id, and the ids and scores of its k best rows."""
+        floats = queries.astype(float)
+        lengths = np.sqrt((floats**2).sum(axis=1))
+        slack = 1e-9 * (1.0 + lengths * self.norms.max(initial=0))
+        floor = np.full(len(queries), -np.inf)
+        scores = [np.zeros(0, np.int64)] * len(queries)
+        found = [np.zeros(0, np.int64)] * len(queries)
+        columns = np.arange(len(self.ids))
+        for level, rows in zip(self.levels, self.statistics):
+            bounds = segment_statistics(floats, level) @ rows[columns].T
             # Exact scores of the most promising rows raise the floor for the others.
-            look = FIRST_LOOK if level < len(self.levels) - 1 else max(FIRST_LOOK, k)
-            if len(at) > look:
-                first = np.argpartition(-bound, look - 1)[:look]
-            else:
-                first = np.arange(len(at))
-            found = np.concatenate([found, at[first]])
-            scores = np.concatenate([scores, self.scores(at[first], query)])
-            if len(scores) >= k:
-                floor = np.partition(scores, len(scores) - k)[len(scores) - k]
-            left = bound >= floor - slack
-            left[first] = False
-            at, bound = at[left], bound[left]
-        found = np.concatenate([found, at])
-        scores = np.concatenate([scores, self.scores(at, query)])
-        top = np.lexsort((self.ids[found], -scores))[:k]
-        return self.ids[found[top]], scores[top]
+            look = min(max(FIRST_LOOK, k + 1), len(columns))
+            first = np.argpartition(bounds, len(columns) - look, axis=1)[:, len(columns) - look :]
+            for i in range(len(queries)):
+                at = np.setdiff1d(columns[first[i]], found[i], assume_unique=True)
+                at = at[self.ids[at] != query_ids[i]]
+                found[i] = np.concatenate([found[i], at])
+                scores[i] = np.concatenate([scores[i], self.scores(at, queries[i])])
+                if len(scores[i]) >= k:
+                    floor[i] = np.partition(scores[i], len(scores[i]) - k)[len(scores[i]) - k]
+            alive = bounds >= (floor - slack)[:, None]
+            some = alive.any(axis=0)
+            columns, alive = columns[some], alive[:, some]
+        for i in range(len(queries)):
+            at = np.setdiff1d(columns[alive[i]], found[i], assume_unique=True)
+            at = at[self.ids[at] != query_ids[i]]
+            at = np.concatenate([found[i], at])
+            exact = np.concatenate([scores[i], self.scores(at[len(found[i]) :], queries[i])])
+            top = np.lexsort((self.ids[at], -exact))[:k]
+            yield query_ids[i], self.ids[at[top]], exact[top]
 
 
 def _search(k: int, levels: tuple):
@@ -123,11 +128,12 @@ def _search(k: int, levels: tuple):
                     block = blocks.get(length)
                     if block is None:
                         continue
-                    stats = [segment_statistics(vectors.astype(float), s) for s in levels]
-                    for i in range(len(ids)):
-                        coarse = block.statistics[0] @ stats[0][i]
-                        got, scores = block.best(ids[i], vectors[i], k, coarse, [s[i] for s in stats])
-                        out.append(pd.DataFrame({"query_id": ids[i], "vec_id": got, "score": scores}))
+                    for at in range(0, len(ids), TOGETHER):
+                        found = block.best(ids[at : at + TOGETHER], vectors[at : at + TOGETHER], k)
+                        out += [
+                            pd.DataFrame({"query_id": i, "vec_id": got, "score": scores})
+                            for i, got, scores in found
+                        ]
                 if out:
                     yield pd.concat(out)
 

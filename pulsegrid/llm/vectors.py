@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -42,6 +43,7 @@ SIGMAS = 5.0
 CODE_TABLES = 4
 
 
+@lru_cache(maxsize=4096)
 def rotation(table: int, size: int) -> np.ndarray:
     """A random rotation of the given size, the same in every task."""
     rng = np.random.default_rng([table, size])
@@ -82,16 +84,28 @@ def estimates(left: tuple, right: tuple, size: int) -> tuple[np.ndarray, np.ndar
     return guess, SIGMAS * spread
 
 
-def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
-    """Positions (i, j) whose exact cosine reaches the threshold."""
-    units_a = a / np.linalg.norm(a, axis=1, keepdims=True)
-    units_b = b / np.linalg.norm(b, axis=1, keepdims=True)
-    guess, bound = estimates(codes(units_a), codes(units_b), a.shape[1])
-    at = np.argwhere(guess + bound[:, None] >= threshold)
-    x, y = a[at[:, 0]], b[at[:, 1]]
-    dots = np.einsum("ij,ij->i", x, y)
-    lengths = np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y))
-    return at[dots / lengths >= threshold]
+class Vectors:
+    """Vectors of one length with what the bounds and the exact cosine need."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows = rows
+        self.norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+        self.codes = codes(rows / self.norms[:, None])
+
+    def linked(self, left: np.ndarray, right: np.ndarray, threshold: float) -> tuple:
+        """Pairs of a left and a right position whose exact cosine reaches the threshold."""
+        one = tuple(x[left] for x in self.codes)
+        guess, bound = estimates(one, (self.codes[0][right],), self.rows.shape[1])
+        i, j = np.nonzero(guess + bound[:, None] >= threshold)
+        i, j = left[i], right[j]
+        if left is right:
+            # A pair has an estimate from either side; one of them suffices.
+            size = len(self.rows)
+            both = np.unique(np.minimum(i, j)[i != j] * size + np.maximum(i, j)[i != j])
+            i, j = both // size, both % size
+        dots = np.einsum("ij,ij->i", self.rows[i], self.rows[j])
+        near = dots / (self.norms[i] * self.norms[j]) >= threshold
+        return i[near], j[near]
 
 
 def _least(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
@@ -129,42 +143,33 @@ def _compare(threshold: float):
 
 def _pieces(rows: pd.DataFrame, threshold: float) -> Iterator[pd.DataFrame]:
     out = []
-    if len(rows):
-        keys = rows["piece"].to_numpy()
-        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-        for part in np.split(np.arange(len(rows)), cuts):
-            if len(part) > 1:
-                out += _piece(rows.iloc[part], threshold)
+    sizes = rows["vector"].map(len).to_numpy() if len(rows) else np.zeros(0)
+    for size in np.unique(sizes):  # a piece holds vectors of one length
+        part = rows[sizes == size]
+        known = Vectors(np.stack(part["vector"].to_numpy()).astype(float))
+        buckets = np.stack(part["buckets"].to_numpy())
+        piece, table, block, ids, copies = (
+            part[c].to_numpy() for c in ("piece", "tab", "block", "id", "copies")
+        )
+        cuts = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1], [True]]))
+        for a, b in zip(cuts, cuts[1:]):
+            if b - a < 2:
+                continue
+            at = np.arange(a, b)
+            blocks = np.unique(block[a:b])
+            sides = [at[block[a:b] == x] for x in (blocks[0], blocks[-1])] if len(blocks) > 1 else [at, at]
+            i, j = known.linked(*sides, threshold)
+            t = table[a]
+            first = ~(buckets[i, :t] == buckets[j, :t]).any(axis=1)
+            i, j = i[first], j[first]
+            if not len(i):
+                continue
+            counts = np.bincount(i - a, copies[j], b - a) + np.bincount(j - a, copies[i], b - a)
+            some = np.flatnonzero(counts)
+            least = _least(i - a, j - a, b - a)
+            out.append((ids[a + some], counts[some].astype(np.int64), ids[a + least[some]]))
     if out:
-        yield pd.concat(out)
-
-
-def _piece(part: pd.DataFrame, threshold: float) -> list[pd.DataFrame]:
-    """Links counted per row, and for each row one of its component in this piece."""
-    vectors = np.stack(part["vector"].to_numpy()).astype(float)
-    buckets = np.stack(part["buckets"].to_numpy())
-    table, block = int(part["tab"].iloc[0]), part["block"].to_numpy()
-    ids, sizes = part["id"].to_numpy(), part["copies"].to_numpy()
-    if (block == block[0]).all():
-        left = right = np.arange(len(part))
-    else:
-        left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
-    at = linked(vectors[left], vectors[right], threshold)
-    i, j = left[at[:, 0]], right[at[:, 1]]
-    if left is right:
-        # A pair has an estimate from either side; one of them suffices.
-        i, j = np.minimum(i, j), np.maximum(i, j)
-        both = np.unique(i[i != j] * len(part) + j[i != j])
-        i, j = both // len(part), both % len(part)
-    first = ~(buckets[i, :table] == buckets[j, :table]).any(axis=1)
-    i, j = i[first], j[first]
-    if not len(i):
-        return []
-    counts = np.bincount(i, sizes[j], len(part)) + np.bincount(j, sizes[i], len(part))
-    some = np.flatnonzero(counts)
-    least = _least(i, j, len(part))
-    found = {"id": ids[some], "links": counts[some].astype(np.int64), "other": ids[least[some]]}
-    return [pd.DataFrame(found)]
+        yield pd.DataFrame({c: np.concatenate(x) for c, x in zip(("id", "links", "other"), zip(*out))})
 
 
 def near_vectors(
