@@ -7,15 +7,18 @@ similarity reaches the threshold. The work goes in these steps:
 2. Each class gets ``trees * depth`` MinHash values. Tree t orders the classes by their
    values from t * depth on. A region is a run of one order with the first ``depth`` values
    in common. A pair at 0.85 shares no region of 24 trees with probability 1e-10.
-3. Inside a region neighbours share the longest prefixes. Rounds compare neighbours at
-   growing reach, so sparse regions are done at once and crowded ones go deeper, where only
-   neighbours with long common prefixes meet. The documents with most links so far are
-   compared with every row of their regions that has not joined them: they hold stars of
-   edited copies together.
+3. Inside a region neighbours share the longest prefixes. The first round compares direct
+   neighbours of a few orders, which joins most copies. The next ones compare each row with
+   the ``REACH`` rows behind it in all orders: a region of up to ``REACH + 1`` rows is then
+   compared in full, and in a crowded one only rows with long common prefixes meet, in each
+   order others. The rows with most links so far are compared with every row of their
+   regions that has not joined them, however many: they hold stars of edited copies together.
 4. A candidate must fit by size and by a sketch of one bit per MinHash value, and is then
    confirmed on the full sets. Pairs whose components are one already are left out. Rounds
-   go on until the reach covers every region that still holds several components and the
-   last round found nothing, so no region is cut short.
+   go on until one finds no new link.
+
+In regions beyond ``REACH + 1`` rows a lone link between two rows that no hub reaches can be
+missed; the README gives the share measured.
 
 Nothing emits all pairs of a group: what is already joined is not paired again. No links
 come to the driver. Rows without an id keep it null, link with nothing and are kept; rows
@@ -38,6 +41,7 @@ from pulsegrid.llm.shingles import WIDTH, minhash_seeds, shingle_set, signature
 
 TREES, DEPTH = 24, 3
 HUBS = 4
+REACH = 6
 SIGMAS = 6.5
 BROADCAST_IDS = 500_000
 FIRST_TREES = 4
@@ -230,9 +234,9 @@ def near_duplicates(
                 links = good if links is None else links.unionByName(good)
                 parts = stored(components(links), "parts")
             tested = pairs if tested is None else tested.unionByName(pairs)
-        if reach > 1 and not new and reach >= _open_reach(forest, parts):
+        if reach > 1 and not new:
             break
-        reach = reach * 4 if new or reach < 8 else reach * 2
+        reach = REACH
 
     if parts is None:
         joined = members.withColumn("component_id", F.col("rep"))
@@ -244,15 +248,3 @@ def near_duplicates(
     result = result.withColumn("component_id", F.coalesce("component_id", "id"))
     kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
     return result.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
-
-
-def _open_reach(forest: DataFrame, parts: DataFrame | None) -> int:
-    """The rows of the largest region that still holds several components."""
-    rows = forest.select("region", "id", "crowd")
-    if parts is not None:
-        rows = rows.join(parts.withColumnRenamed("node", "id"), "id", "left")
-        rows = rows.withColumn("id", F.coalesce("component", "id"))
-    spread = rows.groupBy("region").agg(
-        F.max("crowd").alias("crowd"), F.min("id").alias("low"), F.max("id").alias("high")
-    )
-    return spread.filter("low < high").agg(F.coalesce(F.max("crowd"), F.lit(0))).first()[0] - 1
