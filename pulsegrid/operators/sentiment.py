@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
@@ -18,8 +16,6 @@ LABELS = {"positive": 1, "negative": 0}
 MAX_ITER = 1000
 TOLERANCE = 1e-6
 
-ROWS_PER_TASK = 10_000
-
 
 def binary_labels(df: DataFrame, column: str = "sentiment", out: str = "label") -> DataFrame:
     return map_label(df, column, LABELS, out)
@@ -47,9 +43,6 @@ def fit_sentiment(
     for stage in model.stages:
         vectors = stage.transform(vectors)
     vectors = vectors.select("label", "features")
-    if n < ROWS_PER_TASK * df.sparkSession.sparkContext.defaultParallelism:
-        # The solver makes hundreds of passes; over few rows, tasks cost more than sums.
-        vectors = vectors.repartition(math.ceil(n / ROWS_PER_TASK))
     # Solver passes read this again and again; lost blocks are recomputed.
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:

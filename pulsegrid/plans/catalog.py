@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,12 +32,13 @@ ALL_COLUMNS = [TIMESTAMP, *METRICS, LABEL]
 
 def rounded(df: DataFrame) -> DataFrame:
     doubles = {f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)}
-    return df.select(
-        *[
-            (F.floor(F.col(c) * UNITS + 0.4999) / UNITS).alias(c) if c in doubles else c
-            for c in df.columns
-        ]
-    )
+    return df.select(*[short(F.col(c)).alias(c) if c in doubles else c for c in df.columns])
+
+
+def short(value: Column) -> Column:
+    """Six places; NaN, infinities and values that have no such places stay as they are."""
+    cut = F.floor(value * UNITS + 0.4999) / UNITS
+    return F.when(F.abs(value) < 2**53 / UNITS, cut).otherwise(value)
 
 
 # --- tables the queries share ---------------------------------------------------
@@ -95,22 +96,14 @@ def q_preview(spark, folder):
     return profile.preview(telemetry_view(spark, folder)).select("seq", *ALL_COLUMNS)
 
 
-def q_time_spine(spark, folder):
-    n = telemetry_view(spark, folder).count()
-    return generate.time_spine(spark, days=1, samples_per_day=n)
-
-
-def _gaussian(spark, folder):
-    return generate.gaussian_columns(telemetry_view(spark, folder).select("seq"))
-
-
 def q_exact_sample(spark, folder):
     readings = telemetry_view(spark, folder).select("seq", "user_id", "temperature")
     return sampling.exact_sample(readings, 0.05, "seq")
 
 
 def q_inject_faults(spark, folder):
-    return generate.inject_faults(_gaussian(spark, folder))
+    readings = telemetry_view(spark, folder).select("seq", *METRICS)
+    return generate.inject_faults(readings)
 
 
 def q_is_sorted(spark, folder):
@@ -212,7 +205,7 @@ def q_tree_samples(spark, folder):
 
 def _forest(spark, folder):
     table = stored_features(spark, folder, USER)
-    return table, iforest.fit_iforest(table, key=[*USER, TIMESTAMP], handle_invalid="skip")
+    return table, iforest.fit_iforest(table, key=[*USER, TIMESTAMP], handle_invalid="error")
 
 
 def q_iforest_trees(spark, folder):
@@ -382,7 +375,7 @@ def q_ml_health(spark, folder):
     raw = minute_telemetry(spark, folder).select(*USER, *ALL_COLUMNS).orderBy("seq")
     path = write_table(raw, scratch_dir(spark, "raw"))
     out = scratch_dir(spark, "health")
-    return health.run_ml_health(spark, path, out, keys=USER, handle_invalid="skip")["report"]
+    return health.run_ml_health(spark, path, out, keys=USER, handle_invalid="error")["report"]
 
 
 def _over_telemetry(operator, spark, folder):
@@ -406,8 +399,6 @@ def _plan() -> dict:
         "label_breakdown": telemetry(generate.label_breakdown),
         "describe": q_describe,
         "preview": q_preview,
-        "time_spine": q_time_spine,
-        "gaussian_columns": _gaussian,
         "exact_sample": q_exact_sample,
         "inject_faults": q_inject_faults,
         "null_counts": telemetry(lambda df: validate.null_counts(df, ALL_COLUMNS)),

@@ -5,7 +5,7 @@ Queries that fit a model on random subsamples or by an iterative solver have non
 
 from __future__ import annotations
 
-from pulsegrid.operators.generate import FAULTS, NORMAL_READINGS
+from pulsegrid.operators.generate import FAULTS
 from pulsegrid.schemas import FEATURE_COLS, METRICS
 
 TEL = """tel as (
@@ -121,21 +121,6 @@ def _uniform(seed: str, *parts: str) -> str:
     return f"(cast(cast('0x' || {digits} as bigint) as double) / 4503599627370496e0)"
 
 
-def _normal(seed: str, key: str) -> str:
-    return (
-        f"sqrt(-2e0 * ln(1e0 - {_uniform(seed + ':r', key)}))"
-        f" * cos(6.283185307179586e0 * {_uniform(seed + ':a', key)})"
-    )
-
-
-def _gaussian() -> str:
-    columns = ", ".join(
-        f"{mean}e0 + {std}e0 * {_normal(f'42:{name}', 'seq')} as {name}"
-        for name, (mean, std) in NORMAL_READINGS.items()
-    )
-    return f"gaussian as (select seq, {columns} from tel)"
-
-
 def _faulty() -> str:
     cells = []
     kinds = {column: (i, low, high) for i, (_, column, low, high) in enumerate(FAULTS)}
@@ -153,7 +138,7 @@ def _faulty() -> str:
     {_uniform("42:size", "seq")} as size,
     row_number() over (order by {_hash("42:rows", "seq")}, seq)
       <= floor(count(*) over () * 0.05e0) as chosen
-  from gaussian),
+  from tel),
 faulty as (
   select seq, {", ".join(cells)}, case when chosen then 1 else 0 end as is_anomaly from drawn)"""
 
@@ -290,10 +275,6 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "describe": _with([TEL], _describe()),
     "preview": _with([TEL], f"select seq, {ALL} from tel order by seq limit 5"),
-    "time_spine": """select i as seq,
-  timestamp '2024-01-01 00:00:00' + to_minutes(cast(i as int)) as "timestamp"
-from range((select count(*) from events)) t(i)""",
-    "gaussian_columns": _with([TEL, _gaussian()], f"select seq, {rs(METRICS)} from gaussian"),
     "exact_sample": _with(
         [TEL],
         f"""select seq, user_id, {r("temperature")} from (
@@ -301,7 +282,7 @@ from range((select count(*) from events)) t(i)""",
     floor(count(*) over () * 0.05e0) as k from tel) where rn <= k""",
     ),
     "inject_faults": _with(
-        [TEL, _gaussian(), _faulty()], f"select seq, {rs(METRICS)}, is_anomaly from faulty"
+        [TEL, _faulty()], f"select seq, {rs(METRICS)}, is_anomaly from faulty"
     ),
     "null_counts": _with([TEL], _null_counts()),
     "range_check": _with([TEL], _ranges()),

@@ -81,16 +81,6 @@ def _parse(field: T.StructField) -> Column:
     return present.cast(field.dataType).alias(field.name)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of fewer splits than the cluster has cores one part per core.
-
-    A table of so few splits is small enough to shuffle, and work that is heavy per
-    row, such as text, then uses all cores. Larger tables are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Write part files in parallel, replacing the table; returns the path."""
     writer = df.write.mode("overwrite")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.sources.tables import nan_columns_to_null, spread
+from pulsegrid.sources.tables import nan_columns_to_null
 
 
 def telemetry_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,11 +30,11 @@ def telemetry_view(spark: SparkSession, folder: str) -> DataFrame:
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     texts = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    return spread(texts).withColumnRenamed("text", "review")
+    return texts.withColumnRenamed("text", "review")
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "html"))
+    return spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "html")
 
 
 def reviews_view(spark: SparkSession, folder: str) -> DataFrame:

@@ -189,3 +189,12 @@ def test_detection_metrics(spark):
     row = evaluate.detection_metrics(df).first()
     assert tuple(row) == (2, 1, 1, 1, 0.5, 0.5)
     assert tuple(evaluate.detection_metrics(df.drop("is_anomaly")).first()) == (None,) * 6
+
+
+def test_short_doubles_leave_what_has_no_six_places(spark):
+    from pulsegrid.plans.catalog import rounded
+
+    values = [1e13, float("inf"), float("-inf"), float("nan"), 1.23456749, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = [r.x for r in rounded(df).collect()]
+    assert found[:3] == values[:3] and found[3] != found[3] and found[4:] == [1.234567, None]
