@@ -8,11 +8,12 @@ similarity reaches the threshold. The work goes in these steps:
    values from t * depth on. A region is a run of one order with the first ``depth`` values
    in common. A pair at 0.85 shares no region of 24 trees with probability 1e-10.
 3. Inside a region neighbours share the longest prefixes. The first round compares direct
-   neighbours of a few orders, which joins most copies. The next ones compare each row with
-   the ``REACH`` rows behind it in all orders: a region of up to ``REACH + 1`` rows is then
-   compared in full, and in a crowded one only rows with long common prefixes meet, in each
-   order others. The rows with most links so far are compared with every row of their
-   regions that has not joined them, however many: they hold stars of edited copies together.
+   neighbours of a few orders, which joins most copies. In the second the rows with most
+   links so far are compared with every row of their regions that has not joined them,
+   however many: they hold stars of edited copies together. The next rounds do that again
+   and compare each row with the ``REACH`` rows behind it in all orders: a region of up to
+   ``REACH + 1`` rows is then compared in full, and in a crowded one only rows with long
+   common prefixes meet, in each order others.
 4. A candidate must fit by size and by a sketch of one bit per MinHash value, and is then
    confirmed on the full sets. Pairs whose components are one already are left out. Rounds
    go on until one finds no new link.
@@ -29,6 +30,7 @@ with nothing. Words are split at blank and \\t to \\r and lower-cased for A-Z on
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -152,11 +154,12 @@ def _candidates(rows: DataFrame, reach: int, percent: int, count: int) -> DataFr
     """Pairs of neighbours, and pairs of the best linked rows with the others of a region."""
     fields = F.struct("id", "n", "s1", "s2", "c", "links")
     order = Window.partitionBy("region").orderBy("o1", "o2", "id")
-    after = F.collect_list(fields).over(order.rowsBetween(1, reach))
+    after = F.collect_list(fields).over(order.rowsBetween(1, max(reach, 1)))
+    after = after if reach else F.filter(after, lambda _: F.lit(False))
     best = Window.partitionBy("region").orderBy(F.col("links").desc(), "id")
     hubs = F.collect_list(F.when((F.col("rank") <= HUBS) & (F.col("links") > 1), fields))
     paired = rows.withColumn("others", after)
-    if reach > 1:
+    if reach != 1:
         # The window of hubs holds at most HUBS entries: the others are null and left out.
         ranked = paired.withColumn("rank", F.row_number().over(best))
         whole = Window.partitionBy("region")
@@ -211,8 +214,9 @@ def near_duplicates(
     sets = stored(chosen.mapInArrow(_sets(width), "id long, set binary"), "sets")
 
     links = parts = tested = None
-    reach = 1
-    while True:
+    # The neighbours of the first orders, then the hubs alone, then both until nothing is new.
+    reaches = chain([1, 0], repeat(REACH))
+    for reach in reaches:
         rows = _labelled(forest, parts, links)
         if reach == 1:
             rows = rows.filter(F.col("tree") < FIRST_TREES)
@@ -234,9 +238,8 @@ def near_duplicates(
                 links = good if links is None else links.unionByName(good)
                 parts = stored(components(links), "parts")
             tested = pairs if tested is None else tested.unionByName(pairs)
-        if reach > 1 and not new:
+        if reach == REACH and not new:
             break
-        reach = REACH
 
     if parts is None:
         joined = members.withColumn("component_id", F.col("rep"))
