@@ -10,16 +10,18 @@ similarity reaches the threshold. The work goes in these steps:
 3. Inside a region neighbours share the longest prefixes. The first round compares direct
    neighbours of a few orders, which joins most copies. In the second the rows with most
    links so far are compared with every row of their regions that has not joined them,
-   however many: they hold stars of edited copies together. The next rounds do that again
-   and compare each row with the ``REACH`` rows behind it in all orders: a region of up to
-   ``REACH + 1`` rows is then compared in full, and in a crowded one only rows with long
-   common prefixes meet, in each order others.
-4. A candidate must fit by size and by a sketch of one bit per MinHash value, and is then
-   confirmed on the full sets. Pairs whose components are one already are left out. Rounds
-   go on until one finds no new link.
-
-In regions beyond ``REACH + 1`` rows a lone link between two rows that no hub reaches can be
-missed; the README gives the share measured.
+   however many: they hold stars of edited copies together.
+4. The last round is exact. A region of up to ``REACH + 1`` rows is compared in full by the
+   ``REACH`` rows behind each. A larger one that still holds several components goes in
+   blocks of bounded rows and bytes, each pair of blocks a task of its own, and rows of
+   different components are compared there on their signatures and then on their full sets,
+   in the first tree that the two share. Only links leave such a task.
+5. Candidates of the other rounds must fit by size and by a sketch of one bit per MinHash
+   value, and are then confirmed on the full sets. Pairs whose components are one already
+   are left out.
+
+The last round of a crowded region costs the square of the rows that are not yet joined; no
+pair of different components that shares a region goes unseen.
 
 Nothing emits all pairs of a group: what is already joined is not paired again. No links
 come to the driver. Rows without an id keep it null, link with nothing and are kept; rows
@@ -30,7 +32,7 @@ with nothing. Words are split at blank and \\t to \\r and lower-cased for A-Z on
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain, repeat
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,9 @@ REACH = 6
 SIGMAS = 6.5
 BROADCAST_IDS = 500_000
 FIRST_TREES = 4
+BLOCK_ROWS = 2_048
+BLOCK_BYTES = 32 << 20
+MISS = 1e-9
 
 PROFILE = "id long, n long, d1 long, d2 long, sig binary"
 
@@ -151,25 +156,98 @@ def _likely(x: Column, y: Column, percent: int, count: int) -> Column:
 
 
 def _candidates(rows: DataFrame, reach: int, percent: int, count: int) -> DataFrame:
-    """Pairs of neighbours, and pairs of the best linked rows with the others of a region."""
+    """Pairs of neighbours, or with no reach pairs of a region's best linked rows with the others."""
     fields = F.struct("id", "n", "s1", "s2", "c", "links")
-    order = Window.partitionBy("region").orderBy("o1", "o2", "id")
-    after = F.collect_list(fields).over(order.rowsBetween(1, max(reach, 1)))
-    after = after if reach else F.filter(after, lambda _: F.lit(False))
-    best = Window.partitionBy("region").orderBy(F.col("links").desc(), "id")
-    hubs = F.collect_list(F.when((F.col("rank") <= HUBS) & (F.col("links") > 1), fields))
-    paired = rows.withColumn("others", after)
-    if reach != 1:
-        # The window of hubs holds at most HUBS entries: the others are null and left out.
-        ranked = paired.withColumn("rank", F.row_number().over(best))
-        whole = Window.partitionBy("region")
-        paired = ranked.withColumn("others", F.concat("others", hubs.over(whole)))
+    if reach:
+        order = Window.partitionBy("region").orderBy("o1", "o2", "id")
+        paired = rows.withColumn("others", F.collect_list(fields).over(order.rowsBetween(1, reach)))
+    else:
+        # The list of hubs holds at most HUBS entries: the others are null and left out.
+        best = Window.partitionBy("region").orderBy(F.col("links").desc(), "id")
+        hubs = F.collect_list(F.when((F.col("rank") <= HUBS) & (F.col("links") > 1), fields))
+        ranked = rows.withColumn("rank", F.row_number().over(best))
+        paired = ranked.withColumn("others", hubs.over(Window.partitionBy("region")))
     own = F.struct("id", "n", "s1", "s2", "c")
     fitting = F.filter("others", lambda y: _likely(own, y, percent, count))
     found = paired.select("id", F.explode(F.transform(fitting, lambda y: y["id"])).alias("o"))
     return found.select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b")).distinct()
 
 
+def fewest_equal(count: int, percent: int) -> int:
+    """The number of equal MinHash values below which a linked pair falls with chance ``MISS``."""
+    share, below = percent / 100, 0.0
+    for equal in range(count + 1):
+        below += comb(count, equal) * share**equal * (1 - share) ** (count - equal)
+        if below > MISS:
+            return equal
+    return count
+
+
+def _block_links(trees: int, depth: int, percent: int):
+    """Links between rows of different components in one pair of blocks."""
+    fewest = fewest_equal(trees * depth, percent)
+
+    def find(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id")
+        ids, blocks = group.column("id").to_numpy(), group.column("block").to_numpy()
+        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint32)
+        sig = sig.reshape(len(ids), -1)
+        sizes = group.column("n").to_numpy()
+        sets = np.frombuffer(b"".join(group.column("set").to_pylist()), np.uint64)
+        known, codes = np.unique(sets, return_inverse=True)
+        codes = np.split(codes, np.cumsum(sizes)[:-1])
+        parts = np.unique(group.column("c").to_numpy(), return_inverse=True)[1]
+        tree = group.column("tree")[0].as_py()
+        crossing = group.column("i")[0].as_py() != group.column("j")[0].as_py()
+        inside = np.zeros(len(known), bool)
+        found = []
+        for x in range(len(ids) - 1):
+            fits = parts[x + 1 :] != parts[x]
+            if crossing:
+                fits &= blocks[x + 1 :] != blocks[x]
+            low, high = np.minimum(sizes[x + 1 :], sizes[x]), np.maximum(sizes[x + 1 :], sizes[x])
+            others = np.flatnonzero(fits & (low * 100 >= high * percent)) + x + 1
+            equal = sig[others] == sig[x]
+            # A pair belongs to the first tree in which the two share a region.
+            shared = equal.reshape(-1, trees, depth).all(axis=2).argmax(axis=1)
+            others = others[(equal.sum(axis=1) >= fewest) & (shared == tree)]
+            inside[codes[x]] = True
+            for y in others:
+                both = int(np.count_nonzero(inside[codes[y]]))
+                if 100 * both >= percent * int(sizes[x] + sizes[y] - both):
+                    found.append((ids[x], ids[y]))
+                    parts[parts == parts[y]] = parts[x]
+            inside[codes[x]] = False
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": ends[:, 0], "b": ends[:, 1]})
+
+    return find
+
+
+def _crowded_links(
+    rows: DataFrame, sets: DataFrame, signed: DataFrame, trees: int, depth: int, percent: int
+) -> DataFrame:
+    """All links between different components inside the crowded regions."""
+    crowded = rows.filter(F.col("crowd") > REACH + 1)
+    most = F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") * 8 / BLOCK_BYTES)
+    regions = crowded.groupBy("region").agg(
+        F.ceil(most).cast("int").alias("blocks"), F.min("c").alias("low"), F.max("c").alias("high")
+    )
+    regions = regions.filter("low <> high").select("region", "blocks")
+    own = crowded.join(regions, "region")
+    own = own.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    own = own.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.select(
+        "region", "tree", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"),
+        "block", "id", "n", "c",
+    )
+    ids = own.select("id").distinct()
+    full = sets.join(ids, "id", "left_semi").dropDuplicates(["id"])
+    full = full.join(signed.select("id", "sig"), "id")
+    groups = own.join(full, "id").groupBy("region", "i", "j")
+    return groups.applyInArrow(_block_links(trees, depth, percent), "a long, b long").distinct()
+
+
 def _labelled(forest: DataFrame, parts: DataFrame | None, links: DataFrame | None) -> DataFrame:
     """Forest rows with their component so far and the number of links found."""
     if parts is None:
@@ -214,32 +292,27 @@ def near_duplicates(
     sets = stored(chosen.mapInArrow(_sets(width), "id long, set binary"), "sets")
 
     links = parts = tested = None
-    # The neighbours of the first orders, then the hubs alone, then both until nothing is new.
-    reaches = chain([1, 0], repeat(REACH))
-    for reach in reaches:
+    # The neighbours of the first orders, then the hubs, then all that is still apart.
+    for reach in (1, 0, REACH):
         rows = _labelled(forest, parts, links)
-        if reach == 1:
-            rows = rows.filter(F.col("tree") < FIRST_TREES)
-        pairs = _candidates(rows, reach, percent, count)
+        near = rows.filter(F.col("tree") < FIRST_TREES) if reach == 1 else rows
+        near = near.filter(F.col("crowd") <= REACH + 1) if reach == REACH else near
+        pairs = _candidates(near, reach, percent, count)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        tried = pairs.count()
-        new = 0
-        if tried:
-            ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-            used = sets.join(ends, "id", "left_semi").dropDuplicates(["id"])
-            both = pairs.join(used.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
-            both = both.join(used.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
-            good = both.select("a", "b", "x", "y").mapInArrow(_confirmed(percent), "a long, b long")
-            good = stored(good, "links")
-            new = good.count()
-            if new:
-                links = good if links is None else links.unionByName(good)
-                parts = stored(components(links), "parts")
-            tested = pairs if tested is None else tested.unionByName(pairs)
-        if reach == REACH and not new:
-            break
+        ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        used = sets.join(ends, "id", "left_semi").dropDuplicates(["id"])
+        both = pairs.join(used.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
+        both = both.join(used.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
+        good = both.select("a", "b", "x", "y").mapInArrow(_confirmed(percent), "a long, b long")
+        if reach == REACH:
+            good = good.union(_crowded_links(rows, sets, signed, trees, depth, percent))
+        good = stored(good, "links")
+        if not good.isEmpty():
+            links = good if links is None else links.unionByName(good)
+            parts = stored(components(links), "parts")
+        tested = pairs if tested is None else tested.unionByName(pairs)
 
     if parts is None:
         joined = members.withColumn("component_id", F.col("rep"))

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from check import compare
-from pulsegrid.llm import mixing, packing, quality, queries, tokenids, warc
+from pulsegrid.llm import mixing, neardup, packing, quality, queries, tokenids, warc
 from pulsegrid.llm.components import components
 from pulsegrid.llm.neardup import near_duplicates
 from pulsegrid.llm.shingles import minhash_seeds, shingle_set, signature
@@ -117,6 +117,30 @@ def test_crowd_of_edited_copies_is_one_component(spark):
     assert found == brute_components({k: shingle_set(t) for k, t in texts.items()}, 85)
 
 
+@pytest.mark.parametrize("rows", [2_048, 32])
+def test_crowd_with_lone_links_is_compared_in_full(spark, monkeypatch, rows):
+    """Copies around the threshold: many link with few others, and with no hub."""
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", rows)
+    rng = np.random.default_rng(11)
+    base = [f"b{k}" for k in range(160)]
+    texts = {}
+    for k in range(150):
+        words = list(base)
+        for at in rng.choice(160, int(rng.integers(1, 9)), replace=False):
+            words[at] = f"e{rng.integers(0, 6)}_{at}"
+        texts[k] = " ".join(words)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r.component_id for r in near_duplicates(df, percent=85).collect()}
+    want = brute_components({k: shingle_set(t) for k, t in texts.items()}, 85)
+    assert found == want and 20 < len(set(want.values())) < 149
+
+
+def test_fewest_equal_values_of_a_linked_pair():
+    fewest = neardup.fewest_equal(72, 85)
+    equal = np.random.default_rng(0).binomial(72, 0.85, 100_000)
+    assert 30 < fewest <= equal.min()
+
+
 def test_near_duplicates_of_an_empty_table(no_docs):
     assert near_duplicates(no_docs).count() == 0
 
