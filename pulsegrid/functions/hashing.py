@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 HEX_DIGITS = 13  # 52 bits, which a double holds exactly
 
 
+MISSING = "\\N"
+
+
 def hash_hex(seed: object, *parts: str | Column) -> Column:
-    """md5 of ``seed:part:part...`` as 32 hex digits."""
+    """md5 of ``seed:part:part...`` as 32 hex digits; a missing part counts as one of its own."""
     columns = [F.col(p) if isinstance(p, str) else p for p in parts]
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[c.cast("string") for c in columns]))
+    known = [F.coalesce(c.cast("string"), F.lit(MISSING)) for c in columns]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *known))
 
 
 def below(hash_column: Column, rate: float) -> Column:

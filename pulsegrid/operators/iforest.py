@@ -1,8 +1,7 @@
 """Isolation forest (Liu, Ting, Zhou 2008) fitted and applied by Spark.
 
-The table is read twice: once to count rows, once to hash-select a small pool from
-which every tree draws its own subsample. Trees grow in parallel, one group of at
-most ``psi`` rows each. The fitted model has a size bound that does not depend on
+The table is read twice: once to count rows, once to draw every tree's own subsample
+with one hash per row. Trees grow in parallel, one group of at most ``psi`` rows each. The fitted model has a size bound that does not depend on
 the table, so scoring ships it to every executor and needs no shuffle.
 """
 
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from pulsegrid.functions.hashing import below, hash_hex
+from pulsegrid.functions.hashing import hash_hex, hash_uniform
 from pulsegrid.operators.quantiles import quantile_columns
 from pulsegrid.schemas import FEATURE_COLS
 
@@ -36,10 +35,11 @@ CONTAMINATION = 0.05
 SEED = 42
 EULER_GAMMA = 0.5772156649015329
 
-POOL_ROWS = 65_536
-# Expected draws per tree before ranking, as a multiple of psi; with 4 * 256
-# expected, fewer than 256 is some 24 standard deviations away.
+# Expected draws per tree before ranking, as a multiple of psi + 16: with 4 * 272 expected,
+# fewer than 256 is some 25 standard deviations away, and none of 4 * 17 as unlikely.
 DRAW_MARGIN = 4
+# From this rate on every row takes part in every tree.
+FULL_RATE = 0.5
 
 NODES = T.StructType(
     [
@@ -70,29 +70,50 @@ def tree_samples(
     psi: int = PSI,
     seed: object = SEED,
     n_rows: int | None = None,
-    pool_rows: int = POOL_ROWS,
+    margin: float = DRAW_MARGIN,
 ) -> DataFrame:
-    """min(psi, n) rows per tree, without replacement within a tree.
+    """min(psi, n) rows per tree, without replacement and independent of other trees.
 
-    Up to ``pool_rows`` rows the whole table is the pool. Beyond, rows whose hash
-    lies below ``pool_rows / n`` form it, which costs one hash per row.
+    A tree considers each row with probability ``rate`` and keeps the ``psi`` smallest
+    draws. How often a row is considered over all trees is one Poisson number, found from
+    one hash; each time, a further hash names the tree. The counts per tree are then
+    independent Poisson numbers, so distinct trees are independent picks. A tree is short
+    only if keys repeat; a larger ``margin`` widens the rate.
     """
     key = [key] if isinstance(key, str) else list(key)
     n = df.count() if n_rows is None else n_rows
-    pool = df.withColumn("_row", hash_hex(f"{seed}:pool", *key))
-    if n > pool_rows:
-        pool = pool.filter(below(F.col("_row"), pool_rows / n))
-    # Each tree hashes the short row hash rather than the key columns again.
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    rows = df.withColumn("_row", hash_hex(f"{seed}:row", *key))
+    rate = margin * (psi + 16) / n if n else 1.0
+    if rate >= FULL_RATE:
+        drawn = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    else:
+        steps = F.array(*[F.lit(p) for p in poisson_steps(-trees * math.log1p(-rate))])
+        times = F.size(F.filter(steps, lambda p: p <= F.col("_u")))
+        turns = F.filter(F.sequence(F.lit(0), F.col("_times")), lambda j: j > 0)
+        picks = F.transform(
+            turns,
+            lambda j: F.floor(hash_uniform(f"{seed}:pick", "_row", j) * trees).cast("int"),
+        )
+        drawn = rows.withColumn("_u", hash_uniform(f"{seed}:times", "_row"))
+        drawn = drawn.withColumn("_times", times).filter("_times > 0")
+        drawn = drawn.withColumn("tree", F.explode(F.array_distinct(picks))).drop("_u", "_times")
     drawn = drawn.withColumn("_draw", hash_hex(f"{seed}:tree", "tree", "_row"))
-    rate = DRAW_MARGIN * psi / min(n, pool_rows) if n else 1.0
-    if rate < 1.0:
-        drawn = drawn.filter(below(F.col("_draw"), rate))
     order = Window.partitionBy("tree").orderBy("_draw", *key)
     ranked = drawn.withColumn("_rank", F.row_number().over(order))
     return ranked.filter(F.col("_rank") <= psi).drop("_rank", "_row", "_draw")
 
 
+def poisson_steps(mean: float) -> list[float]:
+    """P(X <= 0), P(X <= 1), ... of a Poisson number, up to where nothing is left."""
+    chance = total = math.exp(-mean)
+    steps = [total]
+    while len(steps) <= mean or chance > 1e-18:
+        chance *= mean / len(steps)
+        total += chance
+        steps.append(total)
+    return steps
+
+
 def grow_tree(rows: np.ndarray, max_depth: int, rng: np.random.Generator) -> list[tuple]:
     """Nodes of one tree as (node, feature, threshold, left, right, n, depth)."""
     nodes: list[tuple] = []
@@ -232,13 +253,16 @@ def fit_iforest(
     if n == 0:
         raise ValueError("no rows to fit on")
     size = min(psi, n)
-    samples = tree_samples(rows, key, trees, size, seed, n_rows=n)
-    # The result is bounded by trees * (2 * psi - 1) rows; it is the model itself.
-    nodes = _grow_forest(samples, features, key, size, seed).toPandas()
-    nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
-    drawn = nodes[nodes["node"] == 0].set_index("tree")["n"].reindex(range(trees))
-    if not (drawn == size).all():
-        raise ValueError("keys do not identify rows: some tree got too few rows")
+    margin, short = DRAW_MARGIN, True
+    while short:
+        samples = tree_samples(rows, key, trees, size, seed, n, margin)
+        # The result is bounded by trees * (2 * psi - 1) rows; it is the model itself.
+        nodes = _grow_forest(samples, features, key, size, seed).toPandas()
+        nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
+        drawn = nodes[nodes["node"] == 0].set_index("tree")["n"].reindex(range(trees))
+        # Repeated keys are drawn together, which can leave a tree short: draw more.
+        short = not (drawn == size).all()
+        margin *= 8
     params = {"trees": trees, "seed": str(seed), "contamination": contamination}
     model = IForestModel(nodes, list(features), size, None, params)
     if contamination is not None:

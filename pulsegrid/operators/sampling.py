@@ -54,7 +54,10 @@ def _cutoff(hashed: DataFrame, size: Callable[[Column], Column]) -> str | None:
     rank = edge._k - edge._upto + edge._n
     place = F.row_number().over(Window.partitionBy("_prefix").orderBy("_hash"))
     bucket = hashed.filter(F.col("_prefix") == edge._prefix).withColumn("_place", place)
-    return bucket.filter(F.col("_place") == rank).first()._hash
+    edges = bucket.filter(F.col("_place").between(rank, rank + 1)).orderBy("_place").collect()
+    if len(edges) == 2 and edges[0]._hash == edges[1]._hash:
+        raise ValueError("keys do not identify rows: equal keys lie on the edge of the sample")
+    return edges[0]._hash
 
 
 def flag_sample(
@@ -67,7 +70,8 @@ def flag_sample(
 ) -> DataFrame:
     """Add a boolean that is true on exactly floor (or ceil) of n * fraction rows.
 
-    ``key`` must identify a row; the choice depends on it and the seed only.
+    ``key`` must identify a row; the choice depends on it and the seed only. Repeated keys
+    on the edge of the sample raise, since no exact size could be kept.
     """
     key = [key] if isinstance(key, str) else list(key)
     own = hash_hex(seed, *key)

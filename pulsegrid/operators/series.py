@@ -10,7 +10,7 @@ rolling windows copy the few rows before each segment into it.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -21,15 +21,16 @@ from pyspark.sql import types as T
 class Axis:
     """How the rows of a table form series.
 
-    ``order`` is a timestamp with neighbours ``step`` seconds apart, or an integer
-    with neighbours 1 apart. Fills also accept gaps; rolling windows and
-    differences count rows, so they need a gap-free axis (see ``with_ordinal``).
+    ``order`` is a timestamp in units of ``step`` seconds, or an integer. Rolling windows
+    and differences count rows. They number the rows first, unless ``dense`` promises that
+    every series has each position from its first to its last, as resampled tables do.
     """
 
     order: str = "timestamp"
     keys: tuple[str, ...] = ()
     step: int = 3600
     segment: int = 65_536
+    dense: bool = False
 
     def position(self, df: DataFrame) -> Column:
         order = F.col(self.order)
@@ -155,6 +156,10 @@ def over_rows(
     """Add window expressions that look at no more than ``back`` earlier rows."""
     if back > axis.segment:
         raise ValueError(f"segments of {axis.segment} rows are shorter than {back} rows back")
+    if not axis.dense:
+        numbered = with_ordinal(df, axis, "_ordinal")
+        counted = replace(axis, order="_ordinal", dense=True)
+        return over_rows(numbered, counted, back, build).drop("_ordinal")
     rows = axis.tag(df)
     place = F.pmod(F.col("_pos"), F.lit(axis.segment))
     homes = F.when(
@@ -168,15 +173,26 @@ def over_rows(
     return own.select(*axis.restore([*df.columns, *[n for n in added if n not in df.columns]]))
 
 
+Names = str | Sequence[str]
+
+
+def _named(column: Names, out: Names) -> list[tuple[str, str]]:
+    one = isinstance(column, str)
+    return [(column, out)] if one else list(zip(column, out, strict=True))
+
+
 def rolling_mean(
-    df: DataFrame, column: str, out: str, rows: int = 24, axis: Axis = Axis()
+    df: DataFrame, column: Names, out: Names, rows: int = 24, axis: Axis = Axis()
 ) -> DataFrame:
-    """Mean of the last ``rows`` rows, this one included; missing values are skipped."""
+    """Mean of the last ``rows`` rows, this one included; missing values are skipped.
+
+    Several columns share one shuffle.
+    """
     return over_rows(
         df,
         axis,
         rows - 1,
-        lambda w: {out: F.avg(column).over(w.rowsBetween(1 - rows, 0))},
+        lambda w: {o: F.avg(c).over(w.rowsBetween(1 - rows, 0)) for c, o in _named(column, out)},
     )
 
 
@@ -192,6 +208,8 @@ def rolling_std(
     )
 
 
-def diff(df: DataFrame, column: str, out: str, axis: Axis = Axis()) -> DataFrame:
+def diff(df: DataFrame, column: Names, out: Names, axis: Axis = Axis()) -> DataFrame:
     """Difference from the row before; NULL if either is missing."""
-    return over_rows(df, axis, 1, lambda w: {out: F.col(column) - F.lag(column, 1).over(w)})
+    return over_rows(
+        df, axis, 1, lambda w: {o: F.col(c) - F.lag(c, 1).over(w) for c, o in _named(column, out)}
+    )

@@ -25,7 +25,7 @@ from pulsegrid.streaming.reviews import read_review_stream, start_predictions
 
 UNITS = 1e6
 USER = ("user_id",)
-BY_USER = series.Axis(keys=USER)
+BY_USER = series.Axis(keys=USER, dense=True)
 LIMITS = {"temperature": (0.0, 250.0), "voltage": (0.0, 99.0)}
 ALL_COLUMNS = [TIMESTAMP, *METRICS, LABEL]
 
@@ -67,7 +67,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def feature_table(spark: SparkSession, folder: str, keys: tuple[str, ...] = ()) -> DataFrame:
     clean = stored(cleaned(spark, folder, keys), "cleaned")
-    return features.engineer_features(clean, series.Axis(keys=keys))
+    return features.engineer_features(clean, series.Axis(keys=keys, dense=True))
 
 
 def stored_features(spark: SparkSession, folder: str, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -148,10 +148,19 @@ def q_bfill(spark, folder):
 
 
 def q_rolling_mean(spark, folder):
-    rolled = hourly(spark, folder, USER)
-    for c, out in (("temperature", "temp"), ("voltage", "voltage"), ("current", "current")):
-        rolled = series.rolling_mean(rolled, c, f"{out}_rolling_mean", 24, BY_USER)
-    return rolled.select(*USER, TIMESTAMP, *[c for c in rolled.columns if "rolling" in c])
+    outs = [f"{c}_rolling_mean" for c in ("temp", "voltage", "current")]
+    rolled = series.rolling_mean(
+        hourly(spark, folder, USER), ["temperature", "voltage", "current"], outs, 24, BY_USER
+    )
+    return rolled.select(*USER, TIMESTAMP, *outs)
+
+
+def q_rolling_readings(spark, folder):
+    """Windows over the readings themselves, whose numbers leave gaps within a user."""
+    readings = telemetry_view(spark, folder).select("seq", *USER, "temperature", "current")
+    axis = series.Axis("seq", USER, segment=1000)
+    rolled = series.rolling_mean(readings, ["temperature", "current"], ["temp_mean", "current_mean"], 5, axis)
+    return series.diff(rolled, "temperature", "temp_change", axis).drop("temperature", "current")
 
 
 def q_rolling_std(spark, folder):
@@ -162,8 +171,8 @@ def q_rolling_std(spark, folder):
 
 
 def q_diff(spark, folder):
-    changed = series.diff(hourly(spark, folder, USER), "temperature", "temp_change", BY_USER)
-    changed = series.diff(changed, "voltage", "voltage_change", BY_USER)
+    outs = ["temp_change", "voltage_change"]
+    changed = series.diff(hourly(spark, folder, USER), ["temperature", "voltage"], outs, BY_USER)
     return changed.select(*USER, TIMESTAMP, "temp_change", "voltage_change")
 
 
@@ -195,7 +204,7 @@ def q_top_anomalies(spark, folder):
 
 
 def q_ml_report(spark, folder):
-    return health.ml_report(predicted(feature_table(spark, folder, USER)))
+    return health.ml_report(predicted(stored_features(spark, folder, USER)))
 
 
 def q_tree_samples(spark, folder):
@@ -210,7 +219,8 @@ def _forest(spark, folder):
 
 def q_iforest_trees(spark, folder):
     """Per tree: rows drawn, rows in its leaves, depth within the limit."""
-    _, model = _forest(spark, folder)
+    table = stored_features(spark, folder, USER)
+    model = iforest.fit_iforest(table, key=[*USER, TIMESTAMP], contamination=None)
     nodes = spark.createDataFrame(model.nodes, iforest.NODES)
     leaf = F.col("feature") < 0
     return nodes.groupBy("tree").agg(
@@ -223,7 +233,7 @@ def q_iforest_trees(spark, folder):
 def q_iforest_flags(spark, folder):
     """Scored rows, whether scores lie in [-1, 0], rows flagged below the offset."""
     table, model = _forest(spark, folder)
-    scored = iforest.score_telemetry(table, model, "skip")
+    scored = iforest.score_telemetry(table, model)
     return scored.agg(
         F.count("*").alias("rows"),
         F.bool_and(F.col("anomaly_score").between(-1, 0)).alias("in_range"),
@@ -233,7 +243,7 @@ def q_iforest_flags(spark, folder):
 
 def q_score_telemetry(spark, folder):
     table, model = _forest(spark, folder)
-    return iforest.score_telemetry(table, model, "skip").select(
+    return iforest.score_telemetry(table, model).select(
         *USER, TIMESTAMP, "anomaly_prediction", "anomaly_score", "is_predicted_anomaly"
     )
 
@@ -244,7 +254,7 @@ def q_iforest_reload(spark, folder):
     path = scratch_dir(spark, "iforest")
     model.save(spark, path)
     again = iforest.IForestModel.load(spark, path)
-    both = iforest.score(iforest.score(table, model, "skip"), again, "skip", "again")
+    both = iforest.score(iforest.score(table, model), again, out="again")
     return both.agg(
         F.count("*").alias("rows"),
         F.count_if(F.col("again") != F.col("anomaly_score")).alias("changed"),
@@ -417,6 +427,7 @@ def _plan() -> dict:
         "clean_telemetry_by_user": partial(cleaned, keys=USER),
         "rolling_mean": q_rolling_mean,
         "rolling_std": q_rolling_std,
+        "rolling_readings": q_rolling_readings,
         "diff": q_diff,
         "power": q_power,
         "engineer_features": feature_table,

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.numbers import count_where, percent, status
 from pulsegrid.operators.evaluate import detection_columns
 from pulsegrid.operators.features import engineer_features
-from pulsegrid.operators.iforest import fit_iforest, score_telemetry
+from pulsegrid.operators.iforest import (
+    CONTAMINATION,
+    contamination_threshold,
+    fit_iforest,
+    predict_columns,
+    score,
+)
 from pulsegrid.operators.resample import HOUR, dedupe_first, resample_mean
 from pulsegrid.operators.series import Axis, ffill
 from pulsegrid.operators.stats import averages, simple_report
@@ -68,6 +74,7 @@ def run_ml_health(
     schema=None,
     keys: tuple[str, ...] = (),
     handle_invalid: str = "error",
+    contamination: float = CONTAMINATION,
 ) -> dict[str, DataFrame]:
     """Clean, derive features, fit, score, report.
 
@@ -75,18 +82,24 @@ def run_ml_health(
     ones nor depend on the executors that ran them.
     """
     raw = require_columns(read_table(spark, path, schema, fmt, file_order="seq"))
-    axis = Axis(TIMESTAMP, tuple(keys))
+    axis = Axis(TIMESTAMP, tuple(keys), dense=True)
     cleaned = read_table(
         spark, write_table(clean_telemetry(raw, "seq", tuple(keys)), f"{out}/cleaned")
     )
     features = read_table(
         spark, write_table(engineer_features(cleaned, axis), f"{out}/features")
     )
-    model = fit_iforest(features, key=[*keys, TIMESTAMP], handle_invalid=handle_invalid)
-    model.save(spark, f"{out}/model")
-    scored = read_table(
-        spark, write_table(score_telemetry(features, model, handle_invalid), f"{out}/scored")
+    model = fit_iforest(
+        features, key=[*keys, TIMESTAMP], contamination=None, handle_invalid=handle_invalid
+    )
+    # Scoring is the costly part: rows are scored once, and the offset comes from the result.
+    scores = read_table(
+        spark, write_table(score(features, model, handle_invalid), f"{out}/scored")
     )
+    model.params["contamination"] = contamination
+    model.offset = contamination_threshold(scores, contamination).first()["threshold"]
+    model.save(spark, f"{out}/model")
+    scored = scores.withColumns(predict_columns("anomaly_score", F.lit(model.offset)))
     report = ml_report(scored)
     write_report(report, out, "ml_health_report")
     return {"cleaned": cleaned, "features": features, "scored": scored, "report": report}

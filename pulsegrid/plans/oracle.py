@@ -346,6 +346,13 @@ union all select 'sorted', 'timestamp', is_sorted, null, null, null from ordered
         [TEL, _hourly("tel", True), _derived("hourly", True)],
         f"""select user_id, "timestamp",
   {rs(("temp_rolling_mean", "voltage_rolling_mean", "current_rolling_mean"))} from derived""",
+    ),
+    "rolling_readings": _with(
+        [TEL],
+        f"""select user_id, seq, {r("avg(temperature) over w", "temp_mean")},
+  {r("avg(current) over w", "current_mean")},
+  {r("temperature - lag(temperature) over (partition by user_id order by seq)", "temp_change")}
+from tel window w as (partition by user_id order by seq rows between 4 preceding and current row)""",
     ),
     "rolling_std": _with(
         [TEL, _hourly("tel", True), _derived("hourly", True)],
@@ -443,19 +450,33 @@ from (select *, {QUALITY} from counted)""",
   case when anomaly_rate_pct < 1 then 'NOMINAL' when anomaly_rate_pct < 5 then 'CAUTION'
     else 'ALERT' end as status from graded""",
     ),
-    "tree_samples": f"""with hashed as (
-  select event_id as seq, {_hash("42:pool", "event_id")} as row_hash, count(*) over () as n
-  from events),
-pool as (
-  select * from hashed
-  where n <= 65536 or cast('0x' || substr(row_hash, 1, 13) as bigint)
-    < floor(65536e0 / n * 4503599627370496e0)),
-drawn as (
-  select t.tree, seq, n, {_hash("42:tree", "t.tree", "row_hash")} as draw
-  from pool, (select cast(i as int) as tree from range(100) x(i)) t)
-select tree, seq from (
+    # At or above half of the rows every row takes part in every tree; below, a Poisson number
+    # of picks per row, its cumulative chances summed here from the series itself.
+    "tree_samples": _with(
+        [
+            TEL,
+            f"""hashed as (
+  select seq, count(*) over () as n, {_hash("42:row", "seq")} as row_hash from tel),
+params as (select any_value(n) as n, 4 * 272 / any_value(n)::double as rate from hashed),
+steps as (
+  select k, sum(chance) over (order by k) as upto from (
+    select k, exp(k * ln(-100 * ln(1 - rate)) + 100 * ln(1 - rate) - lgamma(k + 1)) as chance
+    from params, (select unnest(generate_series(0, 400)) as k) where rate < 0.5)),
+times as (
+  select seq, row_hash, (select count(*) from steps where upto <= u) as times from (
+    select *, {_uniform("42:times", "row_hash")} as u from hashed, params where rate < 0.5)),
+picks as (
+  select distinct seq, row_hash,
+    cast(floor({_uniform("42:pick", "row_hash", "j")} * 100) as int) as tree
+  from (select seq, row_hash, unnest(generate_series(1, times)) as j from times)
+  union all
+  select seq, row_hash, cast(i as int) from hashed, params, range(100) x(i) where rate >= 0.5),
+drawn as (select tree, seq, {_hash("42:tree", "tree", "row_hash")} as draw from picks)"""
+        ],
+        """select tree, seq from (
   select tree, seq, row_number() over (partition by tree order by draw, seq) as rn
   from drawn) where rn <= 256""",
+    ),
     "iforest_trees": _with(
         [
             *_feature_steps(True),

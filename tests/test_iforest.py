@@ -56,13 +56,27 @@ def test_hand_built_tree():
 
 
 def test_tree_samples_have_exact_size(spark):
-    for n, pool in ((100, 65_536), (5000, 65_536), (20_000, 4096)):
+    for n in (100, 5000, 200_000):
         df = spark.range(n).withColumnRenamed("id", "k")
-        drawn = iforest.tree_samples(df, "k", trees=10, psi=min(256, n), pool_rows=pool)
+        drawn = iforest.tree_samples(df, "k", trees=10, psi=min(256, n))
         sizes = drawn.groupBy("tree").agg(F.count("*").alias("n"), F.count_distinct("k").alias("d"))
         assert {tuple(r) for r in sizes.collect()} == {(t, min(256, n), min(256, n)) for t in range(10)}
 
 
+def test_trees_draw_independently_from_all_rows(spark):
+    df = spark.range(200_000).withColumnRenamed("id", "k")
+    drawn = iforest.tree_samples(df, "k", trees=1000, psi=256)
+    rows, distinct = drawn.agg(F.count("*"), F.count_distinct("k")).first()
+    # 200,000 * (1 - (1 - 256 / 200,000) ** 1000)
+    assert rows == 256_000 and abs(distinct - 144_400) < 1500
+
+
+def test_repeated_keys_widen_the_draw(spark):
+    df = spark.range(20_000).select((F.col("id") % 50).alias("k"), F.col("id").cast("double").alias("a"))
+    fitted = iforest.fit_iforest(df, ["a"], "k", trees=5, psi=64, contamination=None)
+    assert set(fitted.nodes.query("node == 0")["n"]) == {64}
+
+
 def test_tree_shapes(model):
     nodes = model.nodes
     assert nodes["tree"].nunique() == 40

@@ -100,6 +100,20 @@ def test_window_longer_than_segment_is_refused(spark):
         series.rolling_mean(to_spark(spark, gappy_frame()), "a", "m", 24, series.Axis(segment=10))
 
 
+@pytest.mark.parametrize("segment", [4, 7, 1000])
+def test_rolling_and_diff_count_rows_on_a_gapped_axis(spark, segment):
+    at = [5, 6, 20, 21, 22, 31, 90, 91]
+    squares, holes = [float(x) ** 2 for x in at], [1.0, None] * 4
+    frame = pd.DataFrame({"i": at, "a": squares, "b": holes})
+    df = spark.createDataFrame(list(zip(at, squares, holes)), "i long, a double, b double")
+    axis = series.Axis(order="i", segment=segment)
+    df = series.rolling_mean(df, ["a", "b"], ["ma", "mb"], 3, axis)
+    ours = as_pandas(series.diff(df, "a", "change", axis), ["i"])
+    np.testing.assert_allclose(ours["ma"], frame["a"].rolling(3, min_periods=1).mean())
+    np.testing.assert_allclose(ours["mb"], frame["b"].rolling(3, min_periods=1).mean())
+    np.testing.assert_allclose(ours["change"].to_numpy(float), frame["a"].diff().to_numpy())
+
+
 def test_ordinal_makes_irregular_rows_dense(spark):
     frame = gappy_frame().query("k == 1").sample(60, random_state=3)
     axis = series.Axis(segment=7)

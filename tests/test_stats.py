@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pulsegrid.functions.hashing import hash_hex
 from pulsegrid.functions.numbers import status
 from pulsegrid.operators import evaluate, generate, profile, quantiles, sampling, stats, validate
 
@@ -141,6 +142,17 @@ def test_sample_depends_on_key_and_seed_only(spark):
     assert pick(df) != pick(df, 43)
 
 
+def test_sample_refuses_repeated_keys_on_its_edge(spark):
+    df = spark.range(500).select((F.col("id") % 50).alias("k"))
+    with pytest.raises(ValueError, match="do not identify rows"):
+        sampling.exact_sample(df, 0.05, "k")
+
+
+def test_hash_tells_missing_parts_apart(spark):
+    rows = spark.createDataFrame([(1, None), (None, 1)], "a int, b int")
+    assert len({r.h for r in rows.select(hash_hex(0, "a", "b").alias("h")).collect()}) == 2
+
+
 def test_generated_telemetry(spark):
     df = generate.generate_telemetry(spark, days=2).cache()
     label = generate.label_breakdown(df).first()
