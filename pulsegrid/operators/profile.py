@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.quantiles import IN_MEMORY_ROWS, quantile_columns
+from pulsegrid.operators.quantiles import quantile_columns
 
 
 def ingest_profile(df: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -31,12 +31,9 @@ def describe(
     df: DataFrame,
     columns: Sequence[str],
     approximate: bool = False,
-    in_memory_rows: int = IN_MEMORY_ROWS,
 ) -> DataFrame:
     """Per column: count, mean, sample std, min, quartiles, max."""
-    quartiles = quantile_columns(
-        df, columns, (0.25, 0.5, 0.75), approximate=approximate, in_memory_rows=in_memory_rows
-    )
+    quartiles = quantile_columns(df, columns, (0.25, 0.5, 0.75), approximate=approximate)
     summaries = [
         F.struct(
             F.lit(c).alias("column"),

@@ -89,7 +89,7 @@ def test_reports_on_an_empty_table(spark):
 
 
 @pytest.mark.parametrize("limit", [1, 10, 1000])
-@pytest.mark.parametrize("shape", ["normal", "ties", "constant", "tiny"])
+@pytest.mark.parametrize("shape", ["normal", "ties", "constant", "tiny", "wide"])
 def test_exact_quantiles_match_numpy(spark, limit, shape):
     rng = np.random.default_rng(7)
     values = {
@@ -97,21 +97,29 @@ def test_exact_quantiles_match_numpy(spark, limit, shape):
         "ties": rng.integers(0, 5, 700).astype(float),
         "constant": np.full(50, 3.5),
         "tiny": np.array([1.0, 2.0]),
+        "wide": np.exp(rng.normal(size=300) * 90) * np.where(rng.random(300) < 0.5, -1, 1),
     }[shape]
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
     wanted = [0.0, 0.05, 0.5, 0.75, 1.0]
-    got = quantiles.exact_quantiles(df, "v", wanted, limit)
+    got = quantiles.exact_quantiles(df, ["v"], wanted, limit)["v"]
     np.testing.assert_allclose(got, np.quantile(values, wanted), atol=1e-12)
 
 
-def test_quantile_columns_agree_on_both_paths(spark):
-    df = spark.range(1001).select((F.col("id") * 1.5).alias("v"))
-    paths = [
-        df.agg(quantiles.quantile_columns(df, ["v"], [0.05, 0.5], in_memory_rows=n)["v"].alias("q"))
-        for n in (10, 10_000)
-    ]
-    assert paths[0].first().q == paths[1].first().q == [75.0, 750.0]
-    assert quantiles.exact_quantiles(df.limit(0), "v", [0.5]) == [None]
+def test_quantile_columns_agree_at_any_bracket_size(spark):
+    df = spark.range(1001).select((F.col("id") * 1.5).alias("v"), (-F.col("id")).alias("w"))
+    for n in (1, 10, 10_000):
+        got = quantiles.quantile_columns(df, ["v", "w"], [0.05, 0.5], left_rows=n)
+        row = df.agg(got["v"].alias("v"), got["w"].alias("w")).first()
+        assert (row.v, row.w) == ([75.0, 750.0], [-950.0, -500.0])
+    assert quantiles.exact_quantiles(df.limit(0), ["v"], [0.5]) == {"v": [None]}
+
+
+@pytest.mark.parametrize("limit", [1, 1000])
+def test_quantiles_of_infinite_and_nan_values(spark, limit):
+    values = [float("-inf")] * 3 + [float(k) for k in range(20)] + [float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    low, middle, top = quantiles.exact_quantiles(df, ["v"], [0.0, 0.5, 1.0], limit)["v"]
+    assert (low, middle) == (float("-inf"), 9.0) and np.isnan(top)
 
 
 def test_describe(spark):
