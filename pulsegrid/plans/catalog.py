@@ -316,11 +316,93 @@ def q_sentiment_predict(spark, folder):
     )
 
 
+def _cells_by_name(df: DataFrame, table: str, key: str | None = None) -> DataFrame:
+    """Every number of a small result table as a row with its name."""
+    row = F.col(key).cast("string") if key else F.lit("")
+    cells = [
+        F.struct(F.concat(F.lit(f"{table}.{c}."), row).alias("name"), F.col(c).cast("double").alias("x"))
+        for c in df.columns
+        if c != key
+    ]
+    return df.select(F.inline(F.array(*cells)))
+
+
+def _evaluation(results: dict[str, DataFrame]) -> DataFrame:
+    """What the split fixes of an evaluation, and whether its three tables agree.
+
+    The scores themselves depend on the fit; they must follow from the confusion cells.
+    """
+    cells = _cells_by_name(results["metrics"], "metrics")
+    cells = cells.unionByName(_cells_by_name(results["confusion"], "confusion", "actual"))
+    cells = cells.unionByName(_cells_by_name(results["report"], "report", "class"))
+
+    def x(name: str) -> Column:
+        return F.max(F.when(F.col("name") == name, F.col("x")))
+
+    n = {(a, p): x(f"confusion.predicted_{p}.{a}") for a in (0, 1) for p in (0, 1)}
+    total = n[0, 0] + n[0, 1] + n[1, 0] + n[1, 1]
+    accuracy = (n[0, 0] + n[1, 1]) / total
+
+    def over(part: Column, whole: Column) -> Column:
+        return F.when(whole == 0, 0.0).otherwise(part / whole)
+
+    scores = []
+    for a in (0, 1):
+        precision, recall = over(n[a, a], n[0, a] + n[1, a]), over(n[a, a], n[a, 0] + n[a, 1])
+        scores.append((precision, recall, over(2 * precision * recall, precision + recall)))
+    supports = [n[a, 0] + n[a, 1] for a in (0, 1)]
+
+    def agree(*pairs: tuple[Column, Column]) -> Column:
+        return F.coalesce(F.greatest(*[F.abs(p - q) for p, q in pairs]) < 1e-9, F.lit(False))
+
+    names = ("precision", "recall", "f1_score")
+    classes = [
+        (x(f"report.{m}.{c}"), s)
+        for c, own in zip(evaluate.CLASS_NAMES, scores) for m, s in zip(names, own)
+    ]
+    macro = [(x(f"report.{m}.macro avg"), (scores[0][k] + scores[1][k]) / 2) for k, m in enumerate(names)]
+    weighted = [
+        (x(f"report.{m}.weighted avg"), (scores[0][k] * supports[0] + scores[1][k] * supports[1]) / total)
+        for k, m in enumerate(names)
+    ]
+    return cells.agg(
+        *[x(f"report.support.{c}").cast("bigint").alias(f"support_{c.lower()}") for c in evaluate.CLASS_NAMES],
+        total.cast("bigint").alias("held_out"),
+        agree((x("metrics.accuracy."), accuracy),
+              *[(x(f"metrics.{m}."), s) for m, s in zip(names, scores[1])]).alias("metrics_agree"),
+        agree(*classes, (x("report.f1_score.accuracy"), accuracy)).alias("classes_agree"),
+        agree(*macro, *weighted).alias("averages_agree"),
+        (accuracy >= 0.5).alias("better_than_chance"),
+    )
+
+
 def q_sentiment_evaluate(spark, folder):
     """Hold-out quality of a model that was saved and loaded again."""
     out = scratch_dir(spark, "sentiment")
     sentiment.train_sentiment(reviews_view(spark, folder), "doc_id", out)
-    return sentiment.evaluate_model(spark, f"{out}/model", f"{out}/holdout")["report"]
+    return _evaluation(sentiment.evaluate_model(spark, f"{out}/model", f"{out}/holdout"))
+
+
+def q_sentiment_pipeline(spark, folder):
+    """Train, evaluate and predict: per document, whether its prediction is a sound one."""
+    results = sentiment.run_sentiment(reviews_view(spark, folder), "doc_id", scratch_dir(spark, "sentiment"))
+    sure = F.col("confidence").between(0.5, 1) & F.col("sentiment").isin("positive", "negative")
+    return results["predictions"].select("doc_id", sure.alias("sound"))
+
+
+def q_simple_health(spark, folder):
+    """The pipeline without a model from stored readings: its report and a count of its checks."""
+    stored_at = write_table(telemetry_view(spark, folder).select(*ALL_COLUMNS), scratch_dir(spark, "raw"))
+    results = health.run_simple_health(spark, stored_at, limits=LIMITS)
+    checks = results["checks"].agg(
+        F.struct(
+            F.count("*").alias("checks"),
+            F.count_if(~F.col("ok")).alias("checks_failed"),
+            F.sum(F.when(F.col("check") == "missing_values", F.col("n"))).alias("missing"),
+            F.sum(F.when(F.col("check") == "range", F.col("n"))).alias("outside"),
+        )
+    )
+    return results["report"].withColumn("found", checks.scalar()).select("*", "found.*").drop("found")
 
 
 def q_holdout_table(spark, folder):
@@ -382,10 +464,19 @@ def q_report_text(spark, folder):
 
 def q_ml_health(spark, folder):
     """The whole pipeline from stored raw readings to the report."""
-    raw = minute_telemetry(spark, folder).select(*USER, *ALL_COLUMNS).orderBy("seq")
+    raw = minute_telemetry(spark, folder).select("seq", *USER, *ALL_COLUMNS)
     path = write_table(raw, scratch_dir(spark, "raw"))
     out = scratch_dir(spark, "health")
-    return health.run_ml_health(spark, path, out, keys=USER, handle_invalid="error")["report"]
+    report = health.run_ml_health(spark, path, out, keys=USER, handle_invalid="error", seq="seq")["report"]
+    # Which rows the forest flags depends on the fit; how many, and what they add up to, does not.
+    hits, false = F.col("true_positives"), F.col("false_positives")
+    missed = F.col("false_negatives")
+    return report.withColumns({
+        "flags_add_up": hits + false == F.col("predicted_anomalies"),
+        "labels_add_up": hits + missed == F.col("actual_anomalies"),
+        "precision_agrees": F.abs(F.col("precision") * (hits + false) - hits) < 1e-6,
+        "recall_agrees": F.abs(F.col("recall") * (hits + missed) - hits) < 1e-6,
+    }).drop("true_positives", "false_positives", "false_negatives", "precision", "recall")
 
 
 def _over_telemetry(operator, spark, folder):
@@ -439,6 +530,7 @@ def _plan() -> dict:
         "flag_outliers": q_flag_outliers,
         "overall_rate": telemetry(stats.overall_rate),
         "simple_report": telemetry(stats.simple_report),
+        "simple_health": q_simple_health,
         "contamination_threshold": telemetry(
             lambda df: iforest.contamination_threshold(with_score(df))
         ),
@@ -464,6 +556,7 @@ def _plan() -> dict:
         "holdout_table": q_holdout_table,
         "sentiment_predict": q_sentiment_predict,
         "sentiment_evaluate": q_sentiment_evaluate,
+        "sentiment_pipeline": q_sentiment_pipeline,
         "sentiment_stream": q_sentiment_stream,
         "sentiment_columns": q_sentiment_columns,
         "binary_metrics": partial(_over_quality, evaluate.binary_metrics),

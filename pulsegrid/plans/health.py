@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from pulsegrid.operators.iforest import (
 from pulsegrid.operators.resample import HOUR, dedupe_first, resample_mean
 from pulsegrid.operators.series import Axis, ffill
 from pulsegrid.operators.stats import averages, simple_report
-from pulsegrid.operators.validate import require_columns, validate
+from pulsegrid.operators.validate import PLAUSIBLE, require_columns, validate
 from pulsegrid.schemas import LABEL, METRICS, TIMESTAMP
 from pulsegrid.sources.tables import read_table, write_report, write_table
 
@@ -55,11 +57,16 @@ def ml_report(scored: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def run_simple_health(
-    spark: SparkSession, path: str, out: str | None = None, fmt: str = "parquet", schema=None
+    spark: SparkSession,
+    path: str,
+    out: str | None = None,
+    fmt: str = "parquet",
+    schema=None,
+    limits: Mapping[str, tuple[float, float]] = PLAUSIBLE,
 ) -> dict[str, DataFrame]:
     """Load, validate, analyse, report; no model."""
     raw = read_table(spark, path, schema, fmt, file_order="seq")
-    checks = validate(raw)
+    checks = validate(raw, limits=limits)
     report = simple_report(raw)
     if out:
         write_report(report, out)
@@ -75,16 +82,20 @@ def run_ml_health(
     keys: tuple[str, ...] = (),
     handle_invalid: str = "error",
     contamination: float = CONTAMINATION,
+    seq: str | None = None,
 ) -> dict[str, DataFrame]:
     """Clean, derive features, fit, score, report.
 
     Each stage table is written once, so later stages neither recompute earlier
-    ones nor depend on the executors that ran them.
+    ones nor depend on the executors that ran them. ``seq`` names an integer column
+    of the table that orders its rows; without one they go in file order, which makes
+    dropping duplicates a sort.
     """
-    raw = require_columns(read_table(spark, path, schema, fmt, file_order="seq"))
+    order = "seq" if seq is None else None
+    raw = require_columns(read_table(spark, path, schema, fmt, file_order=order))
     axis = Axis(TIMESTAMP, tuple(keys), dense=True)
     cleaned = read_table(
-        spark, write_table(clean_telemetry(raw, "seq", tuple(keys)), f"{out}/cleaned")
+        spark, write_table(clean_telemetry(raw, seq or "seq", tuple(keys)), f"{out}/cleaned")
     )
     features = read_table(
         spark, write_table(engineer_features(cleaned, axis), f"{out}/features")

@@ -577,3 +577,36 @@ for _name, _select in {
         ],
         _select,
     )
+
+# What the pipelines determine, whatever the fitted model is.
+ORACLE_SQL["simple_health"] = f"""select report.*, checks.* from ({ORACLE_SQL["simple_report"]}) report, (
+  select count(*) as checks, count(*) filter (not ok) as checks_failed,
+    sum(n) filter ("check" = 'missing_values')::bigint as missing,
+    sum(n) filter ("check" = 'range')::bigint as outside
+  from ({ORACLE_SQL["validate"]})) checks"""
+ORACLE_SQL["sentiment_evaluate"] = _with(
+    [REVIEWS, TEST_FLAG],
+    """select count(*) filter (sentiment = 'negative') as support_negative,
+  count(*) filter (sentiment = 'positive') as support_positive, count(*) as held_out,
+  true as metrics_agree, true as classes_agree, true as averages_agree, true as better_than_chance
+from flagged where is_test""",
+)
+ORACLE_SQL["sentiment_pipeline"] = _with([REVIEWS], "select doc_id, true as sound from reviews")
+ORACLE_SQL["ml_health"] = _with(
+    [
+        *_feature_steps(True),
+        f"""counted as (
+  select count(*) as total_samples, min("timestamp") as first_timestamp,
+    max("timestamp") as last_timestamp, {", ".join(f"avg({c}) as avg_{c}" for c in METRICS)},
+    cast(ceil(0.05e0 * (count(*) - 1)) as bigint) as predicted_anomalies,
+    count(*) filter (is_anomaly > 0) as actual_anomalies from features)""",
+        """graded as (
+  select *, total_samples - predicted_anomalies as predicted_normal,
+    predicted_anomalies * 100e0 / total_samples as anomaly_rate_pct from counted)""",
+    ],
+    f"""select * replace ({rs(("anomaly_rate_pct", *("avg_" + c for c in METRICS)))}),
+  case when anomaly_rate_pct < 1 then 'NOMINAL' when anomaly_rate_pct < 5 then 'CAUTION'
+    else 'ALERT' end as status,
+  true as flags_add_up, true as labels_add_up, true as precision_agrees, true as recall_agrees
+from graded""",
+)

@@ -65,10 +65,17 @@ def read_table(
 
 
 def _file_order(fmt: str) -> Column:
-    """Sortable position of a row: file, then place within the file."""
+    """Sortable position of a row: file, then place within the file.
+
+    Part files go by the number in their name, as its digits are not padded beyond five.
+    """
+    path = F.col("_metadata.file_path")
+    number = F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1)
+    part = F.coalesce(F.nullif(number, F.lit("")).cast("bigint"), F.lit(-1))
     if fmt == "parquet":
-        return F.struct("_metadata.file_path", "_metadata.row_index")
+        return F.struct(part.alias("part"), "_metadata.file_path", "_metadata.row_index")
     return F.struct(
+        part.alias("part"),
         "_metadata.file_path",
         "_metadata.file_block_start",
         F.monotonically_increasing_id().alias("row"),

@@ -4,6 +4,8 @@ import datetime as dt
 import glob
 import math
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -78,6 +80,18 @@ def test_file_order_sorts_rows_as_stored(spark, folder, fmt):
     assert validate.is_sorted(stored, rows_per_bucket=100).first().is_sorted is True
 
 
+def test_file_order_goes_by_part_numbers(spark, folder):
+    for number, value in ((99_999, 1.0), (100_000, 2.0)):
+        pq.write_table(pa.table({"x": [value]}), f"{folder}/part-{number:05d}-a.parquet")
+    rows = read_table(spark, folder, file_order="seq").orderBy("seq").collect()
+    assert [r.x for r in rows] == [1.0, 2.0]
+
+
+def test_an_integer_sequence_drops_duplicates_without_a_sort(spark, raw):
+    plan = health.clean_telemetry(raw, "seq")._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
 def test_report_file(spark, folder):
     report = spark.createDataFrame([(1234567, 2.25, None, "ALERT")], "n long, rate_pct double, x double, status string")
     path = write_report(report, folder)
