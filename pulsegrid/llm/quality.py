@@ -9,7 +9,8 @@ weight. At the end each view is calibrated on labelled rows that took no part, a
 classifier combines the calibrated views.
 
 The fit uses at most about ``PER_CLASS`` labelled rows of each class and ``POOL`` unlabelled
-ones, picked by hashes; features of those come to the driver, bounded by these parameters.
+ones, picked by hashes; the texts of those come to the driver, so these parameters bound
+their number, not their bytes.
 Scoring is a map over whole texts. Defined cases: null and empty texts have features of
 length zero; null metadata is a value of its own; missing metadata columns count as null;
 without labels of both classes every score is the share of good labels, or 1 without any.
