@@ -1,16 +1,21 @@
 """Mixing sources to target weights by proportionate-fair scheduling of blocks.
 
 A source's documents, in the order of a hash of their id, make blocks of ``block`` documents.
-Block j (from 1) of a source with weight w out of W gets the release time floor((j - 1) W / w)
-and the deadline ceil(j W / w). Every slot takes, of the released blocks, the one with the
-earliest deadline, ties by source name. So up to any slot each source lags or leads its
-target share by less than one block.
+The ideal gives every source, at any time, its share w / W of the weights of all sources that
+ideally have blocks left. It has given j blocks of a source with weight w when
+T(j / w) = sum over all sources of min(blocks, weight j / w) slots have passed. Block j (from 1)
+gets the release time floor(T((j - 1) / w)) and the deadline ceil(T(j / w)). Every slot takes, of
+the released blocks, the one with the earliest deadline, ties by source name. All deadlines
+are met, so up to any slot each source lags or leads its ideal by less than one block, also
+across the ends of other sources. No document is dropped or repeated.
 
-With whole-number weights all sources are on target again after W slots, so the schedule is
-a pattern of W slots that repeats. Only the pattern is made step by step; the slot of a
-block follows by division, and the work runs on Spark. When a source has given all its
-blocks, the weights of the others go on among themselves from there: no document is dropped
-or repeated. The driver sees one row per source.
+While the ideal shares stay the same the schedule repeats after W slots. Only what does not
+repeat is made step by step; the slot of a block follows by division, and the work runs on
+Spark.
+
+``mix(carry=False)``, the default, is the older rule: whenever a source gives its last block,
+the pattern of the others starts anew and forgets who lags. The bound of one block then holds
+only from one such end to the next. The query and the pipeline carry.
 
 A document's place in its source comes from two levels: hash ranges of bounded size are
 ranked apart, and their counts are added up, so a source of any size is many tasks.
@@ -23,6 +28,8 @@ order of no importance; a source's last block may be short.
 from __future__ import annotations
 
 import heapq
+import math
+from bisect import bisect_left
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
@@ -96,22 +103,134 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[dict]:
     return out
 
 
+def ideal(blocks: Mapping[str, int], unit: Mapping[str, int], weights: Mapping[str, int]) -> list[tuple]:
+    """The pieces of T in order: the time at which sources end, and done and W of T(v) = done + W v.
+
+    Times are whole numbers: a block of a source takes ``unit``, the common multiple of all
+    weights divided by its own.
+    """
+    ends: dict[int, list[str]] = {}
+    for s, n in blocks.items():
+        ends.setdefault(n * unit[s], []).append(s)
+    done, total, out = 0, sum(weights[s] for s in blocks), []
+    for v in sorted(ends):
+        out.append((v, done, total))
+        done += sum(blocks[s] for s in ends[v])
+        total -= sum(weights[s] for s in ends[v])
+    return out
+
+
+def carried(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[tuple]:
+    """The whole schedule as parts ``begin, rounds, slots``; a part's slots repeat ``rounds`` times.
+
+    A slot is ``source, phase, release, deadline`` of its block in the first round.
+    """
+    left = {s: n for s, n in blocks.items() if n > 0}
+    common = math.lcm(*(weights[s] for s in left))
+    unit = {s: common // weights[s] for s in left}
+    pieces = ideal(left, unit, weights)
+    ends = [v for v, _, _ in pieces]
+    at = dict.fromkeys(left, 0)  # the piece in which the source's next block begins
+    given = dict.fromkeys(left, 0)
+
+    waiting: list[tuple] = []
+    ready: list[tuple] = []
+
+    def offer(s: str) -> None:
+        """The source's next block waits for its release."""
+        j, w, k = given[s] + 1, weights[s], at[s]
+        begin = pieces[k][1] + (j - 1) * pieces[k][2] // w
+        last = k if j * unit[s] <= ends[k] else bisect_left(ends, j * unit[s], k)
+        due = pieces[last][1] - (-j * pieces[last][2] // w)
+        at[s] = last
+        heapq.heappush(waiting, (begin, due, s, last))
+
+    def step() -> None:
+        while waiting and waiting[0][0] <= t:
+            begin, due, s, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (due, s, begin, k))
+        due, s, begin, k = heapq.heappop(ready)
+        slots.append((s, k, begin, due))
+        given[s] += 1
+        if given[s] < left[s]:
+            offer(s)
+
+    for s in left:
+        offer(s)
+    t, begun, slots, out, every = 0, 0, [], [], sum(left.values())
+    while t < every:
+        # The piece in which all blocks offered lie, if there is one, is tried for a repeat.
+        active = [s for s in left if given[s] < left[s]]
+        k = max(at[s] for s in active)
+        total = pieces[k][2]
+        start = ends[k - 1] if k else 0
+        steady = all(start <= given[s] * unit[s] <= ends[k] - unit[s] for s in active)
+        before = dict(given) if steady else {}
+        room = min(total, every - t)
+        first = len(slots)
+        for _ in range(room):
+            step()
+            t += 1
+        if not steady or room < total or any(given[s] - before[s] != weights[s] for s in active):
+            continue
+        if any(given[s] == left[s] for s in active):
+            continue
+        # As many more rounds as leave every source's next block in this piece.
+        more = min((ends[k] // unit[s] - given[s] - 1) // weights[s] for s in active)
+        if more < 1:
+            continue
+        if first:
+            out.append((begun, 1, slots[:first]))
+        out.append((t - total, 1 + more, slots[first:]))
+        for s in active:
+            given[s] += more * weights[s]
+        t += more * total
+        begun, slots = t, []
+        waiting, ready = [], []
+        for s in active:
+            at[s] = k
+            offer(s)
+    if slots:
+        out.append((begun, 1, slots))
+    return out
+
+
 def schedule(blocks: Mapping[str, int], weights: Mapping[str, int]) -> tuple[list, list]:
     """The stretch of blocks that each source gives in each phase, and the slots of each pattern."""
     stretches, places = [], []
     plan = phases(blocks, weights)
     for k, phase in enumerate(plan):
+        total = phase["total"]
         for source, slots in phase["places"].items():
-            first = phase["given"][source]
+            first, w = phase["given"][source], phase["weights"][source]
             after = plan[k + 1]["given"] if k + 1 < len(plan) else blocks
-            end = after[source]
-            stretches.append((source, k, first, end, phase["weights"][source], phase["total"], phase["start"]))
-            places += [(source, k, i, place) for i, place in enumerate(slots)]
+            stretches.append((source, k, first, after[source], w, total, phase["start"]))
+            places += [
+                (source, k, i, at, k, release(i + 1, w, total), deadline(i + 1, w, total))
+                for i, at in enumerate(slots)
+            ]
+    return stretches, places
+
+
+def carried_schedule(blocks: Mapping[str, int], weights: Mapping[str, int]) -> tuple[list, list]:
+    """The same tables of the schedule that carries lags."""
+    stretches, places = [], []
+    given = dict.fromkeys(blocks, 0)
+    for part, (begin, rounds, slots) in enumerate(carried(blocks, weights)):
+        steps: dict[str, int] = {}
+        for at, (source, phase, begins, due) in enumerate(slots):
+            i = steps.get(source, 0)
+            places.append((source, part, i, at, phase, begins, due))
+            steps[source] = i + 1
+        for source, n in steps.items():
+            first = given[source]
+            given[source] += rounds * n
+            stretches.append((source, part, first, given[source], n, len(slots), begin))
     return stretches, places
 
 
-STRETCH = "src string, phase int, first long, end long, weight long, total long, begun long"
-PLACE = "src string, phase int, step long, at long"
+STRETCH = "src string, part int, first long, end long, weight long, total long, begun long"
+PLACE = "src string, part int, step long, at long, phase int, release long, deadline long"
 
 
 def ranked(rows: DataFrame, sizes: Mapping[str, int], block: int) -> DataFrame:
@@ -139,11 +258,12 @@ def mix(
     source_col: str = "source",
     id_col: str = "doc_id",
     block: int = BLOCK,
+    carry: bool = False,
 ) -> DataFrame:
     """``doc_id, source, block, phase, release, deadline, slot, place`` of every document.
 
-    ``release`` and ``deadline`` count slots from the begin of the block's phase; ``place``
-    is the document's place in its block.
+    With ``carry``, ``release`` and ``deadline`` count slots from the first one, else from the
+    begin of the block's phase; ``place`` is the document's place in its block.
     """
     spark = df.sparkSession
     rows = df.select(
@@ -159,7 +279,8 @@ def mix(
     if any(w < 1 for w in given.values()):
         raise ValueError("weights must be whole numbers of 1 or more")
     counts = {s: -(-n // block) for s, n in sizes.items()}
-    stretches, places = schedule(counts, {s: given.get(s, 1) for s in counts})
+    plan = carried_schedule if carry else schedule
+    stretches, places = plan(counts, {s: given.get(s, 1) for s in counts})
     # Both tables are bounded: by the sources, and by the slots of their patterns.
     stretches = F.broadcast(spark.createDataFrame(stretches, STRETCH))
     places = F.broadcast(spark.createDataFrame(places, PLACE))
@@ -167,16 +288,16 @@ def mix(
     inside = (F.col("_block") >= F.col("first")) & (F.col("_block") < F.col("end"))
     timed = placed.join(stretches, (F.col("_src") == F.col("src")) & inside).drop("src")
     timed = timed.withColumn("step", (F.col("_block") - F.col("first")) % F.col("weight"))
-    timed = timed.join(places.withColumnRenamed("src", "_src"), ["_src", "phase", "step"])
-    j = F.col("_block") - F.col("first") + 1
-    slot = F.col("begun") + F.floor((j - 1) / F.col("weight")) * F.col("total") + F.col("at")
-    timed = timed.select(
+    timed = timed.join(places.withColumnRenamed("src", "_src"), ["_src", "part", "step"])
+    # Each round of a repeated pattern is ``total`` slots later.
+    later = F.floor((F.col("_block") - F.col("first")) / F.col("weight")) * F.col("total")
+    return timed.select(
         F.col("id").alias("doc_id"), "source", F.col("_block").alias("block"), "phase",
-        F.floor((j - 1) * F.col("total") / F.col("weight")).cast("long").alias("release"),
-        F.ceil(j * F.col("total") / F.col("weight")).cast("long").alias("deadline"),
-        slot.cast("long").alias("slot"), (F.col("_rank") % block).cast("int").alias("place"),
+        (F.col("release") + later).cast("long").alias("release"),
+        (F.col("deadline") + later).cast("long").alias("deadline"),
+        (F.col("begun") + later + F.col("at")).cast("long").alias("slot"),
+        (F.col("_rank") % block).cast("int").alias("place"),
     )
-    return timed
 
 
 def mixed(
@@ -187,7 +308,7 @@ def mixed(
     columns = df.columns
     temporary = {c: f"_c{k}" for k, c in enumerate(columns)}
     plain = df.select(*[named(c).alias(t) for c, t in temporary.items()])
-    order = mix(df, weights, source_col, id_col, block)
+    order = mix(df, weights, source_col, id_col, block, carry=True)
     order = order.select(F.col("doc_id").alias("_id"), "slot", "place")
     # Repeated ids would multiply in a join: each copy meets one place.
     number = Window.partitionBy("_id")

@@ -67,7 +67,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents"), MIX)
+    return mixing.mix(table(spark, folder, "documents"), MIX, carry=True)
 
 
 QUERIES = {
