@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import mixing, packing, quality
-from pulsegrid.llm.common import named, stored, table
+from pulsegrid.llm.common import in_file_order, named, stored, table
 from pulsegrid.llm.neardup import near_duplicates
 from pulsegrid.llm.queries import MIX
 from pulsegrid.llm.toxicity import fit_toxicity, toxicity
@@ -42,7 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    """Sequences are numbered in the order of the mix, which the files hold and a scan does not."""
+    return packing.pack(in_file_order(docs))
 
 
 STAGES = [

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Partitions and rows in the order in which a table's part files were written.
+
+    A scan deals out file splits by size. Part files go by the number in their name, as its
+    digits are not padded beyond five. Rows that come from no file stay as they are.
+    """
+    try:
+        meta = df.metadataColumn("_metadata")
+        path, row = meta["file_path"], meta["row_index"]
+        part = F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1)
+        part = F.coalesce(F.nullif(part, F.lit("")).cast("long"), F.lit(-1))
+        numbered = df.withColumn("_file_order", F.struct(part.alias("part"), path.alias("path"), row.alias("row")))
+    except AnalysisException:
+        return df
+    return numbered.repartitionByRange("_file_order").sortWithinPartitions("_file_order").drop("_file_order")
+
+
 def hash_share(df: DataFrame, key: Column, rows: int, total: int | None = None) -> DataFrame:
     """About ``rows`` rows, picked by a hash of the key; all rows if there are fewer."""
     n = df.count() if total is None else total

@@ -1,7 +1,10 @@
 """Each operator against brute force, round trips or held-out rows, and on awkward tables."""
 
 import collections
+import glob
 import io
+import os
+import shutil
 import zlib
 from fractions import Fraction
 
@@ -14,6 +17,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from check import compare
 from pulsegrid.llm import mixing, neardup, packing, quality, queries, tokenids, warc
+from pulsegrid.llm.common import in_file_order
 from pulsegrid.llm.components import components
 from pulsegrid.llm.neardup import near_duplicates
 from pulsegrid.llm.shingles import minhash_seeds, shingle_set, signature
@@ -23,7 +27,7 @@ from pulsegrid.llm.topk import segment_statistics, top_k
 from pulsegrid.llm.toxicity import fit_toxicity, toxicity
 from pulsegrid.llm.vectors import near_vectors
 
-from .conftest import TEXTS
+from .conftest import TEXTS, WORDS
 
 FOLDER = "/root/testdata/sf0.001"
 VECTORS = "vec_id long, embedding array<float>, label int, id string, vector int"
@@ -442,3 +446,32 @@ def test_pipeline_stages(spark, odd_docs):
         assert odd.columns == odd_docs.columns, name
         assert odd.count() <= odd_docs.count()
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
+
+
+def test_sequences_follow_the_mix_over_files(spark, tmp_path):
+    # Later files are larger, so a scan would begin with the end of the mix.
+    sizes = [2, 3, 5, 8, 12, 20]
+    names = [(sum(sizes[:k]) + i, k) for k, n in enumerate(sizes) for i in range(n)]
+    for number, (_, k) in enumerate(names):
+        text = " ".join(WORDS[(number + i) % 400] for i in range(4200 + 400 * k))
+        names[number] = (1000 - number, text, "en", "src0", len(text), k)
+    for k in range(len(sizes)):
+        part = spark.createDataFrame([n[:5] for n in names if n[5] == k],
+                                     "doc_id long, text string, lang string, source string, n_chars long")
+        part.coalesce(1).write.parquet(f"{tmp_path}/{k}")
+        (file,) = glob.glob(f"{tmp_path}/{k}/part-*.parquet")
+        os.makedirs(f"{tmp_path}/mix", exist_ok=True)
+        shutil.copy(file, f"{tmp_path}/mix/part-{99_998 + k:05}-x.c000.snappy.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/mix")
+    first = collections.defaultdict(lambda: 1 << 62)
+    for r in corpus_pipeline.pack_sequences(spark, docs, "").collect():
+        first[r.doc_id] = min(first[r.doc_id], r.sequence_id)
+    assert sorted(first, key=first.get) == [n[0] for n in names]
+    assert corpus_pipeline.pack_sequences(spark, docs.limit(0), "").count() == 0
+
+
+def test_file_order_survives_the_stage_files(spark, odd_docs, tmp_path):
+    rows = spark.range(0, 5000, 1, 7).selectExpr("id as doc_id", "repeat('x', cast(id / 20 as int)) as text")
+    rows.write.parquet(f"{tmp_path}/rows")
+    assert [r.doc_id for r in in_file_order(spark.read.parquet(f"{tmp_path}/rows")).collect()] == list(range(5000))
+    assert in_file_order(odd_docs).count() == odd_docs.count()
