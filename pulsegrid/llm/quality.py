@@ -38,6 +38,7 @@ PER_ROUND = 200
 CONFIDENT = 0.95
 PSEUDO_WEIGHT = 0.3
 HASHED = 16
+PART = 1_000_000
 
 UPPER = np.zeros(256, bool)
 UPPER[65:91] = True
@@ -79,13 +80,23 @@ def hashed(value: object) -> list[float]:
     return row
 
 
+def longest_line(text: str) -> int:
+    """Characters of the longest line, with the lines of one part of the text in memory at a time."""
+    longest = run = 0
+    for at in range(0, len(text), PART):
+        first, *others = map(len, text[at : at + PART].split("\n"))
+        run += first
+        if others:
+            longest, run = max(longest, run, *others[:-1]), others[-1]
+    return max(longest, run)
+
+
 def metadata_view(text: str | None, meta: Sequence[object], size: float) -> list[float]:
     """Hashed indicators of the metadata, the recorded length, and the layout."""
     text = text or ""
     breaks = text.count("\n")
     size = 0.0 if size is None or not np.isfinite(size) else max(float(size), 0.0)
-    longest = max(map(len, text.split("\n"))) if breaks < 100_000 else len(text)
-    layout = [np.log1p(size), np.log1p(breaks), np.log1p(longest), size / (breaks + 1.0) / 1000.0]
+    layout = [np.log1p(size), np.log1p(breaks), np.log1p(longest_line(text)), size / (breaks + 1.0) / 1000.0]
     return [x for value in meta for x in hashed(value)] + layout
 
 

@@ -246,6 +246,19 @@ def test_quality_on_held_out_documents(spark):
     assert good > 0.97 and bad > 0.8
 
 
+@pytest.mark.parametrize("part", [1_000_000, 1, 7])
+def test_longest_line_at_any_size(monkeypatch, part):
+    monkeypatch.setattr(quality, "PART", part)
+    lines = ["x" * (k * 7 % 50) for k in range(400)]
+    for text in ("", "\n", "a", "a\n", "\nab", "ab\n\nc", "\n".join(lines), "é" * 40 + "\n" + "z" * 9):
+        assert quality.longest_line(text) == max(map(len, text.split("\n")))
+
+
+def test_longest_line_of_a_long_table():
+    text = "\n".join("x" * 50 for _ in range(100_001))
+    assert quality.metadata_view(text, [], len(text))[2] == pytest.approx(np.log1p(50))
+
+
 def test_classifiers_on_odd_documents(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(14)], "doc_id long, quality int, toxic int")
     none = labels.limit(0)
