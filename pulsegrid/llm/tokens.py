@@ -90,7 +90,11 @@ class PieceEncoder:
         return [self._whole(lead + p).tobytes() for p in pieces]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Rows of each piece. Letters and a stop or comma behind them never share a token."""
+        """Rows of each piece.
+
+        ASCII letters and a stop or comma behind them never share a token. Other letters can
+        become letter and mark when normalised, and a mark shares a token with the stop.
+        """
         cache, stops = self.cache, self.stops
         found = list(map(cache.get, pieces))
         missing = [k for k, x in enumerate(found) if x is None]
@@ -98,7 +102,9 @@ class PieceEncoder:
             return found
         cores = [pieces[k] for k in missing]
         if stops:
-            cores = [p[:-1] if p[-1:] in stops and p[:-1].isalpha() else p for p in cores]
+            cores = [
+                p[:-1] if p[-1:] in stops and p.isascii() and p[:-1].isalpha() else p for p in cores
+            ]
         wanted = list(dict.fromkeys(p for p in cores if p not in cache))
         fresh = {}
         for at in range(0, len(wanted), JOINED):

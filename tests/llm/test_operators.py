@@ -287,6 +287,16 @@ def test_piece_encoder_equals_the_library(name, spans):
             assert list(map(tuple, own[:, 1:].tolist())) == want.offsets
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_piece_encoder_of_letters_that_normalise_to_marks(name):
+    words = ["GEZ\u0130", "\u0915\u0958", "\u05d0\ufb2a", "caf\u00e9", "\u017belazny", "\u1e9e", "plain", "\u65e5\u672c"]
+    texts = [f"{w}{stop} {w} x {w}{stop}" for w in words for stop in ".,"] + [f"{w}." for w in words]
+    rows, ends = PieceEncoder(tokenizer_path(name)).encode(texts)
+    for k, text in enumerate(texts):
+        want = library(name).encode(text, add_special_tokens=False).ids
+        assert rows[ends[k] : ends[k + 1], 0].tolist() == want, text
+
+
 def expected_ids(name, text):
     return np.array([*library(name).encode(text or "", add_special_tokens=False).ids, 2], "<u4")
 
