@@ -11,7 +11,8 @@ across the ends of other sources. No document is dropped or repeated.
 
 While the ideal shares stay the same the schedule repeats after W slots. Only what does not
 repeat is made step by step; the slot of a block follows by division, and the work runs on
-Spark.
+Spark. The driver holds one row per source and four numbers per slot that does not repeat; there
+are at most as many of those as blocks, whatever the number of sources and their weights.
 
 ``mix(carry=False)``, the default, is the older rule: whenever a source gives its last block,
 the pattern of the others starts anew and forgets who lags. The bound of one block then holds
@@ -29,9 +30,12 @@ from __future__ import annotations
 
 import heapq
 import math
+from array import array
 from bisect import bisect_left
 from collections.abc import Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +44,8 @@ from pulsegrid.llm.common import named, stored
 BLOCK = 16
 RANGE_ROWS = 8_192
 MAX_PATTERN = 100_000
+#: Longer schedule tables are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 NULL = "\x00null"
 
 
@@ -123,8 +129,10 @@ def ideal(blocks: Mapping[str, int], unit: Mapping[str, int], weights: Mapping[s
 def carried(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[tuple]:
     """The whole schedule as parts ``begin, rounds, slots``; a part's slots repeat ``rounds`` times.
 
-    A slot is ``source, phase, release, deadline`` of its block in the first round.
+    A slot is four numbers: the source's place in ``blocks``, and ``phase, release, deadline``
+    of its block in the first round.
     """
+    number = {s: k for k, s in enumerate(blocks)}
     left = {s: n for s, n in blocks.items() if n > 0}
     common = math.lcm(*(weights[s] for s in left))
     unit = {s: common // weights[s] for s in left}
@@ -150,14 +158,14 @@ def carried(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[tuple
             begin, due, s, k = heapq.heappop(waiting)
             heapq.heappush(ready, (due, s, begin, k))
         due, s, begin, k = heapq.heappop(ready)
-        slots.append((s, k, begin, due))
+        slots.extend((number[s], k, begin, due))
         given[s] += 1
         if given[s] < left[s]:
             offer(s)
 
     for s in left:
         offer(s)
-    t, begun, slots, out, every = 0, 0, [], [], sum(left.values())
+    t, begun, slots, out, every = 0, 0, array("q"), [], sum(left.values())
     while t < every:
         # The piece in which all blocks offered lie, if there is one, is tried for a repeat.
         active = [s for s in left if given[s] < left[s]]
@@ -185,7 +193,7 @@ def carried(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[tuple
         for s in active:
             given[s] += more * weights[s]
         t += more * total
-        begun, slots = t, []
+        begun, slots = t, array("q")
         waiting, ready = [], []
         for s in active:
             at[s] = k
@@ -207,26 +215,43 @@ def schedule(blocks: Mapping[str, int], weights: Mapping[str, int]) -> tuple[lis
             stretches.append((source, k, first, after[source], w, total, phase["start"]))
             places += [
                 (source, k, i, at, k, release(i + 1, w, total), deadline(i + 1, w, total))
-                for i, at in enumerate(slots)
+                for i, at in enumerate(slots[: after[source] - first])
             ]
     return stretches, places
 
 
-def carried_schedule(blocks: Mapping[str, int], weights: Mapping[str, int]) -> tuple[list, list]:
-    """The same tables of the schedule that carries lags."""
+def carried_schedule(blocks: Mapping[str, int], weights: Mapping[str, int]) -> tuple[pa.Table, pa.Table]:
+    """The same tables of the schedule that carries lags, with one place per slot that does not repeat."""
+    names = list(blocks)
+    parts = carried(blocks, weights)
+    given = np.zeros(len(names), np.int64)
     stretches, places = [], []
-    given = dict.fromkeys(blocks, 0)
-    for part, (begin, rounds, slots) in enumerate(carried(blocks, weights)):
-        steps: dict[str, int] = {}
-        for at, (source, phase, begins, due) in enumerate(slots):
-            i = steps.get(source, 0)
-            places.append((source, part, i, at, phase, begins, due))
-            steps[source] = i + 1
-        for source, n in steps.items():
-            first = given[source]
-            given[source] += rounds * n
-            stretches.append((source, part, first, given[source], n, len(slots), begin))
-    return stretches, places
+    for part, (begin, rounds, slots) in enumerate(parts):
+        rows = np.frombuffer(slots, np.int64).reshape(-1, 4)
+        # Slots by source, in order: the place in its group is a slot's step.
+        at = np.argsort(rows[:, 0], kind="stable")
+        own, first, counts = np.unique(rows[at, 0], return_index=True, return_counts=True)
+        step = np.arange(len(at)) - np.repeat(first, counts)
+        places.append(np.column_stack([rows[at, 0], np.full(len(at), part), step, at, rows[at, 1:]]))
+        end = given[own] + rounds * counts
+        same = np.ones(len(own), np.int64)
+        stretches.append(
+            np.column_stack([own, part * same, given[own], end, counts, len(at) * same, begin * same])
+        )
+        given[own] = end
+    return _arrow(stretches, STRETCH, names), _arrow(places, PLACE, names)
+
+
+def _arrow(parts: list[np.ndarray], shape: str, names: list[str]) -> pa.Table:
+    fields = [f.split() for f in shape.split(", ")]
+    rows = np.concatenate(parts) if parts else np.zeros((0, len(fields)), np.int64)
+    coded = pa.DictionaryArray.from_arrays(pa.array(rows[:, 0]), pa.array(names, pa.string()))
+    columns = [coded.cast(pa.string())]
+    columns += [
+        pa.array(rows[:, k], pa.int32() if kind == "int" else pa.int64())
+        for k, (_, kind) in enumerate(fields) if k
+    ]
+    return pa.Table.from_arrays(columns, [name for name, _ in fields])
 
 
 STRETCH = "src string, part int, first long, end long, weight long, total long, begun long"
@@ -236,7 +261,8 @@ PLACE = "src string, part int, step long, at long, phase int, release long, dead
 def ranked(rows: DataFrame, sizes: Mapping[str, int], block: int) -> DataFrame:
     """Rows of ``_src, id, source`` with each one's place in its source as ``_rank`` from 0."""
     own = rows.withColumn("_draw", F.xxhash64("id", F.lit("mix")))
-    known = rows.sparkSession.createDataFrame(list(sizes.items()), "_src string, _size long")
+    known = pa.table([pa.array(sizes.keys(), pa.string()), pa.array(sizes.values(), pa.int64())], ["_src", "_size"])
+    known = rows.sparkSession.createDataFrame(known, "_src string, _size long")
     # The ranges of a source hold about RANGE_ROWS rows each.
     ranges = F.ceil(F.col("_size") / RANGE_ROWS)
     own = own.join(F.broadcast(known), "_src").withColumn(
@@ -270,20 +296,23 @@ def mix(
         named(id_col).alias("id"), named(source_col).alias("source"),
         F.coalesce(named(source_col).cast("string"), F.lit(NULL)).alias("_src"),
     )
-    # One row per source comes to the driver, and no more sources than a pattern has slots.
-    found = rows.groupBy("_src").count().limit(MAX_PATTERN + 1).collect()
-    if len(found) > MAX_PATTERN:
+    # One row per source comes to the driver; without ``carry``, at most as a pattern has slots.
+    found = rows.groupBy("_src").count()
+    found = (found if carry else found.limit(MAX_PATTERN + 1)).toArrow()
+    if not carry and found.num_rows > MAX_PATTERN:
         raise ValueError(f"more than {MAX_PATTERN} sources; group small ones first")
-    sizes = {r["_src"]: r["count"] for r in sorted(found)}
+    sizes = dict(sorted(zip(*(c.to_pylist() for c in found.columns))))
     given = {(NULL if s is None else s): int(w) for s, w in (weights or {}).items()}
     if any(w < 1 for w in given.values()):
         raise ValueError("weights must be whole numbers of 1 or more")
     counts = {s: -(-n // block) for s, n in sizes.items()}
     plan = carried_schedule if carry else schedule
     stretches, places = plan(counts, {s: given.get(s, 1) for s in counts})
-    # Both tables are bounded: by the sources, and by the slots of their patterns.
-    stretches = F.broadcast(spark.createDataFrame(stretches, STRETCH))
-    places = F.broadcast(spark.createDataFrame(places, PLACE))
+    # Neither table has more rows than there are blocks; what repeats is in them once.
+    few = len(places) <= BROADCAST_ROWS
+    stretches, places = spark.createDataFrame(stretches, STRETCH), spark.createDataFrame(places, PLACE)
+    if few:
+        stretches, places = F.broadcast(stretches), F.broadcast(places)
     placed = stored(ranked(rows, sizes, block).select("id", "source", "_src", "_rank", "_block"), "mix")
     inside = (F.col("_block") >= F.col("first")) & (F.col("_block") < F.col("end"))
     timed = placed.join(stretches, (F.col("_src") == F.col("src")) & inside).drop("src")

@@ -428,6 +428,31 @@ def test_deviation_stays_below_one_block_over_all_ends(spark, short):
         assert max(abs(given[s] - fair[s]) for s in blocks) < 1
 
 
+def test_schedule_tables_grow_with_blocks_not_with_sources_squared():
+    # Sources that all end at different times, and single blocks of many sources.
+    for blocks in ({f"s{k:04}": k + 1 for k in range(300)}, {f"s{k:05}": 1 for k in range(10_000)}):
+        stretches, places = mixing.carried_schedule(blocks, dict.fromkeys(blocks, 1))
+        assert len(stretches) <= len(places) <= sum(blocks.values())
+    # The older rule keeps the slots of a pattern that are used, and no others.
+    blocks = {"a": 1, **{f"s{k:03}": 2 for k in range(100)}}
+    assert len(mixing.schedule(blocks, {**dict.fromkeys(blocks, 1), "a": 5})[1]) <= sum(blocks.values())
+    # What repeats is held once.
+    stretches, places = mixing.carried_schedule({"a": 4_000_000, "b": 1_000_000}, {"a": 4, "b": 1})
+    assert len(places) <= 20
+
+
+@pytest.mark.parametrize("most", [1_000_000, 10])
+def test_many_sources_and_large_weights(spark, monkeypatch, most):
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", most)
+    rows = [(k, f"s{k % 3000:04}") for k in range(7000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    found = mixing.mix(df, {"s0001": 70_000, "s0002": 90_001}, block=1, carry=True).collect()
+    assert sorted(r.slot for r in found) == list(range(7000))
+    assert all(r.release <= r.slot < r.deadline for r in found)
+    # Ideally the three blocks of each have been given after 6.2 slots.
+    assert max(r.slot for r in found if r.source in ("s0001", "s0002")) <= 6
+
+
 def test_the_query_and_the_pipeline_carry_lags(spark, tmp_path):
     rows = [(k, "src0") for k in range(0, 320)] + [(1000 + k, f"m{k}") for k in range(40)]
     rows += [(2000 + k, "zzz") for k in range(320)]
