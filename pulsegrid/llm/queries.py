@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import mixing, packing, quality, tokenids, warc
+from pulsegrid.functions.text import let
+from pulsegrid.llm import linerules, mixing, packing, quality, tokenids, warc
 from pulsegrid.llm.common import table
+from pulsegrid.llm.fim import fill_in_middle, restored
 from pulsegrid.llm.neardup import near_duplicates
+from pulsegrid.llm.runs import periodic_runs
 from pulsegrid.llm.tokencounts import section_tokens
 from pulsegrid.llm.tokens import tokenizer_path
 from pulsegrid.llm.topk import top_k
@@ -70,10 +73,65 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), MIX, carry=True)
 
 
+def woven(key: Column, text: Column) -> Column:
+    """A tenth of the texts, by a hash of the id, repeat a stretch of words from some place on."""
+    h = F.crc32(key.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeat(words: Column) -> Column:
+        n = F.size(words)
+        first = F.pmod(g, n)
+        period = 1 + F.floor((n - first) / (3 + F.pmod(g, F.lit(8))))
+        places = F.sequence(first, n - 1)
+        later = F.transform(places, lambda i: F.get(words, (first + F.pmod(i - first, period)).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), first.cast("int")), later), " ")
+
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    repeated = let(words, lambda w: F.when(F.size(w) > 0, repeat(w)).otherwise(text))
+    return F.when(h % 10 == 0, repeated).otherwise(text)
+
+
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    docs = docs.select("doc_id", woven(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs(docs)
+    # Runs are sorted by start and period, so the first of equal ones wins.
+    none = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    best = F.reduce("runs", none, lambda best, r: F.when(
+        best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("best", best)
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    marked = linerules.mark_lines(docs, linerules.fit_lines(docs, table(spark, folder, "labels")))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    kept = ~failed & (F.col("content_share") >= linerules.LEAST_CONTENT)
+    return marked.select(
+        F.col("id").alias("doc_id"), *linerules.COUNTS, failed.alias("base_failed"), kept.alias("kept"),
+        "n_lines", "content_share",
+    )
+
+
+def op13_fim(spark: SparkSession, folder: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, folder, "documents"))
+    return cut.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_topk, op2_neardup, op3_warc, op4_vectors, op5_toxicity, op6_tokenids,
-              op7_tokencounts, op8_quality, op9_packing, op10_mixing)
+              op7_tokencounts, op8_quality, op9_packing, op10_mixing, op11_runs, op12_rules, op13_fim)
 }
 
 REACH = """reach as (
@@ -142,4 +200,25 @@ with recursive nodes as (
 ), n as (select x, count(*) as n_links from links group by x)
 select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id = component_id as kept
 from nodes join c on node = vec_id left join n on x = vec_id""",
+    "op13_fim": """
+with d as (
+    select doc_id, coalesce(text, '') as text, length(coalesce(text, ''))::bigint as n,
+        sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents
+), h as (
+    select doc_id, text, n, ('0x' || h[1:8])::bigint % (n + 1) as c1, ('0x' || h[9:16])::bigint % (n + 1) as c2,
+        ('0x' || h[17:24])::bigint % 100 as h3, ('0x' || h[25:32])::bigint % 100 as h4 from d
+), f as (
+    select doc_id, text, n, least(c1, c2) as a, greatest(c1, c2) as b,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 >= 90
+            then 'plain' when h4 < 20 then 'spm' else 'psm' end as form from h
+), p as (
+    select *, substring(text, 1, a) as prefix, substring(text, a + 1, b - a) as middle, substring(text, b + 1) as suffix
+    from f
+)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+    case when form <> 'plain' then b - a end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+    sha256(text) as restored_sha256
+from p""",
 }
