@@ -44,6 +44,7 @@ ROUNDS = 3
 LEAST_CONTENT = 0.5
 WINDOW = 5
 SLICE_BYTES = 4_000_000
+BLOCK_LINES, BLOCK_BYTES = 1 << 16, 1 << 21
 
 # The symbols that the rules count.
 SYMBOLS = b"#*$%&|<>"
@@ -59,38 +60,82 @@ KIND[128:192], KIND[192:] = LATER, FIRST
 
 @dataclass
 class Lines:
-    """Counts and features of all lines of some texts; text k has lines bounds[k] to bounds[k + 1]."""
+    """The lines of some texts; text k has lines bounds[k] to bounds[k + 1]."""
 
+    raw: np.ndarray
+    edges: np.ndarray
     bounds: np.ndarray
-    features: np.ndarray
+    n_words: np.ndarray
     characters: np.ndarray
+    again: np.ndarray
+    repeated: np.ndarray
     counts: dict[str, np.ndarray]
 
+    def features(self, first: int, stop: int) -> np.ndarray:
+        """What lines first to stop - 1 are made of."""
+        made, kinds = bytes_by_kind(self.raw, self.edges[first : stop + 1])
+        size = np.diff(self.edges[first : stop + 1])
+        last = np.full(stop - first, OTHER)
+        last[size > 0] = kinds[np.cumsum(size)[size > 0] - 1]
+        total = made.sum(axis=1) + 1.0
+        n_words = self.n_words[first:stop]
+        n = n_words + 1.0
+        return np.column_stack([
+            made[:, :SYMBOL + 1] / total[:, None], made[:, OTHER] / total, made[:, FIRST] / total,
+            made[:, UPPER] / (made[:, UPPER] + made[:, LOWER] + 1), made[:, SYMBOL] / n, made[:, CALL] / n,
+            made[:, STOP] / n, np.log1p(n_words), self.characters[first:stop] / n, self.again[first:stop],
+            self.repeated[first:stop] / n, (last == STOP) | (last == CALL), last == SYMBOL, n_words == 0,
+            (n_words > 0) & (n_words < 4),
+        ])
+
+    def blocks(self) -> Iterator[tuple[int, int]]:
+        """All lines in stretches of bounded rows and bytes, one line at least."""
+        first, count = 0, len(self.n_words)
+        while first < count:
+            fits = int(np.searchsorted(self.edges, self.edges[first] + BLOCK_BYTES, side="right")) - 1
+            stop = min(max(fits, first + 1), first + BLOCK_LINES, count)
+            yield first, stop
+            first = stop
+
+    def lean(self, field: ChainField) -> np.ndarray:
+        return np.concatenate([field.lean(self.features(a, b)) for a, b in self.blocks()] or [np.zeros(0)])
+
+
+def bytes_by_kind(raw: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes of each kind each line holds, and the kinds of all bytes."""
+    count = len(edges) - 1
+    kinds = KIND[raw[edges[0] : edges[-1]]]
+    line = np.repeat(np.arange(count) * 10, np.diff(edges))
+    return np.bincount(line + kinds, minlength=10 * count).reshape(count, 10), kinds
+
 
 def repeated_words(words: Words, window: int = WINDOW) -> np.ndarray:
     """Which words stand in a window of words that its text holds twice or more."""
     codes, sizes, n = words.codes, words.sizes, len(words.codes)
     covered = np.zeros(n + 1, np.int64)
-    text = np.repeat(np.arange(len(sizes)), sizes)
+    text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     left = np.repeat(words.bounds[1:], sizes) - np.arange(n)
     at = np.flatnonzero(left >= window)
     if not len(at):
         return np.zeros(n, bool)
-    rows = codes[at[:, None] + np.arange(window)]
     value = mixed(text[at].astype(np.uint64) + ODD)
     for k in range(window):
-        value = mixed(value * ODD + rows[:, k].astype(np.uint64))
+        value = mixed(value * ODD + codes[at + k].astype(np.uint64))
     order = np.argsort(value, kind="stable")
-    alike = value[order[1:]] == value[order[:-1]]
-    same = alike & (rows[order[1:]] == rows[order[:-1]]).all(axis=1) & (text[at[order[1:]]] == text[at[order[:-1]]])
+    one, other = order[1:], order[:-1]
+    alike = value[one] == value[other]
+    one, other = one[alike], other[alike]
+    same = text[at[one]] == text[at[other]]
+    for k in range(window):
+        same &= codes[at[one] + k] == codes[at[other] + k]
     twice = np.zeros(len(at), bool)
-    if (alike == same).all():
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
+    if same.all():
+        twice[one] = True
+        twice[other] = True
     else:  # different windows with one hash: compare them in full
         places = defaultdict(list)
-        for k, row in enumerate(rows.tolist()):
-            places[text[at[k]], *row].append(k)
+        for k, begin in enumerate(at.tolist()):
+            places[text[begin], *codes[begin : begin + window].tolist()].append(k)
         twice[[k for found in places.values() if len(found) > 1 for k in found]] = True
     begin = at[twice]
     np.add.at(covered, begin, 1)
@@ -106,52 +151,41 @@ def lines_of(texts: pa.Array) -> Lines:
     bounds = bounds - bounds[0]
     per = np.diff(bounds)
     count = len(values)
-    size = pc.binary_length(values).to_numpy().astype(np.int64)
-    edges = np.concatenate([[0], np.cumsum(size)])
-    raw = text_bytes(values)
-    line = np.repeat(np.arange(count), size)
-    kinds = KIND[raw]
-    made = np.bincount(line * 10 + kinds, minlength=10 * count).reshape(count, 10)
-    made = made.astype(float)
-
-    # A word begins at a character that is no space behind a space or the line's beginning.
-    begins = kinds != SPACE
-    begins[1:] &= (kinds[:-1] == SPACE) | (line[1:] != line[:-1])
-    n_words = np.bincount(line[begins], minlength=count)
-    points = made.sum(axis=1) - made[:, SPACE] - made[:, LATER]
-
     text_of = np.repeat(np.arange(len(per)), per)
+    edges = np.concatenate([[0], np.cumsum(pc.binary_length(values).to_numpy())])
+    none = np.zeros(count, np.int64)
+    lines = Lines(text_bytes(values), edges, bounds, none, none.copy(), none > 0, none, {})
+
+    symbols = np.zeros(len(per), np.int64)
+    n_words = np.zeros(count, np.int64)
+    for first, stop in lines.blocks():
+        made, kinds = bytes_by_kind(lines.raw, edges[first : stop + 1])
+        line = np.repeat(np.arange(stop - first), np.diff(edges[first : stop + 1]))
+        # A word begins at a character that is no space behind a space or the line's beginning.
+        begins = kinds != SPACE
+        begins[1:] &= (kinds[:-1] == SPACE) | (line[1:] != line[:-1])
+        n_words[first:stop] = np.bincount(line[begins], minlength=stop - first)
+        lines.characters[first:stop] = made.sum(axis=1) - made[:, SPACE] - made[:, LATER]
+        np.add.at(symbols, text_of[first:stop], made[:, SYMBOL])
+
     codes = values.dictionary_encode().indices.to_numpy().astype(np.int64)
     place = np.unique(text_of * (codes.max(initial=0) + 1) + codes, return_index=True)[1]
-    again = np.ones(count, bool)
+    again = n_words > 0
     again[place] = False
-    again &= n_words > 0
 
     words = words_of(texts)
-    repeats = repeated_words(words)
     # Both count words line by line in the same order, as a line break is a space between words.
-    line_of_word = np.repeat(np.arange(count), n_words)
-    repeated = np.bincount(line_of_word[repeats], minlength=count)
-
-    last = np.full(count, OTHER)
-    some = size > 0
-    last[some] = kinds[edges[1:][some] - 1]
-    total = made.sum(axis=1) + 1.0
-    n = n_words + 1.0
-    features = np.column_stack([
-        made[:, :SYMBOL + 1] / total[:, None], made[:, OTHER] / total, made[:, FIRST] / total,
-        made[:, UPPER] / (made[:, UPPER] + made[:, LOWER] + 1), made[:, SYMBOL] / n, made[:, CALL] / n,
-        made[:, STOP] / n, np.log1p(n_words), points / n, again, repeated / n,
-        (last == STOP) | (last == CALL), last == SYMBOL, n_words == 0, (n_words > 0) & (n_words < 4),
-    ])
-    counts = {
+    repeats = np.concatenate([[0], np.cumsum(repeated_words(words))])
+    begins = np.concatenate([[0], np.cumsum(n_words)])
+    lines.n_words, lines.again, lines.repeated = n_words, again, np.diff(repeats[begins])
+    lines.counts = {
         "n_words": words.sizes,
-        "word_chars": np.bincount(text_of, points, len(per)).astype(np.int64),
-        "n_symbols": np.bincount(text_of, made[:, SYMBOL], len(per)).astype(np.int64),
+        "word_chars": np.bincount(text_of, lines.characters, len(per)).astype(np.int64),
+        "n_symbols": symbols,
         "n_dup_lines": np.bincount(text_of[again], minlength=len(per)),
-        "n_repeat_words": np.bincount(text_of, repeated, len(per)).astype(np.int64),
+        "n_repeat_words": np.bincount(text_of, lines.repeated, len(per)).astype(np.int64),
     }
-    return Lines(bounds, features, points, counts)
+    return lines
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +201,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 begins = list(range(first, stop, CHUNK))
                 begins.sort(key=lambda at: xxhash.xxh3_64_intdigest(f"{key}:{at - first}"))
                 for at in sorted(begins[:CHUNKS]):
-                    own = lines.features[at : min(at + CHUNK, stop)]
+                    own = lines.features(at, min(at + CHUNK, stop))
                     ids.append(key)
                     labels.append(y)
                     places.append(at - first)
@@ -215,7 +249,7 @@ def fit_lines(
     y = found.column("y").to_numpy()
     if len(set(y.tolist())) < 2:
         return None
-    width = lines_of(pa.array([""])).features.shape[1] + 1
+    width = lines_of(pa.array([""])).features(0, 1).shape[1] + 1
     rows = [np.frombuffer(r.as_py()).reshape(-1, width) for r in found.column("rows")]
     return fit_field([r[:, :-1] for r in rows], y, [r[:, -1] for r in rows])
 
@@ -237,7 +271,7 @@ def mark_lines(
         for batch in batches:
             for part in slices(batch, "t", SLICE_BYTES):
                 lines = lines_of(part.column("t"))
-                lean = None if field is None else field.lean(lines.features)
+                lean = None if field is None else lines.lean(field)
                 shares, per, spans = [], [0], []
                 for first, stop in zip(lines.bounds[:-1].tolist(), lines.bounds[1:].tolist()):
                     weight = lines.characters[first:stop]
