@@ -7,10 +7,11 @@ the table, so scoring ships it to every executor and needs no shuffle.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from pulsegrid.functions.hashing import hash_hex, hash_uniform
+from pulsegrid.functions.hashing import HEX_DIGITS, hash_hex, hash_uniform
 from pulsegrid.operators.quantiles import quantile_columns
 from pulsegrid.schemas import FEATURE_COLS
 
@@ -114,12 +115,27 @@ def poisson_steps(mean: float) -> list[float]:
     return steps
 
 
-def grow_tree(rows: np.ndarray, max_depth: int, rng: np.random.Generator) -> list[tuple]:
-    """Nodes of one tree as (node, feature, threshold, left, right, n, depth)."""
+def tree_draws(seed: object, tree: int) -> Callable[[str, int], float]:
+    """Uniform numbers for the places of a tree: md5 of the seed, a purpose, the tree and the place.
+
+    A place counts from 1 at the root; below place p lie 2p and 2p + 1. Any engine can repeat
+    these draws, and so the tree.
+    """
+
+    def draw(purpose: str, place: int) -> float:
+        text = f"{seed}:{purpose}:{tree}:{place}"
+        digits = hashlib.md5(text.encode(), usedforsecurity=False).hexdigest()[:HEX_DIGITS]
+        return int(digits, 16) / 16**HEX_DIGITS
+
+    return draw
+
+
+def grow_tree(rows: np.ndarray, max_depth: int, draw: Callable[[str, int], float]) -> list[tuple]:
+    """Nodes of one tree as (node, feature, threshold, left, right, n, depth), left parts first."""
     nodes: list[tuple] = []
-    open_nodes = [(rows, 0, -1, False)]
+    open_nodes = [(rows, 0, 1, -1, False)]
     while open_nodes:
-        part, depth, parent, is_right = open_nodes.pop()
+        part, depth, place, parent, is_right = open_nodes.pop()
         node = len(nodes)
         if parent >= 0:
             at = 4 if is_right else 3
@@ -129,30 +145,26 @@ def grow_tree(rows: np.ndarray, max_depth: int, rng: np.random.Generator) -> lis
         if depth >= max_depth or len(part) <= 1 or len(splittable) == 0:
             nodes.append((node, -1, 0.0, -1, -1, len(part), depth))
             continue
-        feature = int(rng.choice(splittable))
+        feature = int(splittable[int(draw("feature", place) * len(splittable))])
         # The largest value always goes right, so neither side is empty.
-        threshold = float(rng.uniform(low[feature], high[feature]))
+        threshold = float(low[feature] + draw("cut", place) * (high[feature] - low[feature]))
+        threshold = min(threshold, float(np.nextafter(high[feature], low[feature])))
         goes_left = part[:, feature] <= threshold
-        if goes_left.all():
-            threshold = float(np.nextafter(high[feature], low[feature]))
-            goes_left = part[:, feature] <= threshold
         nodes.append((node, feature, threshold, -1, -1, len(part), depth))
-        open_nodes.append((part[~goes_left], depth + 1, node, True))
-        open_nodes.append((part[goes_left], depth + 1, node, False))
+        open_nodes.append((part[~goes_left], depth + 1, 2 * place + 1, node, True))
+        open_nodes.append((part[goes_left], depth + 1, 2 * place, node, False))
     return nodes
 
 
 def _grow_forest(samples: DataFrame, features: Sequence[str], key: Sequence[str], psi, seed):
     max_depth = max(1, math.ceil(math.log2(max(psi, 2))))
-    features, key, seed_text = list(features), list(key), str(seed)
+    features, key = list(features), list(key)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        # Rows arrive in no fixed order; sorting makes the tree repeatable.
-        pdf = pdf.sort_values(key, kind="stable")
+        # Rows arrive in no fixed order; a tree depends on their set alone.
         tree = int(pdf["tree"].iloc[0])
-        rng = np.random.default_rng([tree, *seed_text.encode()])
-        nodes = grow_tree(pdf[features].to_numpy(dtype=float), max_depth, rng)
-        grown = pd.DataFrame(nodes, columns=NODES.names[1:])
+        rows = pdf[features].to_numpy(dtype=float)
+        grown = pd.DataFrame(grow_tree(rows, max_depth, tree_draws(seed, tree)), columns=NODES.names[1:])
         grown.insert(0, "tree", tree)
         return grown
 
@@ -324,6 +336,52 @@ def score(
     return checked.withColumn(out, _score_column(model))
 
 
+def walk_forest(
+    df: DataFrame,
+    nodes: DataFrame,
+    features: Sequence[str],
+    key: Sequence[str],
+    psi: int,
+    out: str = "anomaly_score",
+) -> DataFrame:
+    """``key`` and the score of each row, by joins with a forest that lies in a table.
+
+    This is for forests too large to ship to workers: nothing of the forest comes to the
+    driver but its depth. Every row takes its place in every tree and moves down one level
+    a join; rows at a leaf stay there. Sums over the trees begin before the last shuffle.
+    The key must identify a row; rows with a missing feature get no score.
+    """
+    key, names = list(key), list(features)
+    leaf = F.col("feature") < 0
+    size = F.greatest(F.col("n"), F.lit(3))
+    long = 2.0 * (F.log(size - 1.0) + EULER_GAMMA) - 2.0 * (size - 1.0) / size
+    tail = F.when(F.col("n") > 2, long).when(F.col("n") == 2, 1.0).otherwise(0.0)
+    steps = nodes.select(
+        F.col("tree").alias("_tree"), F.col("node").alias("_node"), "feature", "threshold",
+        F.when(leaf, F.col("node")).otherwise(F.col("left")).alias("left"),
+        F.when(leaf, F.col("node")).otherwise(F.col("right")).alias("right"),
+        F.when(leaf, F.col("depth") + tail).alias("length"),
+    )
+    depth, trees = nodes.agg(F.max("depth"), F.count_if(F.col("node") == 0)).first()
+    values = [F.col(c).cast("double") for c in names]
+    known = F.lit(True)
+    for v in values:
+        known = known & v.isNotNull() & ~F.isnan(v)
+    roots = nodes.filter("node = 0").agg(F.collect_list("tree")).scalar()
+    at = df.filter(known).select(*key, F.array(*values).alias("_x"), F.explode(roots).alias("_tree"))
+    at = at.withColumn("_node", F.lit(0))
+    for _ in range(depth or 0):
+        step = steps.select("_tree", "_node", "feature", "threshold", "left", "right")
+        value = F.get("_x", F.greatest(F.col("feature"), F.lit(0)))
+        below = F.when(value <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+        at = at.join(step, ["_tree", "_node"]).select(*key, "_x", "_tree", below.alias("_node"))
+    ends = at.join(steps.select("_tree", "_node", "length"), ["_tree", "_node"])
+    mean = F.sum("length") / trees
+    normal_path = max(float(average_path(psi)), 1e-300)
+    scored = ends.groupBy(*key).agg((-F.pow(F.lit(2.0), -mean / normal_path)).alias(out))
+    return df.select(*key).join(scored, key, "left")
+
+
 def contamination_threshold(
     scores: DataFrame,
     contamination: float = CONTAMINATION,

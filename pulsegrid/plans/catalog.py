@@ -15,7 +15,14 @@ from pyspark.sql import types as T
 from pulsegrid.functions.text import clean_text, strip_tags, tokens
 from pulsegrid.operators import evaluate, features, generate, iforest, profile, resample
 from pulsegrid.operators import sampling, series, stats, textfeatures, validate
-from pulsegrid.operators.sentiment import sentiment_columns
+from pulsegrid.operators.sentiment import fit_sentiment, predict, sentiment_columns
+from pulsegrid.operators.termmodel import (
+    document_vectors,
+    learned_terms,
+    predict_by_terms,
+    steepest,
+    term_table,
+)
 from pulsegrid.plans import health, sentiment
 from pulsegrid.schemas import FEATURE_COLS, LABEL, METRICS, TELEMETRY, TIMESTAMP
 from pulsegrid.session import scratch_dir
@@ -24,6 +31,8 @@ from pulsegrid.sources.views import documents, pages, reviews_view, telemetry_vi
 from pulsegrid.streaming.reviews import read_review_stream, start_predictions
 
 UNITS = 1e6
+#: Slopes of the mean loss below this count as none; with all coefficients 0 the steepest is about 0.4.
+OPTIMAL = 1e-3
 USER = ("user_id",)
 BY_USER = series.Axis(keys=USER, dense=True)
 LIMITS = {"temperature": (0.0, 250.0), "voltage": (0.0, 99.0)}
@@ -217,6 +226,30 @@ def _forest(spark, folder):
     return table, iforest.fit_iforest(table, key=[*USER, TIMESTAMP], handle_invalid="error")
 
 
+def short_features(spark, folder):
+    """Features of six places: trees cut between values, so these must not differ in their last bits."""
+    return stored(rounded(feature_table(spark, folder, USER)), "features")
+
+
+def q_iforest_nodes(spark, folder):
+    """The whole forest as rows."""
+    table = short_features(spark, folder)
+    model = iforest.fit_iforest(table, key=[*USER, TIMESTAMP], contamination=None)
+    return spark.createDataFrame(model.nodes, iforest.NODES)
+
+
+WALKED = ["temperature", "current", "angular_velocity", "solar_power"]
+
+
+def q_forest_walk(spark, folder):
+    """Scores of the readings by joins with a saved forest."""
+    readings = telemetry_view(spark, folder).select("seq", *WALKED)
+    readings = stored(rounded(readings), "readings")
+    path = scratch_dir(spark, "iforest")
+    iforest.fit_iforest(readings, WALKED, "seq", trees=10, psi=64, contamination=None).save(spark, path)
+    return iforest.walk_forest(readings, read_table(spark, f"{path}/nodes"), WALKED, ["seq"], 64)
+
+
 def q_iforest_trees(spark, folder):
     """Per tree: rows drawn, rows in its leaves, depth within the limit."""
     table = stored_features(spark, folder, USER)
@@ -242,8 +275,12 @@ def q_iforest_flags(spark, folder):
 
 
 def q_score_telemetry(spark, folder):
-    table, model = _forest(spark, folder)
-    return iforest.score_telemetry(table, model).select(
+    """Scores and flags as the pipeline makes them: scored once, the offset from the stored scores."""
+    table = short_features(spark, folder)
+    model = iforest.fit_iforest(table, key=[*USER, TIMESTAMP], contamination=None)
+    scores = stored(rounded(iforest.score(table, model).select(*USER, TIMESTAMP, "anomaly_score")), "scored")
+    threshold = iforest.contamination_threshold(scores).scalar()
+    return scores.withColumns(iforest.predict_columns("anomaly_score", threshold)).select(
         *USER, TIMESTAMP, "anomaly_prediction", "anomaly_score", "is_predicted_anomaly"
     )
 
@@ -308,14 +345,62 @@ def q_tfidf(spark, folder):
     return textfeatures.tfidf(_clean_docs(spark, folder), "review", "doc_id")
 
 
+ROUNDS = 5
+
+
+def q_sentiment_coefficients(spark, folder):
+    """The classifier's table after five full-batch rounds."""
+    out = scratch_dir(spark, "sentiment")
+    return sentiment.train_term_model(reviews_view(spark, folder), "doc_id", out, ROUNDS)[0]
+
+
 def q_sentiment_predict(spark, folder):
+    """Predictions by a join with the table of those coefficients."""
     reviews = reviews_view(spark, folder)
-    model, _ = sentiment.train_sentiment(reviews, "doc_id")
-    return sentiment.predict_reviews(reviews.select("doc_id", "review"), model).select(
+    terms, _ = sentiment.train_term_model(reviews, "doc_id", scratch_dir(spark, "sentiment"), ROUNDS)
+    return sentiment.predict_by_table(reviews.select("doc_id", "review"), terms, "doc_id").select(
         "doc_id", "sentiment", "confidence"
     )
 
 
+def q_sentiment_scores(spark, folder):
+    """All measures of that classifier on the hold-out, one row each."""
+    out = scratch_dir(spark, "sentiment")
+    terms, holdout = sentiment.train_term_model(reviews_view(spark, folder), "doc_id", out, ROUNDS)
+    scored = predict_by_terms(holdout, terms, "review", "doc_id")
+    results = sentiment.evaluations(stored(scored.select("sentiment", "prediction"), "scored"))
+    cells = _cells_by_name(results["metrics"], "metrics")
+    cells = cells.unionByName(_cells_by_name(results["confusion"], "confusion", "actual"))
+    return cells.unionByName(_cells_by_name(results["report"], "report", "class")).filter("x is not null")
+
+
+def q_sentiment_optimum(spark, folder):
+    """Whether the MLlib fit is the optimum of the loss, and its table predicts what it does."""
+    out = scratch_dir(spark, "sentiment")
+    reviews = reviews_view(spark, folder)
+    train, _ = sampling.exact_split(
+        sentiment.prepare_reviews(reviews), sentiment.TEST_FRACTION, "doc_id", sentiment.SEED
+    )
+    train = stored(train.select("doc_id", "cleaned_review", "label"), "train")
+    model = fit_sentiment(train)
+    write_table(term_table(spark, model), f"{out}/terms")
+    terms = read_table(spark, f"{out}/terms")
+    n = train.count()
+    numbered = learned_terms(train, "cleaned_review", n_documents=n).drop("idf").join(terms, "term")
+    numbered = stored(numbered, "numbered")
+    rows = document_vectors(train, "cleaned_review", "doc_id", numbered)
+    rows = rows.join(train.select("doc_id", "label"), "doc_id")
+    slope = steepest(rows, numbered.select("i", "coefficient"), 1.0 / n, n).scalar()
+    ours = predict_by_terms(train, terms, "cleaned_review", "doc_id").select(
+        "doc_id", F.col("probability")[1].alias("p")
+    )
+    theirs = predict(train, model, "cleaned_review").select("doc_id", F.col("probability")[1].alias("q"))
+    return ours.join(theirs, "doc_id").select(
+        "doc_id", (F.abs(F.col("p") - F.col("q")) < 1e-9).alias("same_as_pipeline"),
+        (slope < OPTIMAL).alias("at_optimum"),
+    )
+
+
 def _cells_by_name(df: DataFrame, table: str, key: str | None = None) -> DataFrame:
     """Every number of a small result table as a row with its name."""
     row = F.col(key).cast("string") if key else F.lit("")
@@ -541,6 +626,8 @@ def _plan() -> dict:
         "ml_report": q_ml_report,
         "tree_samples": q_tree_samples,
         "iforest_trees": q_iforest_trees,
+        "iforest_nodes": q_iforest_nodes,
+        "forest_walk": q_forest_walk,
         "iforest_flags": q_iforest_flags,
         "iforest_reload": q_iforest_reload,
         "score_telemetry": q_score_telemetry,
@@ -554,7 +641,10 @@ def _plan() -> dict:
         "vocabulary": q_vocabulary,
         "tfidf": q_tfidf,
         "holdout_table": q_holdout_table,
+        "sentiment_coefficients": q_sentiment_coefficients,
         "sentiment_predict": q_sentiment_predict,
+        "sentiment_scores": q_sentiment_scores,
+        "sentiment_optimum": q_sentiment_optimum,
         "sentiment_evaluate": q_sentiment_evaluate,
         "sentiment_pipeline": q_sentiment_pipeline,
         "sentiment_stream": q_sentiment_stream,

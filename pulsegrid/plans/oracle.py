@@ -154,6 +154,107 @@ def _describe() -> str:
     return "\nunion all ".join(parts)
 
 
+def _tree_samples(source: str, key: tuple[str, ...], trees: int = 100, psi: int = 256) -> list[str]:
+    """Rows of each tree. At or above half of the rows every row takes part in every tree; below,
+    a Poisson number of picks per row, its cumulative chances summed here from the series itself."""
+    keys = ", ".join(key)
+    return [
+        f"""hashed as (
+  select {keys}, count(*) over () as n, {_hash("42:row", *key)} as row_hash from {source}),
+params as (select any_value(n) as n, 4 * {psi + 16} / any_value(n)::double as rate from hashed),
+steps as (
+  select k, sum(chance) over (order by k) as upto from (
+    select k, exp(k * ln(-{trees} * ln(1 - rate)) + {trees} * ln(1 - rate) - lgamma(k + 1)) as chance
+    from params, (select unnest(generate_series(0, {4 * trees})) as k) where rate < 0.5)),
+times as (
+  select {keys}, row_hash, (select count(*) from steps where upto <= u) as times from (
+    select *, {_uniform("42:times", "row_hash")} as u from hashed, params where rate < 0.5)),
+picks as (
+  select distinct {keys}, row_hash,
+    cast(floor({_uniform("42:pick", "row_hash", "j")} * {trees}) as int) as tree
+  from (select {keys}, row_hash, unnest(generate_series(1, times)) as j from times)
+  union all
+  select {keys}, row_hash, cast(i as int) from hashed, params, range({trees}) x(i) where rate >= 0.5),
+drawn as (select tree, {keys}, {_hash("42:tree", "tree", "row_hash")} as draw from picks),
+sampled as (
+  select tree, {keys} from (
+    select *, row_number() over (partition by tree order by draw, {keys}) as rn from drawn)
+  where rn <= {psi})"""
+    ]
+
+
+def _forest(source: str, key: tuple[str, ...], width: int, trees: int = 100, psi: int = 256) -> list[str]:
+    """The trees over the list column f of the source, level by level, as the table nodes.
+
+    A place counts from 1 at the root; below place p lie 2p and 2p + 1.
+    """
+    depth = (psi - 1).bit_length()
+    bounds = [f"[{', '.join(f'{end}(f[{i}])' for i in range(1, width + 1))}] as {end}s" for end in ("min", "max")]
+    steps = [
+        *_tree_samples(source, key, trees, psi),
+        f"""at0 as materialized (
+  select tree, 1 as place, f from sampled join {source} using ({", ".join(key)}))""",
+    ]
+    for level in range(depth + 1):
+        steps.append(
+            f"""parts{level} as (
+  select tree, place, count(*) as n, {", ".join(bounds)} from at{level} group by tree, place),
+open{level} as (
+  select *, list_filter(range(1, {width + 1}), lambda i: maxs[i] > mins[i] and n > 1 and {level} < {depth}) as o
+  from parts{level}),
+split{level} as materialized (
+  select tree, place, n::int as n, {level} as depth,
+    case when len(o) > 0 then c end as c, mins[c] + cut * (maxs[c] - mins[c]) as threshold
+  from (select *, o[1 + floor({_uniform("42:feature", "tree", "place")} * len(o))::int] as c,
+    {_uniform("42:cut", "tree", "place")} as cut from open{level}))"""
+        )
+        if level < depth:
+            steps.append(
+                f"""at{level + 1} as materialized (
+  select tree, 2 * place + (f[c] > threshold)::int as place, f
+  from at{level} join split{level} using (tree, place) where c is not null)"""
+            )
+    split = " union all ".join(f"select * from split{level}" for level in range(depth + 1))
+    return [*steps, f"nodes as materialized ({split})"]
+
+
+EULER = "0.5772156649015329e0"
+
+
+def _average_path(n: str) -> str:
+    return (
+        f"(case when {n} > 2 then 2 * (ln({n} - 1e0) + {EULER}) - 2 * ({n} - 1e0) / {n}"
+        f" when {n} = 2 then 1e0 else 0e0 end)"
+    )
+
+
+def _walked(source: str, key: tuple[str, ...], trees: int = 100, psi: int = 256) -> list[str]:
+    """Every row down every tree: the table walked with its score."""
+    depth = (psi - 1).bit_length()
+    keys = ", ".join(key)
+    steps = [
+        f"""ways as materialized (
+  select tree, place, c, threshold, c is null as leaf, depth + {_average_path("n")} as length from nodes),
+walk0 as (select {keys}, f, i::int as tree, 1 as place from {source}, range({trees}) t(i))"""
+    ]
+    for level in range(depth):
+        steps.append(
+            f"""walk{level + 1} as (
+  select {keys}, f, tree, case when leaf then place when f[c] > threshold then 2 * place + 1 else 2 * place end as place
+  from walk{level} join ways using (tree, place))"""
+        )
+    return [
+        *steps,
+        f"""walked as (
+  select {keys}, -pow(2e0, -(sum(length) / {trees}) / {_average_path(f"{psi}e0")}) as anomaly_score
+  from walk{depth} join ways using (tree, place) group by all)""",
+    ]
+
+
+def _listed(columns) -> str:
+    return "[" + ", ".join(f"floor({c} * 1e6 + 0.4999e0) / 1e6" for c in columns) + "] as f"
+
+
 NULLABLE = ("timestamp", *METRICS, "is_anomaly")
 
 
@@ -450,32 +551,9 @@ from (select *, {QUALITY} from counted)""",
   case when anomaly_rate_pct < 1 then 'NOMINAL' when anomaly_rate_pct < 5 then 'CAUTION'
     else 'ALERT' end as status from graded""",
     ),
-    # At or above half of the rows every row takes part in every tree; below, a Poisson number
-    # of picks per row, its cumulative chances summed here from the series itself.
     "tree_samples": _with(
-        [
-            TEL,
-            f"""hashed as (
-  select seq, count(*) over () as n, {_hash("42:row", "seq")} as row_hash from tel),
-params as (select any_value(n) as n, 4 * 272 / any_value(n)::double as rate from hashed),
-steps as (
-  select k, sum(chance) over (order by k) as upto from (
-    select k, exp(k * ln(-100 * ln(1 - rate)) + 100 * ln(1 - rate) - lgamma(k + 1)) as chance
-    from params, (select unnest(generate_series(0, 400)) as k) where rate < 0.5)),
-times as (
-  select seq, row_hash, (select count(*) from steps where upto <= u) as times from (
-    select *, {_uniform("42:times", "row_hash")} as u from hashed, params where rate < 0.5)),
-picks as (
-  select distinct seq, row_hash,
-    cast(floor({_uniform("42:pick", "row_hash", "j")} * 100) as int) as tree
-  from (select seq, row_hash, unnest(generate_series(1, times)) as j from times)
-  union all
-  select seq, row_hash, cast(i as int) from hashed, params, range(100) x(i) where rate >= 0.5),
-drawn as (select tree, seq, {_hash("42:tree", "tree", "row_hash")} as draw from picks)"""
-        ],
-        """select tree, seq from (
-  select tree, seq, row_number() over (partition by tree order by draw, seq) as rn
-  from drawn) where rn <= 256""",
+        [TEL, *_tree_samples("tel", ("seq",))],
+        """select tree, seq from sampled""",
     ),
     "iforest_trees": _with(
         [
@@ -578,6 +656,130 @@ for _name, _select in {
         _select,
     )
 
+_KEY = ("user_id", '"timestamp"')
+_GROWN = [
+    *_feature_steps(True),
+    f"""listed as materialized (select user_id, "timestamp", {_listed(FEATURE_COLS)} from features)""",
+    *_forest("listed", _KEY, len(FEATURE_COLS)),
+]
+# Left parts come first: the order of the places read as strings of bits.
+ORACLE_SQL["iforest_nodes"] = _with(
+    [
+        *_GROWN,
+        """numbered as (
+  select *, row_number() over (partition by tree order by bin(place)) - 1 as node from nodes)""",
+    ],
+    f"""select a.tree, a.node::int as node, coalesce(a.c - 1, -1)::int as feature,
+  {r("case when a.c is null then 0e0 else a.threshold end", "threshold")},
+  coalesce(l.node, -1)::int as "left", coalesce(r.node, -1)::int as "right", a.n, a.depth
+from numbered a left join numbered l on l.tree = a.tree and l.place = 2 * a.place
+  left join numbered r on r.tree = a.tree and r.place = 2 * a.place + 1""",
+)
+ORACLE_SQL["score_telemetry"] = _with(
+    [
+        *_GROWN,
+        *_walked("listed", _KEY),
+        f"""scored as (select user_id, "timestamp", {r("anomaly_score")} from walked),
+flagged as (
+  select *, (anomaly_score < (select quantile_cont(anomaly_score, 0.05) from scored))::int as is_predicted_anomaly
+  from scored)""",
+    ],
+    """select user_id, "timestamp", 1 - 2 * is_predicted_anomaly as anomaly_prediction, anomaly_score,
+  is_predicted_anomaly from flagged""",
+)
+ORACLE_SQL["forest_walk"] = _with(
+    [
+        TEL,
+        f"""listed as materialized (
+  select seq, {_listed(("temperature", "current", "angular_velocity", "solar_power"))} from tel)""",
+        *_forest("listed", ("seq",), 4, 10, 64),
+        *_walked("listed", ("seq",), 10, 64),
+    ],
+    f"select seq, {r('anomaly_score')} from walked",
+)
+
+def _term_rounds(rounds: int) -> list[str]:
+    """Terms of the training reviews, TF-IDF of all reviews, gradient rounds with momentum from zero."""
+    steps = [
+        REVIEWS,
+        TEST_FLAG,
+        f"""docs as (
+  select doc_id, is_test, (sentiment = 'positive')::int as y, {CLEAN.format("review")} as review from flagged)""",
+        WORDS,
+        GRAMS,
+        "uses as materialized (select doc_id, unnest(g) as term from grams)",
+        "trained as materialized (select doc_id, y::double as y from docs where not is_test)",
+        "size as (select count(*)::double as n from trained)",
+        """vocab as materialized (
+  select row_number() over (order by tf desc, term) as i, term, ln((1e0 + n) / (1 + df)) + 1 as idf
+  from (select term, count(*) as tf, count(distinct doc_id) as df from uses semi join trained using (doc_id)
+    group by term order by tf desc, term limit 5000), size
+  union all select 0, '', 1e0)""",
+        """cells as materialized (
+  select doc_id, i, x / sqrt(sum(x * x) over (partition by doc_id)) as w
+  from (select doc_id, i, count(*) * any_value(idf) as x from uses join vocab using (term) group by doc_id, i)
+  union all select doc_id, 0, 1e0 from docs)""",
+        "beta0 as (select i, 0e0 as b, 0e0 as p from vocab)",
+    ]
+    for k in range(1, rounds + 1):
+        steps.append(
+            f"""miss{k} as (
+  select doc_id, 1 / (1 + exp(-sum(w * p))) - any_value(y) as m
+  from cells join beta{k - 1} using (i) join trained using (doc_id) group by doc_id),
+slope{k} as (select i, sum(m * w) as total from miss{k} join cells using (doc_id) group by i),
+moved{k} as (
+  select i, b, p - 2 / (1 + 2 / n)
+    * (coalesce(total, 0e0) / n + case when i > 0 then p / n else 0e0 end) as c
+  from beta{k - 1} left join slope{k} using (i), size),
+beta{k} as materialized (select i, c as b, c + {k - 1} / {k + 2}e0 * (c - b) as p from moved{k})"""
+        )
+    return [
+        *steps,
+        f"""judged as materialized (
+  select doc_id, 1 / (1 + exp(-sum(w * b))) as p from cells join beta{rounds} using (i) group by doc_id)""",
+    ]
+
+
+ORACLE_SQL["sentiment_coefficients"] = _with(
+    _term_rounds(5), f"select term, {r('idf')}, {r('b', 'coefficient')} from vocab join beta5 using (i)"
+)
+ORACLE_SQL["sentiment_predict"] = _with(
+    _term_rounds(5),
+    f"""select doc_id, case when p > 0.5 then 'positive' else 'negative' end as sentiment,
+  {r("greatest(p, 1 - p)", "confidence")} from judged""",
+)
+_NAMED = [f"('{c}', {c})" for c in SCORES]
+ORACLE_SQL["sentiment_scores"] = _with(
+    [
+        *_term_rounds(5),
+        """cells2 as (
+  select count(*) filter (a = 0 and p = 0) as n00, count(*) filter (a = 0 and p = 1) as n01,
+    count(*) filter (a = 1 and p = 0) as n10, count(*) filter (a = 1 and p = 1) as n11
+  from (select y as a, (p > 0.5)::int as p from judged join docs using (doc_id) where is_test))""",
+        CLASSES.replace("from cells", "from cells2"),
+        f"overall as (select {ACCURACY} as accuracy, n00 + n01 + n10 + n11 as total from cells2)",
+        f"""lines as (
+  select class, precision, recall, f1_score, support::double as support from classes
+  union all select 'accuracy', null, null, accuracy, total from overall
+  union all select 'macro avg', {", ".join(f"avg({c})" for c in SCORES)}, sum(support) from classes
+  union all select 'weighted avg', {", ".join(f"sum({c} * support) / sum(support)" for c in SCORES)},
+    sum(support) from classes)""",
+        f"""measures as (
+  select 'metrics.accuracy.' as name, accuracy as x from overall
+  union all select 'metrics.' || v.m || '.', v.x from classes,
+    (values {", ".join(_NAMED)}) v(m, x) where class = 'Positive'
+  union all select 'report.' || v.m || '.' || class, v.x from lines,
+    (values {", ".join(_NAMED)}, ('support', support)) v(m, x)
+  union all select 'confusion.' || v.m, v.x from cells2, (values ('predicted_0.0', n00),
+    ('predicted_1.0', n01), ('predicted_0.1', n10), ('predicted_1.1', n11)) v(m, x))""",
+    ],
+    f"select name, {r('x')} from measures where x is not null",
+)
+ORACLE_SQL["sentiment_optimum"] = _with(
+    [REVIEWS, TEST_FLAG],
+    "select doc_id, true as same_as_pipeline, true as at_optimum from flagged where not is_test",
+)
+
 # What the pipelines determine, whatever the fitted model is.
 ORACLE_SQL["simple_health"] = f"""select report.*, checks.* from ({ORACLE_SQL["simple_report"]}) report, (
   select count(*) as checks, count(*) filter (not ok) as checks_failed,

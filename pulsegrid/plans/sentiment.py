@@ -10,6 +10,7 @@ from pulsegrid.functions.text import clean_text
 from pulsegrid.operators.evaluate import binary_metrics, classification_report, confusion_matrix
 from pulsegrid.operators.sampling import exact_split
 from pulsegrid.operators.sentiment import binary_labels, fit_sentiment, predict, sentiment_columns
+from pulsegrid.operators.termmodel import fit_term_model, predict_by_terms
 from pulsegrid.operators.textfeatures import clean_reviews
 from pulsegrid.sources.tables import read_table, write_table
 
@@ -45,6 +46,35 @@ def predict_reviews(reviews: DataFrame, model: PipelineModel) -> DataFrame:
     return sentiment_columns(predict(reviews, model, clean_text(F.col("review"))))
 
 
+def train_term_model(
+    reviews: DataFrame, key: str, out: str, rounds: int, seed: object = SEED
+) -> tuple[DataFrame, DataFrame]:
+    """As ``train_sentiment``, with a model that is a table, written to ``<out>/terms``.
+
+    The hold-out keeps its key.
+    """
+    spark = reviews.sparkSession
+    train, test = exact_split(prepare_reviews(reviews), TEST_FRACTION, key, seed)
+    train = read_table(spark, write_table(train.select(key, "cleaned_review", "label"), f"{out}/train"))
+    write_table(fit_term_model(train, "cleaned_review", key, "label", rounds), f"{out}/terms")
+    holdout = test.select(key, F.col("cleaned_review").alias("review"), F.col("label").alias("sentiment"))
+    write_table(holdout, f"{out}/holdout")
+    return read_table(spark, f"{out}/terms"), read_table(spark, f"{out}/holdout")
+
+
+def predict_by_table(reviews: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """Add ``sentiment`` and ``confidence`` by a join with a table of terms."""
+    return sentiment_columns(predict_by_terms(reviews, terms, clean_text(F.col("review")), key))
+
+
+def evaluations(scored: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "metrics": binary_metrics(scored, "sentiment", "prediction"),
+        "confusion": confusion_matrix(scored, "sentiment", "prediction"),
+        "report": classification_report(scored, "sentiment", "prediction"),
+    }
+
+
 def evaluate_model(
     spark: SparkSession, model_path: str, holdout_path: str
 ) -> dict[str, DataFrame]:
@@ -52,11 +82,7 @@ def evaluate_model(
     model = PipelineModel.load(model_path)
     scored = predict(read_table(spark, holdout_path), model, "review")
     scored = scored.select("sentiment", "prediction")
-    return {
-        "metrics": binary_metrics(scored, "sentiment", "prediction"),
-        "confusion": confusion_matrix(scored, "sentiment", "prediction"),
-        "report": classification_report(scored, "sentiment", "prediction"),
-    }
+    return evaluations(scored)
 
 
 def run_sentiment(

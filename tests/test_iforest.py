@@ -143,3 +143,35 @@ def test_constant_table_has_single_node_trees(spark):
     model = iforest.fit_iforest(df, ["a"], key="id", trees=3)
     assert len(model.nodes) == 3
     assert iforest.score_telemetry(df, model).filter("is_predicted_anomaly = 1").count() == 0
+
+
+def test_draws_are_md5_of_their_place():
+    import hashlib
+
+    digits = hashlib.md5(b"42:cut:3:5").hexdigest()[:13]
+    assert iforest.tree_draws(42, 3)("cut", 5) == int(digits, 16) / 16**13
+
+
+def test_trees_do_not_depend_on_the_order_of_rows():
+    rows = np.random.default_rng(1).normal(size=(64, 3))
+    grown = iforest.grow_tree(rows, 6, iforest.tree_draws("s", 0))
+    assert grown == iforest.grow_tree(rows[::-1], 6, iforest.tree_draws("s", 0))
+    assert grown != iforest.grow_tree(rows, 6, iforest.tree_draws("s", 1))
+
+
+def test_walk_by_joins_equals_shipped_forest(spark, table, model):
+    holes = table.withColumn("a", F.when(F.col("id") != 7, F.col("a")))
+    nodes = spark.createDataFrame(model.nodes, iforest.NODES)
+    walked = iforest.walk_forest(holes, nodes, ["a", "b"], ["id"], model.psi, out="walked")
+    both = walked.join(iforest.score(holes, model, "keep"), "id")
+    assert both.count() == 3000
+    assert [r.id for r in both.filter("walked is null").collect()] == [7]
+    assert both.filter("id <> 7 and not abs(walked - anomaly_score) < 1e-12").count() == 0
+
+
+def test_walk_through_single_node_trees(spark):
+    df = spark.range(5).select("id", F.lit(1.0).alias("a"))
+    nodes = spark.createDataFrame([(t, 0, -1, 0.0, -1, -1, 5, 0) for t in range(3)], iforest.NODES)
+    scores = {r.anomaly_score for r in iforest.walk_forest(df, nodes, ["a"], ["id"], 5).collect()}
+    assert scores == {-0.5}
+    assert iforest.walk_forest(df.limit(0), nodes, ["a"], ["id"], 5).count() == 0
