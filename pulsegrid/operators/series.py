@@ -3,8 +3,8 @@
 A window over a whole series runs in one task, which a long or hot series would
 overload. Series are therefore cut into segments of a fixed number of steps. What
 an operation needs from outside its segment is carried over explicitly: fills take
-the last known values of earlier segments from a small per-segment table, and
-rolling windows copy the few rows before each segment into it.
+the last known values of earlier segments from a small per-segment table, itself read
+in groups of segments, and rolling windows copy the few rows before each segment into it.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+FAN = 1_024
+
+
 @dataclass(frozen=True)
 class Axis:
     """How the rows of a table form series.
@@ -24,6 +27,7 @@ class Axis:
     ``order`` is a timestamp in units of ``step`` seconds, or an integer. Rolling windows
     and differences count rows. They number the rows first, unless ``dense`` promises that
     every series has each position from its first to its last, as resampled tables do.
+    What is carried between segments looks at ``fan`` of them in one task.
     """
 
     order: str = "timestamp"
@@ -31,6 +35,7 @@ class Axis:
     step: int = 3600
     segment: int = 65_536
     dense: bool = False
+    fan: int = FAN
 
     def position(self, df: DataFrame) -> Column:
         order = F.col(self.order)
@@ -80,43 +85,72 @@ def _default(data_type: T.DataType) -> Column:
     return F.lit("1970-01-01" if calendar else "0").cast(data_type)
 
 
-def _fill(df: DataFrame, columns: Sequence[str] | None, axis: Axis, forward: bool) -> DataFrame:
-    columns = list(columns or [c for c in df.columns if c not in (axis.order, *axis.keys)])
-    # Shuffled once, up front: the per-segment table and the fill then share the
-    # shuffled rows, so whatever computed ``df`` does not run twice.
-    rows = axis.tag(df).repartition(*axis.series, "_seg")
+def segment_groups(ends: DataFrame, series: Sequence[str], segment: str, fan: int = FAN) -> DataFrame:
+    """One row per segment, dealt out by groups of ``fan`` neighbouring segments (``_group``).
+
+    What is carried between segments is found in a group first, and between groups then, so
+    that no task sees all segments of a long series. Both steps read this one shuffle.
+    """
+    group = F.floor(F.col(segment) / F.lit(fan))
+    return ends.withColumn("_group", group).repartition(*series, "_group")
+
+
+def _carried(ends: DataFrame, axis: Axis, segment: str, columns: Sequence[str], forward: bool) -> DataFrame:
+    """Per segment the nearest known value of each column in the segments before it (behind it)."""
+    rows = segment_groups(ends, axis.series, segment, axis.fan)
     nearest = F.max_by if forward else F.min_by
 
-    def directed(name: str) -> Column:
-        return F.col(name).asc() if forward else F.col(name).desc()
+    def before(by: Sequence[str], order: str) -> WindowSpec:
+        directed = F.col(order).asc() if forward else F.col(order).desc()
+        return Window.partitionBy(*by).orderBy(directed).rowsBetween(Window.unboundedPreceding, -1)
 
-    known = {c: F.when(F.col(c).isNotNull(), F.col(axis.order)) for c in columns}
-    ends = rows.groupBy(*axis.series, "_seg").agg(
-        *[nearest(c, known[c]).alias(c) for c in columns]
-    )
-    earlier = (
-        Window.partitionBy(*axis.series)
-        .orderBy(directed("_seg"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    tops = rows.groupBy(*axis.series, "_group").agg(
+        *[nearest(c, F.when(F.col(c).isNotNull(), F.col(segment))).alias(c) for c in columns]
     )
-    carried = ends.select(
-        *axis.series,
-        "_seg",
-        *[F.last(c, ignorenulls=True).over(earlier).alias(f"_carried_{c}") for c in columns],
+    between = before(axis.series, "_group")
+    tops = tops.select(
+        *axis.series, "_group", *[F.last(c, ignorenulls=True).over(between).alias(f"_top_{c}") for c in columns]
     )
+    within = before([*axis.series, "_group"], segment)
+    local = rows.select(
+        *axis.series, "_group", segment,
+        *[F.last(c, ignorenulls=True).over(within).alias(f"_near_{c}") for c in columns],
+    )
+    return local.join(tops, [*axis.series, "_group"], "left").select(
+        *axis.series, segment,
+        *[F.coalesce(f"_near_{c}", f"_top_{c}").alias(f"_carried_{c}") for c in columns],
+    )
+
+
+def _fill_rows(
+    rows: DataFrame, columns: Sequence[str], axis: Axis, segment: str, forward: bool
+) -> DataFrame:
+    """Fill tagged rows that lie together by series and segment, without moving them again."""
+    nearest = F.max_by if forward else F.min_by
+    known = {c: F.when(F.col(c).isNotNull(), F.col(axis.order)) for c in columns}
+    ends = rows.groupBy(*axis.series, segment).agg(*[nearest(c, known[c]).alias(c) for c in columns])
+    carried = _carried(ends, axis, segment, columns, forward)
     # Backward fill looks at rows in descending order: a frame up to
     # unboundedFollowing would be evaluated anew for each row.
+    directed = F.col(axis.order).asc() if forward else F.col(axis.order).desc()
     so_far = (
-        Window.partitionBy(*axis.series, "_seg")
-        .orderBy(directed(axis.order))
+        Window.partitionBy(*axis.series, segment)
+        .orderBy(directed)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     filled = {
         c: F.coalesce(F.last(c, ignorenulls=True).over(so_far), F.col(f"_carried_{c}"))
         for c in columns
     }
-    joined = rows.join(carried, [*axis.series, "_seg"], "left")
-    return joined.withColumns(filled).select(*axis.restore(df.columns))
+    return rows.join(carried, [*axis.series, segment], "left").withColumns(filled)
+
+
+def _fill(df: DataFrame, columns: Sequence[str] | None, axis: Axis, forward: bool) -> DataFrame:
+    columns = list(columns or [c for c in df.columns if c not in (axis.order, *axis.keys)])
+    # Shuffled once, up front: the per-segment table and the fill then share the
+    # shuffled rows, so whatever computed ``df`` does not run twice.
+    rows = axis.tag(df).repartition(*axis.series, "_seg")
+    return _fill_rows(rows, columns, axis, "_seg", forward).select(*axis.restore(df.columns))
 
 
 def ffill(df: DataFrame, columns: Sequence[str] | None = None, axis: Axis = Axis()) -> DataFrame:
@@ -132,14 +166,20 @@ def bfill(df: DataFrame, columns: Sequence[str] | None = None, axis: Axis = Axis
 def with_ordinal(df: DataFrame, axis: Axis, name: str = "ordinal") -> DataFrame:
     """Number the rows of each series 0, 1, 2, ... in order, segment by segment."""
     rows = axis.tag(df)
-    earlier = (
-        Window.partitionBy(*axis.series).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        rows.groupBy(*axis.series, "_seg")
-        .agg(F.count("*").alias("_n"))
-        .select(*axis.series, "_seg", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    counts = rows.groupBy(*axis.series, "_seg").agg(F.count("*").alias("_n"))
+    counts = segment_groups(counts, axis.series, "_seg", axis.fan)
+
+    def before(total: str, by: Sequence[str], order: str) -> Column:
+        earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(total).over(earlier), F.lit(0))
+
+    tops = counts.groupBy(*axis.series, "_group").agg(F.sum("_n").alias("_n"))
+    tops = tops.select(*axis.series, "_group", before("_n", axis.series, "_group").alias("_base"))
+    local = counts.select(
+        *axis.series, "_group", "_seg", before("_n", [*axis.series, "_group"], "_seg").alias("_near")
     )
+    offsets = local.join(tops, [*axis.series, "_group"])
+    offsets = offsets.select(*axis.series, "_seg", (F.col("_base") + F.col("_near")).alias("_offset"))
     here = F.row_number().over(Window.partitionBy(*axis.series, "_seg").orderBy(axis.order))
     numbered = rows.join(offsets, [*axis.series, "_seg"])
     return numbered.withColumn(name, F.col("_offset") + here - 1).select(
@@ -147,19 +187,22 @@ def with_ordinal(df: DataFrame, axis: Axis, name: str = "ordinal") -> DataFrame:
     )
 
 
-def over_rows(
+def _windowed(
     df: DataFrame,
     axis: Axis,
     back: int,
     build: Callable[[WindowSpec], Mapping[str, Column]],
-) -> DataFrame:
-    """Add window expressions that look at no more than ``back`` earlier rows."""
+) -> tuple[DataFrame, Axis, list[str]]:
+    """Tagged rows with the window expressions, lying together by series and ``_home``.
+
+    ``_home`` is the segment of the row; also the axis of the tags and the columns.
+    """
     if back > axis.segment:
         raise ValueError(f"segments of {axis.segment} rows are shorter than {back} rows back")
+    columns = df.columns
     if not axis.dense:
-        numbered = with_ordinal(df, axis, "_ordinal")
-        counted = replace(axis, order="_ordinal", dense=True)
-        return over_rows(numbered, counted, back, build).drop("_ordinal")
+        df = with_ordinal(df, axis, "_ordinal")
+        axis = replace(axis, order="_ordinal", dense=True)
     rows = axis.tag(df)
     place = F.pmod(F.col("_pos"), F.lit(axis.segment))
     homes = F.when(
@@ -170,7 +213,37 @@ def over_rows(
     added = dict(build(window))
     # Filtered after the windows: copies serve as neighbours only.
     own = rows.withColumns(added).filter("_seg = _home")
-    return own.select(*axis.restore([*df.columns, *[n for n in added if n not in df.columns]]))
+    return own, axis, [*columns, *[n for n in added if n not in columns]]
+
+
+def over_rows(
+    df: DataFrame,
+    axis: Axis,
+    back: int,
+    build: Callable[[WindowSpec], Mapping[str, Column]],
+) -> DataFrame:
+    """Add window expressions that look at no more than ``back`` earlier rows."""
+    rows, axis, columns = _windowed(df, axis, back, build)
+    return rows.select(*axis.restore(columns))
+
+
+def over_rows_filled(
+    df: DataFrame,
+    axis: Axis,
+    back: int,
+    build: Callable[[WindowSpec], Mapping[str, Column]],
+    extend: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """``over_rows``, more columns of each row alone, and a backward fill, with one shuffle of rows.
+
+    The fill finds the rows of a segment where the windows left them; what it takes from later
+    segments is read from that shuffle as well.
+    """
+    rows, tagged, columns = _windowed(df, axis, back, build)
+    wide = extend(rows)
+    columns += [c for c in wide.columns if c not in rows.columns]
+    filled = [c for c in columns if c not in (axis.order, *axis.keys)]
+    return _fill_rows(wide, filled, tagged, "_home", forward=False).select(*tagged.restore(columns))
 
 
 Names = str | Sequence[str]

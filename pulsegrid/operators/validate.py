@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.functions.numbers import count_where
+from pulsegrid.operators.series import FAN, segment_groups
 from pulsegrid.schemas import REQUIRED_COLUMNS
 
 # Inclusive limits of plausible readings.
@@ -20,7 +21,7 @@ def require_columns(df: DataFrame, columns: Sequence[str] = REQUIRED_COLUMNS) ->
     """Pass the table on, or raise naming the columns it lacks."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the table has no column named {', '.join(missing)}")
     return df
 
 
@@ -69,22 +70,16 @@ def is_sorted(
     seq: str = "seq",
     keys: Sequence[str] = (),
     rows_per_bucket: int = 1_000_000,
+    fan: int = FAN,
 ) -> DataFrame:
     """One row: whether timestamps never fall in file order (ties allowed).
 
     A missing timestamp makes the answer false. Neighbours are compared within
-    buckets of file order, then the ends of neighbouring buckets, so no task sees
-    more than one bucket of rows. ``seq`` is an integer, or the structure made by
-    ``read_table(file_order=...)``, whose file blocks then serve as buckets.
+    buckets of file order, then the ends of neighbouring buckets in groups of ``fan``, then
+    the ends of the groups, so no task sees all rows or all buckets. ``seq`` is an integer
+    such as ``read_table(file_order=...)`` makes.
     """
-    if isinstance(df.schema[seq].dataType, T.StructType):
-        *block, row = [F.col(f"{seq}.{f}") for f in df.schema[seq].dataType.names]
-        if len(block) == 1:
-            # Whole files: cut them into parts by row number.
-            block.append(F.floor(row / rows_per_bucket).alias("part"))
-        bucket = F.struct(*block)
-    else:
-        bucket = F.floor(F.col(seq) / rows_per_bucket)
+    bucket = F.floor(F.col(seq) / rows_per_bucket)
     rows = df.select(*keys, bucket.alias("_bucket"), F.col(seq).alias("_seq"), F.col(ts).alias("_ts"))
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("_seq")
     ends = (
@@ -96,10 +91,19 @@ def is_sorted(
             F.max_by("_ts", "_seq").alias("_last"),
         )
     )
-    between = Window.partitionBy(*keys).orderBy("_bucket")
-    steps = ends.withColumn("_before", F.lag("_last").over(between))
-    bad = F.coalesce(F.sum("_bad"), F.lit(0)) + count_where(F.col("_first") < F.col("_before"))
-    return steps.agg((bad == 0).alias("is_sorted"))
+    # The ends of neighbouring buckets, group by group of buckets, then the ends of groups.
+    ends = segment_groups(ends, keys, "_bucket", fan)
+    before = F.lag("_last").over(Window.partitionBy(*keys, "_group").orderBy("_bucket"))
+    steps = ends.withColumn("_before", before).groupBy(*keys, "_group").agg(
+        F.sum("_bad").alias("_bad"),
+        count_where(F.col("_first") < F.col("_before")).alias("_falls"),
+        F.min_by("_first", "_bucket").alias("_first"),
+        F.max_by("_last", "_bucket").alias("_last"),
+    )
+    between = Window.partitionBy(*keys).orderBy("_group")
+    steps = steps.withColumn("_before", F.lag("_last").over(between))
+    bad = F.coalesce(F.sum(F.col("_bad") + F.col("_falls")), F.lit(0))
+    return steps.agg((bad + count_where(F.col("_first") < F.col("_before")) == 0).alias("is_sorted"))
 
 
 def validate(

@@ -119,7 +119,7 @@ def q_is_sorted(spark, folder):
     readings = telemetry_view(spark, folder)
     in_order = validate.is_sorted(readings, rows_per_bucket=4096)
     shuffled = readings.withColumn("seq", F.col("seq") % 97 * 1_000_000_000 + F.col("seq"))
-    out_of_order = validate.is_sorted(shuffled, rows_per_bucket=1_000_000_000)
+    out_of_order = validate.is_sorted(shuffled, rows_per_bucket=4096)
     return in_order.select(F.lit("file").alias("sequence"), "is_sorted").unionByName(
         out_of_order.select(F.lit("strided").alias("sequence"), "is_sorted")
     )

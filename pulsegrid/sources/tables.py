@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +19,11 @@ NA_VALUES = (
 )
 
 
+#: Bits of a row's place within its file, and the files that fit above them.
+ROW_BITS = 42
+MOST_FILES = 1 << 21
+
+
 def nan_columns_to_null(df: DataFrame) -> DataFrame:
     floating = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     return df.select(
@@ -40,7 +47,8 @@ def read_table(
     fields, but then a file cannot be split between tasks: keep such files small
     or many, or use parquet.
 
-    ``file_order`` names an extra column that sorts rows as the files hold them.
+    ``file_order`` names an extra integer column that sorts rows as the files hold them. For
+    CSV it costs a pass that finds where each block of a file begins.
     """
     if fmt == "parquet":
         reader = spark.read.schema(schema) if schema else spark.read
@@ -57,29 +65,46 @@ def read_table(
         raise ValueError(f"unknown format {fmt!r}")
 
     if file_order:
-        df = df.withColumn(file_order, _file_order(fmt))
+        df = _with_file_order(df, file_order, fmt)
     if fmt == "csv" and schema is not None:
         extra = [F.col(file_order)] if file_order else []
         df = df.select(*[_parse(f) for f in schema if f.name in df.columns], *extra)
     return nan_columns_to_null(df)
 
 
-def _file_order(fmt: str) -> Column:
-    """Sortable position of a row: file, then place within the file.
+def _with_file_order(df: DataFrame, name: str, fmt: str) -> DataFrame:
+    """Number of the file, then the place within it, as one integer.
 
-    Part files go by the number in their name, as its digits are not padded beyond five.
+    Files go by the number in a part file's name, as its digits are not padded beyond five,
+    then by path. The list of files is what the driver planned the scan with. A parquet row has
+    its number. A CSV row has that of its block's first byte plus its number in the block,
+    which is below the next block's, as no row is shorter than a byte.
     """
-    path = F.col("_metadata.file_path")
-    number = F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1)
-    part = F.coalesce(F.nullif(number, F.lit("")).cast("bigint"), F.lit(-1))
+    spark = df.sparkSession
+
+    def place(path: str) -> tuple[int, str]:
+        part = re.search(r"/part-(\d+)[^/]*$", path)
+        return (int(part[1]) if part else -1, path)
+
+    files = sorted((re.sub("^file:/+", "file:/", path) for path in df.inputFiles()), key=place)
+    if len(files) >= MOST_FILES:
+        raise ValueError(f"more than {MOST_FILES} files have no order in one integer")
+    listed = spark.createDataFrame(list(enumerate(files)), "_file int, _path string")
+    path = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
     if fmt == "parquet":
-        return F.struct(part.alias("part"), "_metadata.file_path", "_metadata.row_index")
-    return F.struct(
-        part.alias("part"),
-        "_metadata.file_path",
-        "_metadata.file_block_start",
-        F.monotonically_increasing_id().alias("row"),
-    )
+        rows = df.select("*", path.alias("_path"), F.col("_metadata.row_index").alias("_row"))
+    else:
+        block = F.col("_metadata.file_block_start").alias("_block")
+        task_row = F.monotonically_increasing_id().alias("_at")
+        # Both scans deal the same blocks to the same tasks.
+        firsts = df.select(path.alias("_path"), block, task_row).groupBy("_path", "_block")
+        firsts = firsts.agg(F.min("_at").alias("_first"))
+        rows = df.select("*", path.alias("_path"), block, task_row).join(firsts, ["_path", "_block"])
+        rows = rows.withColumn("_row", F.col("_block") + F.col("_at") - F.col("_first"))
+    known = rows.join(listed, "_path", "left")
+    number = F.coalesce("_file", F.raise_error(F.lit("a file is not on the list of the scan")).cast("int"))
+    order = F.shiftleft(number.cast("bigint"), ROW_BITS) + F.col("_row")
+    return known.select(*df.columns, order.alias(name))
 
 
 def _parse(field: T.StructField) -> Column:
@@ -103,9 +128,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 
 def write_report(report: DataFrame, folder: str, prefix: str = "health_report") -> str:
-    """Write a one-row report as text lines into a folder named by the time."""
-    path = f"{folder.rstrip('/')}/{prefix}_{datetime.now():%Y%m%d_%H%M%S}"
-    report.select(report_text(report).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    """Write a one-row report as text lines into a folder of its own, named by the time."""
+    path = f"{folder.rstrip('/')}/{prefix}_{datetime.now():%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
+    report.select(report_text(report).alias("value")).coalesce(1).write.text(path)
     return path
 
 

@@ -138,3 +138,36 @@ def test_ml_pipeline(spark, raw, folder):
 def test_ingest_profile(spark, raw):
     row = ingest_profile(raw).first()
     assert (row.rows, row.columns, row.cells) == (5760, 8, 46080)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_file_order_is_one_integer_over_many_blocks(spark, folder, fmt):
+    """Blocks of a few hundred bytes, several to a task: rows keep the order of the files."""
+    df = spark.range(0, 3000, 1, 3).select(F.col("id").cast("double").alias("temperature"))
+    path = write_table(df, f"{folder}/odd name #1", fmt)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for key in before:
+        spark.conf.set(key, "400")
+    try:
+        schema = TELEMETRY if fmt == "csv" else None
+        stored = read_table(spark, path, schema, fmt, file_order="seq")
+        assert dict(stored.dtypes)["seq"] == "bigint"
+        rows = stored.orderBy("seq").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert [r.temperature for r in rows] == [float(i) for i in range(3000)]
+    assert len({r.seq for r in rows}) == 3000
+
+
+def test_duplicates_in_file_order_go_without_a_sort(spark, raw, folder):
+    path = write_table(raw.drop("seq"), f"{folder}/t")
+    stored = read_table(spark, path, file_order="seq")
+    plan = health.clean_telemetry(stored, "seq")._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_two_reports_at_once_have_folders_of_their_own(spark, folder):
+    report = spark.createDataFrame([(1,)], "n long")
+    assert len({write_report(report, folder) for _ in range(3)}) == 3
+    assert len(glob.glob(f"{folder}/health_report_*/part*")) == 3

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from pulsegrid.operators import features, resample, series
+from pulsegrid.operators import features, resample, series, validate
 
 START = pd.Timestamp("2024-01-01")
 HOT, SHORT, LONE = 90, 13, 1  # rows of the series; one holds most of the table
@@ -233,3 +233,75 @@ def test_fill_computes_its_input_once(spark):
     df = series.ffill(frame.groupBy("k", "timestamp").agg(F.max("a").alias("a")), axis=series.Axis(keys=("k",)))
     df.collect()
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("segment,fan", [(1, 2), (3, 2), (5, 3)])
+@pytest.mark.parametrize("forward", [True, False])
+def test_fill_carries_between_groups_of_segments(spark, segment, fan, forward):
+    """Gaps longer than a group of segments, with and without keys."""
+    values = [None] * 5 + [1.0] + [None] * 40 + [2.0, None, 3.0] + [None] * 30
+    rows = [(k, i, None if v is None else v + k, float(i)) for k in (0, 1) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "k long, i long, a double, b double").repartition(5)
+    fill = series.ffill if forward else series.bfill
+    for keys, part in ((("k",), df), ((), df.filter("k = 0"))):
+        axis = series.Axis(order="i", keys=keys, segment=segment, fan=fan)
+        ours = as_pandas(fill(part, axis=axis), ["k", "i"])
+        expected = part.toPandas().sort_values(["k", "i"], ignore_index=True)
+        grouped = expected.groupby("k")[["a", "b"]]
+        expected[["a", "b"]] = grouped.ffill() if forward else grouped.bfill()
+        assert len(ours) == len(expected)
+        assert_same(ours, expected, ["a", "b"])
+
+
+@pytest.mark.parametrize("segment,fan", [(1, 2), (4, 3), (1000, 1024)])
+def test_ordinal_over_groups_of_segments(spark, segment, fan):
+    at = sorted({int(x) for x in np.random.default_rng(6).integers(0, 500, 90)})
+    df = spark.createDataFrame([(x,) for x in at], "i long").repartition(4)
+    rows = series.with_ordinal(df, series.Axis(order="i", segment=segment, fan=fan)).collect()
+    assert {r.i: r.ordinal for r in rows} == {x: n for n, x in enumerate(at)}
+
+
+@pytest.mark.parametrize("bucket,fan", [(1, 2), (3, 2), (7, 100), (10_000, 1024)])
+def test_is_sorted_over_groups_of_buckets(spark, bucket, fan):
+    def check(values, keys=()):
+        rows = [(n % 2 if keys else 0, 10 * n, v) for n, v in enumerate(values)]
+        df = spark.createDataFrame(rows, "k long, seq long, ts double").repartition(3)
+        return validate.is_sorted(df, "ts", keys=keys, rows_per_bucket=bucket, fan=fan).first().is_sorted
+
+    rising = [float(n // 2) for n in range(60)]
+    assert check(rising) and check([])
+    for at in (1, 17, 30, 59):
+        assert not check([*rising[:at], -1.0, *rising[at + 1 :]])
+    assert not check([*rising, None])
+    # Each of two interleaved series rises, the whole does not.
+    woven = [float(n + 100 * (n % 2)) for n in range(60)]
+    assert check(woven, ("k",)) and not check(woven)
+
+
+@pytest.mark.parametrize("dense", [True, False])
+@pytest.mark.parametrize("segment", [24, 31, 1000])
+def test_feature_stage_equals_its_steps(spark, segment, dense):
+    rng = np.random.default_rng(12)
+    rows = [(k, n if dense else 3 * n + k, *[None if rng.random() < 0.2 else float(x) for x in rng.normal(size=3)])
+            for k in (0, 1) for n in range(90)]
+    schema = "k long, i long, temperature double, voltage double, current double"
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    axis = series.Axis(order="i", keys=("k",), segment=segment, dense=dense, fan=2)
+    ours = as_pandas(features.engineer_features(df, axis), ["k", "i"])
+    steps = as_pandas(series.bfill(features.derive_features(df, axis), axis=axis), ["k", "i"])
+    assert list(ours.columns) == list(steps.columns) and len(ours) == 180
+    assert_same(ours, steps, ours.columns)
+
+
+def test_feature_stage_moves_its_rows_once(spark):
+    frame = spark.range(2000).select(
+        (F.col("id") % 3).alias("k"), (F.col("id") / 3).cast("long").alias("i"),
+        *[F.col("id").cast("double").alias(c) for c in ("temperature", "voltage", "current")],
+    )
+    df = features.engineer_features(frame, series.Axis(order="i", keys=("k",), dense=True, segment=100))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    moved = [line for line in plan.splitlines() if " Exchange hashpartitioning" in line and "_home" in line]
+    assert len({line.split("plan_id=")[1] for line in moved}) <= 2 and "ReusedExchange" in plan
+    # One exchange holds rows; what else is dealt out by segment are the ends of segments.
+    assert sum("SinglePartition" in line for line in plan.splitlines()) == 0
