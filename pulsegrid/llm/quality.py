@@ -9,8 +9,7 @@ weight. At the end each view is calibrated on labelled rows that took no part, a
 classifier combines the calibrated views.
 
 The fit uses at most about ``PER_CLASS`` labelled rows of each class and ``POOL`` unlabelled
-ones, picked by hashes; the texts of those come to the driver, so these parameters bound
-their number, not their bytes.
+ones, picked by hashes; executors make their features, and no text comes to the driver.
 Scoring is a map over whole texts. Defined cases: null and empty texts have features of
 length zero; null metadata is a value of its own; missing metadata columns count as null;
 without labels of both classes every score is the share of good labels, or 1 without any.
@@ -197,12 +196,32 @@ def fit_quality(
         named(id_col).cast("long").alias("id"), named(text_col).cast("string").alias("t"),
         size.alias("size"), *[m.alias(n) for m, n in zip(meta, names)],
     )
-    wide = labelled_sample(flat, labels.withColumnRenamed(id_col, "id"), label_col, "id",
+    wide = labelled_sample(flat, labels.select(named(id_col).alias("id"), named(label_col).alias(label_col)), label_col, "id",
                            ["t", "size", *names], per_class)
-    free = hash_share(flat, F.col("id"), pool).toPandas().sort_values(["id", "t"], ignore_index=True)
-    texts, metas = _rows(wide, names)
-    free_texts, free_metas = _rows(free, names)
-    return co_train(texts, metas, wide["y"].to_numpy(), free_texts, free_metas)
+    free = hash_share(flat, F.col("id"), pool).withColumnRenamed("id", "key").withColumn("y", F.lit(-1))
+    texts, metas, y = _collected(wide, names)
+    free_texts, free_metas, _ = _collected(free, names)
+    return co_train(texts, metas, y, free_texts, free_metas)
+
+
+def _collected(rows: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of both views and the labels, by key; executors make them, and only they come here."""
+
+    def views(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts, metas = _rows(batch, names)
+            yield pd.DataFrame({"key": batch["key"], "y": batch["y"],
+                                "text": [t.tobytes() for t in texts], "meta": [m.tobytes() for m in metas]})
+
+    found = rows.select("key", "y", "t", "size", *names)
+    found = found.mapInPandas(views, "key long, y int, text binary, meta binary").toArrow()
+    found = found.sort_by([(c, "ascending") for c in ("key", "text", "meta")])
+    width = (len(text_view("")), len(metadata_view("", [None] * len(names), 0.0)))
+    texts, metas = (
+        np.frombuffer(b"".join(found.column(c).to_pylist()), float).reshape(-1, w)
+        for c, w in zip(("text", "meta"), width)
+    )
+    return texts, metas, found.column("y").to_numpy()
 
 
 SCORES = T.StructType([T.StructField(n, T.DoubleType()) for n in ("score", "text_score", "meta_score")])

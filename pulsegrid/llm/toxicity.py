@@ -9,8 +9,8 @@ with the toxic one: text that the toxic dictionary knows gets shorter with it. T
 gains of the whole text and their rate are calibrated to a probability on training texts
 that no dictionary has seen.
 
-The fit uses at most about ``PER_CLASS`` labelled texts of each class, picked by a hash;
-labels come from that bounded sample only. Scoring is a map over whole texts with a model
+The fit uses at most about ``PER_CLASS`` labelled texts of each class, picked by a hash, in
+one task; labels come from that bounded sample only. Scoring is a map over whole texts with a model
 of bounded size and needs no shuffle. Gains are computed once per distinct window of a
 batch. Null and empty texts have no windows and get the score of no gain; the score is
 never null. Without labels of both classes every score is the share of toxic labels.
@@ -125,7 +125,7 @@ class ToxicityModel:
 
 def labelled_sample(
     df: DataFrame, labels: DataFrame, label: str, id_col: str, text_cols: list[str], per_class: int
-) -> pd.DataFrame:
+) -> DataFrame:
     """About ``per_class`` labelled rows of each class outside the held-out fold, by a hash."""
     known = labels.select(named(id_col).cast("long").alias("key"), named(label).cast("int").alias("y"))
     known = known.filter(~held_out(F.col("key")) & F.col("y").isin(0, 1))
@@ -137,8 +137,7 @@ def labelled_sample(
     chosen = known.withColumn("draw", draw).filter(F.col("draw") < share)
     texts = df.select(named(id_col).cast("long").alias("key"), *[named(c) for c in text_cols])
     # The chosen labels are bounded by per_class, whatever the tables hold.
-    rows = texts.join(F.broadcast(chosen.select("key", "y")), "key").toPandas()
-    return rows.sort_values(["key", *text_cols], ignore_index=True)
+    return texts.join(F.broadcast(chosen.select("key", "y")), "key")
 
 
 def train(texts: list[str | None], y: np.ndarray) -> ToxicityModel:
@@ -179,12 +178,35 @@ def train(texts: list[str | None], y: np.ndarray) -> ToxicityModel:
     return model
 
 
+FIELDS = (
+    "toxic binary, ordinary binary, prior double, shared array<string>, "
+    "center array<double>, scale array<double>, weights array<double>"
+)
+FITTED = [field.split()[0] for field in FIELDS.split(", ")]
+
+
 def fit_toxicity(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic", per_class: int = PER_CLASS,
 ) -> ToxicityModel:
-    rows = labelled_sample(df, labels, label_col, id_col, [text_col], per_class)
-    return train(rows[text_col].tolist(), rows["y"].to_numpy())
+    """The model, trained by one task that sees the sample; texts do not come to the driver."""
+    sample = labelled_sample(df, labels, label_col, id_col, [text_col], per_class)
+    sample = sample.select("key", named(text_col).alias("t"), "y")
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["key", "t"])
+        texts = rows["t"].astype(object).where(rows["t"].notna(), None).tolist()
+        model = train(texts, rows["y"].to_numpy())
+        known = model.calibration
+        parts = [None] * 3 if known is None else [x.tolist() for x in (known.center, known.scale, known.weights)]
+        return pd.DataFrame([[model.toxic, model.ordinary, model.prior, sorted(model.shared), *parts]], columns=FITTED)
+
+    # The group is the sample itself, whose size per_class bounds.
+    row = sample.groupBy(F.lit(1).alias("all")).applyInPandas(fit, FIELDS).first()
+    if row is None:
+        return ToxicityModel(b"", b"", None, 0.0)
+    known = None if row.center is None else Logistic(*map(np.array, (row.center, row.scale, row.weights)))
+    return ToxicityModel(bytes(row.toxic), bytes(row.ordinary), known, row.prior, frozenset(row.shared))
 
 
 def toxicity(model: ToxicityModel, text: Column) -> Column:
