@@ -26,7 +26,7 @@ from pulsegrid.operators.termmodel import (
 from pulsegrid.plans import health, sentiment
 from pulsegrid.schemas import FEATURE_COLS, LABEL, METRICS, TELEMETRY, TIMESTAMP
 from pulsegrid.session import scratch_dir
-from pulsegrid.sources.tables import read_table, report_text, write_table
+from pulsegrid.sources.tables import read_table, write_report, write_table
 from pulsegrid.sources.views import documents, pages, reviews_view, telemetry_view
 from pulsegrid.streaming.reviews import read_review_stream, start_predictions
 
@@ -542,9 +542,11 @@ def q_parquet_round_trip(spark, folder):
 
 
 def q_report_text(spark, folder):
+    """The report of all fields as the file holds it."""
     report = stats.simple_report(telemetry_view(spark, folder))
-    report = report.select("total_samples", "temp_anomalies", "temp_anomaly_pct", "status")
-    return report.select(report_text(report).alias("report"))
+    path = write_report(report, scratch_dir(spark, "report"))
+    lines = spark.read.text(path, wholetext=True)
+    return lines.select(F.rtrim(F.col("value"), F.lit("\n")).alias("report"))
 
 
 def q_ml_health(spark, folder):
