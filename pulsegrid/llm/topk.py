@@ -6,14 +6,15 @@ the lower bound on the distance takes for inner products. Coarse segments give a
 cheap bound, finer ones a tighter one. A query goes from coarse to fine, and only the rows
 whose bound reaches its k-th best score so far get an exact score.
 
-Rows are dealt into blocks of bounded size by a hash of their id. A task keeps one block
+Rows are dealt into blocks of bounded size by a hash of a number of their own. A task keeps one block
 and lets the queries pass in batches, so neither side has to fit into memory. The block's
 best rows per query are merged by a rank over the query.
 
 Defined cases: vectors that are null, empty or hold a null or non-finite component take no
-part, nor do rows without id; of rows with the same id the one with the largest vector
-counts; only vectors of the query's length are compared; equal scores go by the smaller id.
-Components whose scores leave the range of a long are not supported.
+part, nor do rows without id; rows that repeat an id are each a candidate of all other ids'
+queries, and as queries they are ranked together; only vectors of the query's length are
+compared; equal scores go by the smaller id. A component or a score beyond the range of a
+long raises an error.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ BLOCK_ROWS = 16_384
 FIRST_LOOK = 32
 TOGETHER = 64
 EXACT_DOUBLE = 2.0**53
+LONG = 2.0**63
 
 
 def quantised(vectors: Column, scale: float) -> Column:
@@ -57,6 +59,14 @@ def segment_statistics(rows: np.ndarray, segments: int) -> np.ndarray:
     return np.stack([m * r for m, r in zip(means, roots)] + spreads, axis=1)
 
 
+def within_long(floats: np.ndarray) -> float:
+    """The largest size of a component. One beyond a long's range was cut to its end before."""
+    largest = float(np.abs(floats).max(initial=0))
+    if largest >= LONG:
+        raise OverflowError("a vector's scaled component leaves the range of a long")
+    return largest
+
+
 class Block:
     """The candidates of one block and one vector length."""
 
@@ -67,13 +77,18 @@ class Block:
         self.levels = levels
         self.statistics = [segment_statistics(self.floats, s) for s in levels]
         self.norms = np.sqrt((self.floats**2).sum(axis=1))
-        self.largest = float(np.abs(self.floats).max(initial=0))
+        self.largest = within_long(self.floats)
 
     def scores(self, at: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Exact integer scores; doubles are exact as long as no sum can pass 2**53."""
-        if self.largest * float(np.abs(query).max(initial=0)) * len(query) < EXACT_DOUBLE:
-            return (self.floats[at] @ query.astype(float)).astype(np.int64)
-        return (self.rows[at] * query).sum(axis=1)
+        floats = query.astype(float)
+        bound = self.largest * within_long(floats) * len(query)
+        if bound < EXACT_DOUBLE:
+            return (self.floats[at] @ floats).astype(np.int64)
+        if bound < LONG:
+            return (self.rows[at] * query).sum(axis=1)
+        # numpy refuses whole numbers that a long cannot hold.
+        return (self.rows[at].astype(object) @ query.astype(object)).astype(np.int64)
 
     def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple]:
         """Of each query its id, and the ids and scores of its k best rows."""
@@ -171,10 +186,10 @@ def top_k(
         named(id_col).cast("long").alias("id"), named(vector_col).alias("v"), is_query.alias("q")
     )
     clean = clean.filter(usable(F.col("v")) & F.col("id").isNotNull())
-    clean = clean.groupBy("id").agg(F.max(F.struct(quantised(F.col("v"), scale).alias("vector"), "q")).alias("r"))
-    rows = stored(clean.select("id", "r.vector", F.col("r.q").alias("q")), "vectors")
+    numbered = clean.select("id", quantised(F.col("v"), scale).alias("vector"), "q", F.monotonically_increasing_id().alias("row"))
+    rows = stored(numbered, "vectors")
     blocks = max(1, -(-rows.count() // block_rows))
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
     candidates = rows.select(block.alias("block"), F.lit(0).alias("role"), "id", "vector")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     queries = rows.filter("q").select(every.alias("block"), F.lit(1).alias("role"), "id", "vector")
