@@ -15,24 +15,23 @@ where it meets, which its codes tell, so counts need no list of pairs. Buckets b
 ``BLOCK_ROWS`` rows are cut into blocks, and each pair of blocks is one piece of work: no
 row is left out, and memory stays bounded.
 
-Equal vectors of one label form a class whose members count as links; only its smallest id
-takes part. Defined cases: rows without label, and vectors that are null, empty, zero or
+Equal vectors of one label form a class with a number of its own, whose members count as
+links; only the class takes part. Defined cases: rows without label, and vectors that are null, empty, zero or
 hold a null or non-finite component, link with nothing; only vectors of equal length link;
-of rows that repeat an id each counts as a vector.
+rows that repeat an id are vectors of their own, with links and components of their own.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import named, stored
+from pulsegrid.llm.common import named, per_process, stored
 from pulsegrid.llm.components import components
 from pulsegrid.llm.topk import usable
 
@@ -41,14 +40,20 @@ ROWS_PER_BUCKET = 32
 BLOCK_ROWS = 2_048
 SIGMAS = 5.0
 CODE_TABLES = 4
+#: Numbers of all rotations that a worker keeps (256 MB).
+KEPT_NUMBERS = 1 << 25
 
 
-@lru_cache(maxsize=4096)
 def rotation(table: int, size: int) -> np.ndarray:
-    """A random rotation of the given size, the same in every task."""
-    rng = np.random.default_rng([table, size])
-    q, r = np.linalg.qr(rng.standard_normal((size, size)))
-    return q * np.sign(np.diag(r))
+    """A random rotation of the given size, the same in every task; kept in the worker's process."""
+    kept = per_process("rotations", dict)
+    if (table, size) not in kept:
+        rng = np.random.default_rng([table, size])
+        q, r = np.linalg.qr(rng.standard_normal((size, size)))
+        if sum(x.size for x in kept.values()) + q.size > KEPT_NUMBERS:
+            kept.clear()
+        kept[table, size] = q * np.sign(np.diag(r))
+    return kept[table, size]
 
 
 def tables_for(threshold: float, bits: int) -> int:
@@ -190,7 +195,8 @@ def near_vectors(
     rows = rows.withColumn("fits", F.coalesce(fits, F.lit(False)))
     same = ["label", "vector"]
     classes = rows.filter("fits").groupBy(*same).agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    classes = stored(classes, "classes")
+    # The numbers are fixed by being written; one id may stand for several classes.
+    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits = min(30, max(4, math.ceil(math.log2(max(most, 1) / ROWS_PER_BUCKET + 1))))
     tables = tables_for(threshold, bits)
@@ -206,7 +212,7 @@ def near_vectors(
                 yield part
 
     shape = "label string, id long, copies long, vector array<double>, buckets array<long>"
-    own = classes.select("label", F.col("rep").alias("id"), "copies", "vector")
+    own = classes.select("label", F.col("class").alias("id"), "copies", "vector")
     dealt = own.mapInPandas(coded, shape)
     dealt = dealt.select("*", F.size("vector").alias("size"), F.posexplode("buckets").alias("tab", "bucket"))
     place = ["label", "size", "tab", "bucket"]
@@ -226,12 +232,14 @@ def near_vectors(
 
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
-    per_class = classes.join(links.withColumnRenamed("id", "rep"), "rep", "left")
-    per_class = per_class.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    per_class = classes.join(links.withColumnRenamed("id", "class"), "class", "left")
+    per_class = per_class.join(parts.withColumnRenamed("node", "class"), "class", "left")
+    least = per_class.filter("component is not null").groupBy("component").agg(F.min("rep").alias("least"))
+    per_class = per_class.join(least, "component", "left")
     per_class = per_class.select(
         *same,
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"),
+        F.coalesce("least", "rep").alias("component_id"),
         F.lit(True).alias("fits"),
     )
     out = rows.join(per_class, [*same, "fits"], "left")
