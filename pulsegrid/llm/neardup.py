@@ -3,7 +3,8 @@
 A document's set is its distinct word shingles; two documents link if the sets' Jaccard
 similarity reaches the threshold. The work goes in these steps:
 
-1. Documents with equal sets form a class; its smallest id stands for it from here on.
+1. Documents with equal sets form a class with a number of its own, whatever their ids; the
+   steps below work on these numbers, and ids come back at the end, one row per document.
 2. Each class gets ``trees * depth`` MinHash values. Tree t orders the classes by their
    values from t * depth on. A region is a run of one order with the first ``depth`` values
    in common. A pair at 0.85 shares no region of 24 trees with probability 1e-10.
@@ -25,8 +26,8 @@ pair of different components that shares a region goes unseen.
 
 Nothing emits all pairs of a group: what is already joined is not paired again. No links
 come to the driver. Rows without an id keep it null, link with nothing and are kept; rows
-that repeat an id and a text are one class; texts without words have an empty set and link
-with nothing. Words are split at blank and \\t to \\r and lower-cased for A-Z only.
+that repeat an id link by their own texts, each with a result row of its own, and are told
+apart by ``text_hash``; texts without words have an empty set and link with nothing. Words are split at blank and \\t to \\r and lower-cased for A-Z only.
 """
 
 from __future__ import annotations
@@ -53,28 +54,31 @@ BLOCK_ROWS = 2_048
 BLOCK_BYTES = 32 << 20
 MISS = 1e-9
 
-PROFILE = "id long, n long, d1 long, d2 long, sig binary"
+PROFILE = "id long, h long, n long, d1 long, d2 long, sig binary"
+
+
+def _digest(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits that tell sets apart, as two numbers."""
+    import hashlib
+
+    digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
 def _profiles(width: int, count: int):
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
         seeds = minhash_seeds(count)
         for batch in batches:
-            ids, sizes, one, two, sigs = [], [], [], [], []
-            for key, text in zip(batch.column("id").to_pylist(), batch.column("t")):
+            sizes, digests, sigs = [], [], []
+            for text in batch.column("t"):
                 shingles = shingle_set(text.as_py(), width)
-                digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
-                ids.append(key)
                 sizes.append(len(shingles))
-                one.append(int.from_bytes(digest[:8], "little", signed=True))
-                two.append(int.from_bytes(digest[8:], "little", signed=True))
+                digests.append(_digest(shingles))
                 sigs.append(signature(shingles, seeds).tobytes())
-            columns = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-                       pa.array(one, pa.int64()), pa.array(two, pa.int64()),
+            columns = [batch.column("id"), batch.column("h"), pa.array(sizes, pa.int64()),
+                       pa.array([d for d, _ in digests], pa.int64()), pa.array([d for _, d in digests], pa.int64()),
                        pa.array(sigs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "d1", "d2", "sig"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "h", "n", "d1", "d2", "sig"])
 
     return profile
 
@@ -125,9 +129,14 @@ def _trees(trees: int, depth: int):
 def _sets(width: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(t.as_py(), width).tobytes() for t in batch.column("t")]
-            columns = [batch.column("id"), pa.array(found, pa.large_binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "set"])
+            digests, found = [], []
+            for text in batch.column("t"):
+                shingles = shingle_set(text.as_py(), width)
+                digests.append(_digest(shingles))
+                found.append(shingles.tobytes())
+            columns = [batch.column("rep"), pa.array([d for d, _ in digests], pa.int64()),
+                       pa.array([d for _, d in digests], pa.int64()), pa.array(found, pa.large_binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "d1", "d2", "set"])
 
     return sets
 
@@ -242,7 +251,7 @@ def _crowded_links(
         "block", "id", "n", "c",
     )
     ids = own.select("id").distinct()
-    full = sets.join(ids, "id", "left_semi").dropDuplicates(["id"])
+    full = sets.join(ids, "id", "left_semi")
     full = full.join(signed.select("id", "sig"), "id")
     groups = own.join(full, "id").groupBy("region", "i", "j")
     return groups.applyInArrow(_block_links(trees, depth, percent), "a long, b long").distinct()
@@ -270,26 +279,33 @@ def near_duplicates(
     trees: int = TREES,
     depth: int = DEPTH,
 ) -> DataFrame:
-    """``id, n_shingles, component_id, kept`` per row; links need 100 * both >= percent * either."""
+    """``doc_id, n_shingles, component_id, kept, text_hash`` per row.
+
+    Links need 100 * both >= percent * either; ``text_hash`` is xxhash64 of the text as given.
+    """
     count = trees * depth
-    texts = df.select(named(id_col).cast("long").alias("id"), named(text_col).cast("string").alias("t"))
+    text = named(text_col).cast("string")
+    texts = df.select(named(id_col).cast("long").alias("id"), text.alias("t"), F.xxhash64(text).alias("h"))
     profiles = stored(texts.mapInArrow(_profiles(width, count), PROFILE), "profiles")
     real = profiles.filter("n > 0 and id is not null")
-    first = real.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
-    members = real.select("id", "d1", "d2").distinct().join(first, ["d1", "d2"]).select("id", "rep")
-    members = stored(members, "members")
-    heads = members.filter("id = rep").select("id").distinct()
-    signed = real.join(heads, "id", "left_semi").dropDuplicates(["id"]).select("id", "n", "sig")
+    # The numbers are fixed by being written; one id may stand for several classes.
+    place = ["rep", "d1", "d2"]
+    classes = real.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("class"), *place), "classes")
+    numbered = classes.withColumnRenamed("class", "id")
+    signed = real.select(F.col("id").alias("rep"), "d1", "d2", "n", "sig").join(numbered, place)
+    signed = signed.dropDuplicates(["id"]).select("id", "n", "sig")
     planted = signed.mapInArrow(_trees(trees, depth), FOREST)
     crowd = F.count("*").over(Window.partitionBy("region"))
     forest = stored(planted.withColumn("crowd", crowd).filter("crowd > 1"), "forest")
 
-    wanted = forest.select("id").distinct()
-    wanted = stored(wanted, "wanted")
+    wanted = stored(numbered.join(forest.select("id").distinct(), "id"), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    chosen = texts.join(wanted, "id", "left_semi")
-    sets = stored(chosen.mapInArrow(_sets(width), "id long, set binary"), "sets")
+    chosen = texts.select(F.col("id").alias("rep"), "t").join(wanted.select("rep").distinct(), "rep", "left_semi")
+    # Of the texts of a repeated id, those count that the class was made of.
+    sets = chosen.mapInArrow(_sets(width), "rep long, d1 long, d2 long, set binary").join(wanted, place)
+    sets = stored(sets.select("id", "set").dropDuplicates(["id"]), "sets")
 
     links = parts = tested = None
     # The neighbours of the first orders, then the hubs, then all that is still apart.
@@ -302,7 +318,7 @@ def near_duplicates(
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        used = sets.join(ends, "id", "left_semi").dropDuplicates(["id"])
+        used = sets.join(ends, "id", "left_semi")
         both = pairs.join(used.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
         both = both.join(used.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
         good = both.select("a", "b", "x", "y").mapInArrow(_confirmed(percent), "a long, b long")
@@ -315,12 +331,18 @@ def near_duplicates(
         tested = pairs if tested is None else tested.unionByName(pairs)
 
     if parts is None:
-        joined = members.withColumn("component_id", F.col("rep"))
+        joined = classes.withColumn("component_id", F.col("rep"))
     else:
-        joined = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-        joined = joined.withColumn("component_id", F.coalesce("component", "rep"))
-    result = profiles.select("id", F.col("n").alias("n_shingles"))
-    result = result.join(joined.select("id", "component_id"), "id", "left")
-    result = result.withColumn("component_id", F.coalesce("component_id", "id"))
-    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
-    return result.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
+        joined = classes.join(parts.withColumnRenamed("node", "class"), "class", "left")
+        least = joined.filter("component is not null").groupBy("component")
+        least = least.agg(F.min("rep").alias("component_id"))
+        joined = joined.join(least, "component", "left")
+        joined = joined.withColumn("component_id", F.coalesce("component_id", "rep"))
+    result = profiles.select("id", "h", "n", "d1", "d2")
+    result = result.join(joined.select("d1", "d2", F.col("component_id").alias("least")), ["d1", "d2"], "left")
+    component = F.coalesce(F.when(F.col("id").isNotNull(), F.col("least")), F.col("id"))
+    kept = F.coalesce(F.col("id") == component, F.lit(True))
+    return result.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
+        kept.alias("kept"), F.col("h").alias("text_hash"),
+    )

@@ -26,7 +26,8 @@ def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_neardup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents"), percent=85)
+    found = near_duplicates(table(spark, folder, "documents"), percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:

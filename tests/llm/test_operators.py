@@ -5,6 +5,8 @@ import glob
 import io
 import os
 import shutil
+import subprocess
+import sys
 import zlib
 from fractions import Fraction
 
@@ -63,14 +65,49 @@ def test_bounds_never_fall_below_the_product():
 def test_top_k_equals_brute_force(spark):
     df = odd_vectors(spark)
     ours = top_k(df, F.col("vec_id") % 10 == 0, k=4, block_rows=16).collect()
-    known = {r.vec_id: np.floor(256 * np.array(r.embedding)).astype(int) for r in df.collect()
-             if r.vec_id is not None and r.embedding and None not in r.embedding and np.isfinite(r.embedding).all()}
-    want = set()
-    for q, v in known.items():
-        if q % 10 == 0:
-            scored = sorted((-int(v @ w), k) for k, w in known.items() if k != q and len(w) == len(v))
-            want |= {(q, n + 1, k, -s) for n, (s, k) in enumerate(scored[:4])}
-    assert {tuple(r) for r in ours} == want
+    assert sorted(tuple(r) for r in ours) == brute_top_k(df, 10, 4)
+
+
+def brute_top_k(df, every, k):
+    """Every row is a candidate of other ids' queries; rows of one id are ranked together."""
+    known = [(r.vec_id, np.floor(256 * np.array(r.embedding)).astype(int)) for r in df.collect()
+             if r.vec_id is not None and r.embedding and None not in r.embedding and np.isfinite(r.embedding).all()]
+    want = []
+    for q in {i for i, _ in known if i % every == 0}:
+        scored = sorted((-int(v @ w), j) for i, v in known if i == q for j, w in known if j != q and len(w) == len(v))
+        want += [(q, n + 1, j, -s) for n, (s, j) in enumerate(scored[:k])]
+    return sorted(want)
+
+
+def sql_over(name, **tables):
+    con = duckdb.connect()
+    for table, frame in tables.items():
+        con.register(table, frame.toArrow())
+    return con.execute(queries.ORACLE_SQL[name]).fetchall()
+
+
+def test_top_k_of_repeated_ids(spark):
+    """Other vectors, and the same one, below one id; queries and candidates among them."""
+    rng = np.random.default_rng(21)
+    rows = [(int(k), rng.standard_normal(8).tolist(), 0) for k in rng.integers(0, 120, 200)]
+    rows += rows[:7] + [(50, rows[3][1], 0), (50, rows[4][1], 0), (50, rows[4][1], 0), (None, rows[0][1], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    found = sorted(tuple(r) for r in top_k(df, F.col("vec_id") % 50 == 0, k=5, block_rows=30).collect())
+    assert found == brute_top_k(df, 50, 5)
+    assert found == sorted(sql_over("op1_topk", embeddings=df.filter("vec_id is not null")))
+
+
+@pytest.mark.parametrize("vectors", [[[1e300], [1.0]], [[3e16], [3e16]]])
+def test_top_k_refuses_what_a_long_cannot_hold(spark, vectors):
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="OverflowError"):
+        top_k(df, F.lit(True)).collect()
+
+
+def test_top_k_of_large_scores(spark):
+    df = spark.createDataFrame([(0, [1e7, 3e6]), (1, [9999999.5, 1.0])], "vec_id long, embedding array<double>")
+    product = 2_560_000_000 * 2_559_999_872 + 768_000_000 * 256
+    assert {r.score for r in top_k(df, F.lit(True)).collect()} == {product}
 
 
 def test_top_k_of_an_empty_table(spark):
@@ -108,6 +145,25 @@ def test_near_duplicates_of_odd_documents(spark, odd_docs):
             assert r.kept == (r.component_id == r.doc_id)
 
 
+def test_repeated_ids_link_by_their_own_texts(spark):
+    w, v = (" ".join(f"{c}{k}" for k in range(60)) for c in "wv")
+    rows = [(1, w), (1, v), (2, w), (3, v), (4, v + " z"), (7, "only this row"), (7, "only this row"), (7, None),
+            (9, v + " z"), (8, w + " z"), (8, "a b c d e f"), (None, w), (None, v)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in near_duplicates(df, percent=85).collect())
+    want = [(0, 56, 0, True)] * 2 + [(1, 56, 1, True)] * 2 + [
+        (2, 56, 1, False), (3, 56, 1, False), (4, 57, 1, False), (7, 0, 7, True), (7, 1, 7, True), (7, 1, 7, True),
+        (8, 2, 8, True), (8, 57, 1, False), (9, 57, 1, False)]
+    assert found == want
+
+
+def test_a_stage_drops_repeated_ids_by_their_texts(spark):
+    w, v = (" ".join(f"{c}{k}" for k in range(60)) for c in "wv")
+    df = spark.createDataFrame([(1, w), (5, w), (5, v), (6, v), (None, w)], "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, df, FOLDER).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(1, w), (5, v), (None, w)}
+
+
 def test_crowd_of_edited_copies_is_one_component(spark):
     rng = np.random.default_rng(3)
     base = [f"b{k}" for k in range(200)]
@@ -216,6 +272,37 @@ def test_near_vectors_equal_brute_force(spark, block_rows):
         assert {found[n].component_id for n in near} <= {found[k].component_id}
 
 
+def test_near_vectors_of_repeated_ids(spark):
+    """Different vectors below one id have links of their own; so have null ids none."""
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    near = [[0.01 if x == 0.0 else x for x in v] for v in (a, b)]
+    rows = [(1, a, 0), (1, b, 0), (2, near[0], 0), (3, near[1], 0), (4, near[1], 0), (5, c, 0), (5, c, 0), (5, c, 1),
+            (None, a, 0), (6, a, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    found = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in near_vectors(df).collect())
+    assert found == [(0, 0, 0, True), (1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (4, 2, 1, False),
+                     (5, 0, 5, True), (5, 1, 5, True), (5, 1, 5, True), (6, 0, 6, True)]
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    """A session whose workers cannot import the package, as on a cluster without it."""
+    code = f"""
+import sys
+sys.path.insert(0, {os.getcwd()!r})
+from pyspark.sql import SparkSession, functions as F
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+from pulsegrid.llm.vectors import near_vectors
+from pulsegrid.llm.topk import top_k
+df = spark.createDataFrame([(k, [float(k % 3), 1.0], 0) for k in range(9)], "vec_id long, embedding array<double>, label int")
+assert near_vectors(df).count() == 9
+assert top_k(df, F.lit(True), k=2).count() == 18
+"""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-2000:]
+
+
 def test_near_vectors_of_an_empty_table(spark):
     assert near_vectors(spark.createDataFrame([], VECTORS)).count() == 0
 
