@@ -32,9 +32,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that with the smallest id; of repeated rows, all."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, named("doc_id") == F.col("_gone"), "left_anti")
+    """One document of each group stays, that with the smallest id; of repeated rows, all.
+
+    Rows that repeat an id go or stay by their own texts. Links take a similarity of 0.8.
+    """
+    gone = near_duplicates(docs).filter(~F.col("kept"))
+    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_text")).distinct()
+    same = (named("doc_id") == F.col("_gone")) & (F.xxhash64(named("text").cast("string")) == F.col("_gone_text"))
+    return docs.join(gone, same, "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
