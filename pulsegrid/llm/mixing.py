@@ -14,10 +14,6 @@ repeat is made step by step; the slot of a block follows by division, and the wo
 Spark. The driver holds one row per source and four numbers per slot that does not repeat; there
 are at most as many of those as blocks, whatever the number of sources and their weights.
 
-``mix(carry=False)``, the default, is the older rule: whenever a source gives its last block,
-the pattern of the others starts anew and forgets who lags. The bound of one block then holds
-only from one such end to the next. The query and the pipeline carry.
-
 A document's place in its source comes from two levels: hash ranges of bounded size are
 ranked apart, and their counts are added up, so a source of any size is many tasks.
 
@@ -36,79 +32,18 @@ from collections.abc import Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import named, stored
 
 BLOCK = 16
 RANGE_ROWS = 8_192
-MAX_PATTERN = 100_000
 #: Longer schedule tables are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 NULL = "\x00null"
 
 
-def release(j: int, weight: int, total: int) -> int:
-    return (j - 1) * total // weight
-
-
-def deadline(j: int, weight: int, total: int) -> int:
-    return -(-j * total // weight)
-
-
-def pattern(weights: Mapping[str, int]) -> list[str]:
-    """The source of each of the first W slots, earliest deadline first."""
-    total = sum(weights.values())
-    if total > MAX_PATTERN:
-        raise ValueError(f"weights add up to {total}, more than {MAX_PATTERN}; use smaller ones")
-    waiting = [(0, deadline(1, w, total), name, 1) for name, w in weights.items()]
-    heapq.heapify(waiting)
-    ready: list[tuple] = []
-    slots = []
-    for t in range(total):
-        while waiting and waiting[0][0] <= t:
-            _, due, name, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (due, name, j))
-        _, name, j = heapq.heappop(ready)
-        slots.append(name)
-        w = weights[name]
-        heapq.heappush(waiting, (release(j + 1, w, total), deadline(j + 1, w, total), name, j + 1))
-    return slots
-
-
-def phases(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[dict]:
-    """Stretches of one pattern each; a stretch ends when a source has given its last block.
-
-    Each holds its first slot, the weights, the pattern, and per source the blocks given before.
-    """
-    left = {s: n for s, n in blocks.items() if n > 0}
-    given = dict.fromkeys(left, 0)
-    start, out = 0, []
-    while left:
-        active = {s: weights[s] for s in left}
-        slots = pattern(active)
-        total = len(slots)
-        places: dict[str, list[int]] = {s: [] for s in active}
-        for t, s in enumerate(slots):
-            places[s].append(t)
-        # The slot at which each source would give its last block; the first one ends the phase.
-        last = {}
-        for s, n in left.items():
-            rounds, k = divmod(n - 1, active[s])
-            last[s] = rounds * total + places[s][k]
-        end = min(last.values()) + 1
-        rounds, rest = divmod(end, total)
-        out.append({"start": start, "total": total, "weights": active, "places": places, "given": dict(given)})
-        for s in active:
-            done = rounds * active[s] + sum(t < rest for t in places[s])
-            given[s] += done
-            left[s] -= done
-        left = {s: n for s, n in left.items() if n > 0}
-        start += end
-    return out
-
-
 def ideal(blocks: Mapping[str, int], unit: Mapping[str, int], weights: Mapping[str, int]) -> list[tuple]:
     """The pieces of T in order: the time at which sources end, and done and W of T(v) = done + W v.
 
@@ -203,25 +138,8 @@ def carried(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[tuple
     return out
 
 
-def schedule(blocks: Mapping[str, int], weights: Mapping[str, int]) -> tuple[list, list]:
-    """The stretch of blocks that each source gives in each phase, and the slots of each pattern."""
-    stretches, places = [], []
-    plan = phases(blocks, weights)
-    for k, phase in enumerate(plan):
-        total = phase["total"]
-        for source, slots in phase["places"].items():
-            first, w = phase["given"][source], phase["weights"][source]
-            after = plan[k + 1]["given"] if k + 1 < len(plan) else blocks
-            stretches.append((source, k, first, after[source], w, total, phase["start"]))
-            places += [
-                (source, k, i, at, k, release(i + 1, w, total), deadline(i + 1, w, total))
-                for i, at in enumerate(slots[: after[source] - first])
-            ]
-    return stretches, places
-
-
 def carried_schedule(blocks: Mapping[str, int], weights: Mapping[str, int]) -> tuple[pa.Table, pa.Table]:
-    """The same tables of the schedule that carries lags, with one place per slot that does not repeat."""
+    """The stretch of blocks that each source gives in each part, and one place per slot that does not repeat."""
     names = list(blocks)
     parts = carried(blocks, weights)
     given = np.zeros(len(names), np.int64)
@@ -284,30 +202,25 @@ def mix(
     source_col: str = "source",
     id_col: str = "doc_id",
     block: int = BLOCK,
-    carry: bool = False,
 ) -> DataFrame:
     """``doc_id, source, block, phase, release, deadline, slot, place`` of every document.
 
-    With ``carry``, ``release`` and ``deadline`` count slots from the first one, else from the
-    begin of the block's phase; ``place`` is the document's place in its block.
+    ``release`` and ``deadline`` count slots from the first one; ``place`` is the document's
+    place in its block.
     """
     spark = df.sparkSession
     rows = df.select(
         named(id_col).alias("id"), named(source_col).alias("source"),
         F.coalesce(named(source_col).cast("string"), F.lit(NULL)).alias("_src"),
     )
-    # One row per source comes to the driver; without ``carry``, at most as a pattern has slots.
-    found = rows.groupBy("_src").count()
-    found = (found if carry else found.limit(MAX_PATTERN + 1)).toArrow()
-    if not carry and found.num_rows > MAX_PATTERN:
-        raise ValueError(f"more than {MAX_PATTERN} sources; group small ones first")
+    # One row per source comes to the driver.
+    found = rows.groupBy("_src").count().toArrow()
     sizes = dict(sorted(zip(*(c.to_pylist() for c in found.columns))))
     given = {(NULL if s is None else s): int(w) for s, w in (weights or {}).items()}
     if any(w < 1 for w in given.values()):
         raise ValueError("weights must be whole numbers of 1 or more")
     counts = {s: -(-n // block) for s, n in sizes.items()}
-    plan = carried_schedule if carry else schedule
-    stretches, places = plan(counts, {s: given.get(s, 1) for s in counts})
+    stretches, places = carried_schedule(counts, {s: given.get(s, 1) for s in counts})
     # Neither table has more rows than there are blocks; what repeats is in them once.
     few = len(places) <= BROADCAST_ROWS
     stretches, places = spark.createDataFrame(stretches, STRETCH), spark.createDataFrame(places, PLACE)
@@ -337,14 +250,21 @@ def mixed(
     columns = df.columns
     temporary = {c: f"_c{k}" for k, c in enumerate(columns)}
     plain = df.select(*[named(c).alias(t) for c, t in temporary.items()])
-    order = mix(df, weights, source_col, id_col, block, carry=True)
+    order = mix(df, weights, source_col, id_col, block)
     order = order.select(F.col("doc_id").alias("_id"), "slot", "place")
     # Repeated ids would multiply in a join: each copy meets one place.
     number = Window.partitionBy("_id")
     order = order.withColumn("_n", F.row_number().over(number.orderBy("slot", "place")))
     key = temporary[id_col]
-    rest = [t for t in temporary.values() if t != key]
-    plain = plain.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*rest)))
+    rest = [_hashable(plain, t) for t in temporary.values() if t != key]
+    copies = Window.partitionBy(key).orderBy(F.xxhash64(*rest) if rest else F.lit(0))
+    plain = plain.withColumn("_n", F.row_number().over(copies))
     joined = plain.join(order, F.col(key).eqNullSafe(F.col("_id")) & (plain["_n"] == order["_n"]))
     joined = joined.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
     return joined.select(*[F.col(t).alias(c) for c, t in temporary.items()])
+
+
+def _hashable(df: DataFrame, name: str) -> Column:
+    """The column, or its JSON if it holds maps or variants, which Spark neither sorts nor hashes."""
+    kind = df.schema[name].dataType.simpleString()
+    return F.to_json(F.struct(name)) if "map<" in kind or "variant" in kind else F.col(name)
