@@ -3,14 +3,14 @@
 The text view sees what the words are made of: shares of character classes, word lengths,
 repetition. The metadata view sees the page around them: language and source as hashed
 indicators, recorded length, number and lengths of lines. One classifier per view starts
-from the labelled texts. In each round a classifier hands its most confident predictions on
-unlabelled pages, a few per class, to the other one, which learns from them at a lower
-weight. At the end each view is calibrated on labelled rows that took no part, and a third
+from the labelled texts. In each round both score all other pages, and a classifier hands its
+most confident predictions, a few per class, to the other one, which learns from them at a
+lower weight. At the end each view is calibrated on labelled rows that took no part, and a third
 classifier combines the calibrated views.
 
-The fit uses at most about ``PER_CLASS`` labelled rows of each class and ``POOL`` unlabelled
-ones, picked by hashes; executors make their features, and no text comes to the driver.
-Scoring is a map over whole texts. Defined cases: null and empty texts have features of
+The fit uses at most about ``PER_CLASS`` labelled rows of each class, picked by a hash. All
+other rows are unlabelled to it: executors make their features once, score them each round
+and send at most ``PER_ROUND`` rows of each class and view. No text comes to the driver. Scoring is a map over whole texts. Defined cases: null and empty texts have features of
 length zero; null metadata is a value of its own; missing metadata columns count as null;
 without labels of both classes every score is the share of good labels, or 1 without any.
 """
@@ -18,26 +18,26 @@ without labels of both classes every score is the share of good labels, or 1 wit
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.llm.common import hash_share, named
+from pulsegrid.llm.common import named, stored
 from pulsegrid.llm.logistic import Logistic, fit_logistic
 from pulsegrid.llm.toxicity import PER_CLASS, labelled_sample
 
-POOL = 8_000
 ROUNDS = 5
 PER_ROUND = 200
 CONFIDENT = 0.95
 PSEUDO_WEIGHT = 0.3
 HASHED = 16
 PART = 1_000_000
+VIEWS = ("text", "meta")
 
 UPPER = np.zeros(256, bool)
 UPPER[65:91] = True
@@ -126,10 +126,14 @@ def logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
+#: From both classifiers and the keys that each was taught, the rows to be taught next:
+#: the pupil, the label, the key, and the row as the pupil sees it.
+Offers = Callable[[dict[str, Logistic], dict[str, set]], list[tuple[str, int, int, np.ndarray]]]
+
+
 def co_train(
-    texts: np.ndarray, metas: np.ndarray, y: np.ndarray, free_texts: np.ndarray, free_metas: np.ndarray,
-    rounds: int = ROUNDS,
-) -> QualityModel:
+    texts: np.ndarray, metas: np.ndarray, y: np.ndarray, offers: Offers, rounds: int = ROUNDS
+) -> QualityModel:
     """Fit both views, let them teach each other, calibrate and combine."""
     prior = float(y.mean()) if len(y) else 1.0
     if len(set(y.tolist())) < 2:
@@ -139,25 +143,22 @@ def co_train(
         at = np.flatnonzero(y == value)
         held[at[::3]] = len(at) >= 3
     own = {"text": texts[~held], "meta": metas[~held]}
-    free = {"text": free_texts, "meta": free_metas}
-    taught = {"text": {}, "meta": {}}  # rows of the pool and the label given to them
+    taught: dict[str, list[tuple]] = {"text": [], "meta": []}  # label, key and row of what each learnt
     base = y[~held].astype(float)
     models: dict[str, Logistic] = {}
     for turn in range(rounds + 1):
-        for view in ("text", "meta"):
-            at = np.array(sorted(taught[view]), int)
-            rows = np.vstack([own[view], free[view][at]])
-            labels = np.append(base, [taught[view][k] for k in at])
-            weight = np.append(np.ones(len(base)), np.full(len(at), PSEUDO_WEIGHT))
+        for view in VIEWS:
+            rows = np.vstack([own[view], *(row for _, _, row in taught[view])])
+            labels = np.append(base, [float(label) for label, _, _ in taught[view]])
+            weight = np.append(np.ones(len(base)), np.full(len(taught[view]), PSEUDO_WEIGHT))
             models[view] = fit_logistic(rows, labels, weight=weight)
-        if turn == rounds or not len(free_texts):
+        if turn == rounds:
+            break
+        found = offers(models, {view: {key for _, key, _ in taught[view]} for view in VIEWS})
+        if not found:
             break
-        for view, pupil in (("text", "meta"), ("meta", "text")):
-            p = models[view].probability(free[view])
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                order = np.argsort(-sure, kind="stable")
-                new = [k for k in order if sure[k] >= CONFIDENT and k not in taught[pupil]]
-                taught[pupil].update({int(k): label for k in new[:PER_ROUND]})
+        for pupil, label, key, row in found:
+            taught[pupil].append((label, key, row))
     rest = held if held.any() and len(set(y[held].tolist())) == 2 else np.ones(len(y), bool)
     target = y[rest].astype(float)
     scales = [
@@ -188,7 +189,7 @@ def _rows(rows: pd.DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray]
 def fit_quality(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "quality", meta_cols: Sequence[str] = ("lang", "source"),
-    size_col: str = "n_chars", per_class: int = PER_CLASS, pool: int = POOL,
+    size_col: str = "n_chars", per_class: int = PER_CLASS,
 ) -> QualityModel:
     meta, size = _present(df, meta_cols, size_col)
     names = [f"m{k}" for k in range(len(meta))]
@@ -198,14 +199,62 @@ def fit_quality(
     )
     wide = labelled_sample(flat, labels.select(named(id_col).alias("id"), named(label_col).alias(label_col)), label_col, "id",
                            ["t", "size", *names], per_class)
-    free = hash_share(flat, F.col("id"), pool).withColumnRenamed("id", "key").withColumn("y", F.lit(-1))
-    texts, metas, y = _collected(wide, names)
-    free_texts, free_metas, _ = _collected(free, names)
-    return co_train(texts, metas, y, free_texts, free_metas)
+    keys, texts, metas, y = _collected(wide, names)
+    # The sample is bounded by ``per_class``; every other row is unlabelled, also those without an id.
+    sample = df.sparkSession.createDataFrame([(int(k),) for k in sorted(set(keys))], "key long")
+    free = flat.withColumnRenamed("id", "key").join(F.broadcast(sample), "key", "left_anti")
+    pool: list[DataFrame] = []
+
+    def offers(models: dict[str, Logistic], taught: dict[str, set]) -> list[tuple]:
+        if not pool:
+            made = _features(free.withColumn("y", F.lit(-1)), names)
+            pool.append(stored(made.select(F.xxhash64("key", "text", "meta").alias("key"), *VIEWS), "views"))
+        return _most_confident(pool[0], models, taught)
+
+    return co_train(texts, metas, y, offers)
+
 
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column), float).reshape(len(column), -1)
 
-def _collected(rows: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of both views and the labels, by key; executors make them, and only they come here."""
+
+def _most_confident(pool: DataFrame, models: dict[str, Logistic], taught: dict[str, set]) -> list[tuple]:
+    """The PER_ROUND surest rows of each class that each classifier has for the other one.
+
+    A task keeps as many of its own; ties go by the key, a hash of the row.
+    """
+    known = {view: np.array(sorted(keys), np.int64) for view, keys in taught.items()}
+
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = pd.DataFrame({"pupil": [], "label": [], "sure": [], "key": [], "row": []})
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys, parts = batch["key"].to_numpy(), []
+            for view, pupil in (VIEWS, VIEWS[::-1]):
+                p = models[view].probability(_matrix(batch[view]))
+                for label, sure in ((1, p), (0, 1 - p)):
+                    at = np.flatnonzero((sure >= CONFIDENT) & ~np.isin(keys, known[pupil]))
+                    parts.append(pd.DataFrame({"pupil": pupil, "label": label, "sure": sure[at], "key": keys[at],
+                                               "row": batch[pupil].to_numpy()[at]}))
+            whole = pd.concat([*([best] if len(best) else []), *parts])
+            whole = whole.drop_duplicates(["pupil", "label", "key"]).sort_values(["sure", "key"], ascending=[False, True])
+            best = whole.groupby(["pupil", "label"]).head(PER_ROUND)
+        if len(best):
+            yield best
+
+    found = pool.mapInPandas(pick, "pupil string, label int, sure double, key long, row binary")
+    # Equal rows have one key, in whatever tasks they are.
+    found = found.dropDuplicates(["pupil", "label", "key"])
+    order = Window.partitionBy("pupil", "label").orderBy(F.col("sure").desc(), "key")
+    found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= PER_ROUND)
+    chosen = found.collect()  # at most PER_ROUND rows of two classes and two views
+    chosen.sort(key=lambda r: (r.pupil, -r.label, r["rank"]))
+    return [(r.pupil, r.label, r.key, np.frombuffer(r.row, float)) for r in chosen]
+
+
+def _features(rows: DataFrame, names: list[str]) -> DataFrame:
+    """``key, y, text, meta``: both views of every row, made by executors."""
 
     def views(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -214,14 +263,19 @@ def _collected(rows: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarra
                                 "text": [t.tobytes() for t in texts], "meta": [m.tobytes() for m in metas]})
 
     found = rows.select("key", "y", "t", "size", *names)
-    found = found.mapInPandas(views, "key long, y int, text binary, meta binary").toArrow()
+    return found.mapInPandas(views, "key long, y int, text binary, meta binary")
+
+
+def _collected(rows: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, features of both views and labels of a bounded sample, by key."""
+    found = _features(rows, names).toArrow()
     found = found.sort_by([(c, "ascending") for c in ("key", "text", "meta")])
     width = (len(text_view("")), len(metadata_view("", [None] * len(names), 0.0)))
     texts, metas = (
         np.frombuffer(b"".join(found.column(c).to_pylist()), float).reshape(-1, w)
-        for c, w in zip(("text", "meta"), width)
+        for c, w in zip(VIEWS, width)
     )
-    return texts, metas, found.column("y").to_numpy()
+    return found.column("key").to_numpy(), texts, metas, found.column("y").to_numpy()
 
 
 SCORES = T.StructType([T.StructField(n, T.DoubleType()) for n in ("score", "text_score", "meta_score")])

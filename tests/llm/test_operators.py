@@ -1,6 +1,7 @@
 """Each operator against brute force, round trips or held-out rows, and on awkward tables."""
 
 import collections
+import dataclasses
 import glob
 import io
 import os
@@ -333,6 +334,43 @@ def test_quality_on_held_out_documents(spark):
     assert good > 0.97 and bad > 0.8
 
 
+def test_the_surest_rows_come_from_the_whole_table(spark):
+    """Against one sort of all rows; equal rows count once, and rows taught before are left out."""
+    rng = np.random.default_rng(4)
+    rows = {k: (rng.standard_normal(3), rng.standard_normal(2)) for k in range(3_000)}
+    table = [(k, t.tobytes(), m.tobytes()) for k, (t, m) in rows.items()]
+    pool = spark.createDataFrame(table + table[:500], "key long, text binary, meta binary").repartition(7)
+    target = np.array([float(t[0] + m[0] > 0) for t, m in rows.values()])
+    models = {v: quality.fit_logistic(np.stack([r[k] for r in rows.values()]), target, ridge=1e-3)
+              for k, v in enumerate(quality.VIEWS)}
+    models = {v: dataclasses.replace(m, weights=m.weights * 4) for v, m in models.items()}
+    taught = {"text": set(range(0, 3000, 2)), "meta": set(range(50))}
+    got = [(p, label, key) for p, label, key, _ in quality._most_confident(pool, models, taught)]
+    want = []
+    for pupil, view in (("meta", "text"), ("text", "meta")):
+        side = quality.VIEWS.index(view)
+        p = models[view].probability(np.stack([r[side] for r in rows.values()]))
+        for label, sure in ((1, p), (0, 1 - p)):
+            order = sorted((-sure[k], k) for k in rows if sure[k] >= quality.CONFIDENT and k not in taught[pupil])
+            want += [(pupil, label, k) for _, k in order[: quality.PER_ROUND]]
+    assert got == want and len(got) > 500
+
+
+def test_unlabelled_rows_outside_any_sample_are_offered(spark, monkeypatch):
+    """The one sure page among many unsure ones reaches the other view."""
+    monkeypatch.setattr(quality, "PER_ROUND", 1)
+    offered = []
+    real = quality._most_confident
+    monkeypatch.setattr(quality, "_most_confident", lambda pool, *rest: offered.append(pool.count()) or real(pool, *rest))
+    words = " ".join(WORDS[:40])
+    docs = [(k, words if k % 2 else "### $$$ " * 30, "en", "s", 100) for k in range(12_000)] + [(None, words, "en", "s", 1)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, quality int")
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    quality.fit_quality(df, labels, per_class=50)
+    # All rows but the labelled ones of the fit: more than any fixed pool held before.
+    assert offered and 12_001 - 200 < min(offered) < 12_001
+
+
 @pytest.mark.parametrize("part", [1_000_000, 1, 7])
 def test_longest_line_at_any_size(monkeypatch, part):
     monkeypatch.setattr(quality, "PART", part)
@@ -447,38 +485,15 @@ def test_packing_of_odd_tables(odd_docs, no_docs):
 # --- 10: mixing -----------------------------------------------------------------------------------
 
 
-def test_pattern_stays_within_one_block():
+def test_schedule_of_endless_sources_is_the_pattern_of_their_weights():
     weights = {"a": 7, "b": 3, "c": 1, "d": 2}
-    slots, total = mixing.pattern(weights), 13
+    parts = mixing.carried({s: 1000 * w for s, w in weights.items()}, weights)
+    slots = [int(x) for _, rounds, part in parts for _ in range(rounds) for x in part[::4]]
+    assert len(slots) == 13_000
     given = collections.Counter()
-    for t, s in enumerate(slots, 1):
-        given[s] += 1
-        assert all(abs(given[x] - t * w / total) < 1 for x, w in weights.items())
-    assert given == weights
-
-
-def test_mix_equals_a_stepwise_schedule(spark):
-    sizes, weights, block = {"a": 50, "b": 41, "c": 7, "d": 90}, {"a": 3, "c": 2}, 4
-    rows = [(k * 10 + n, s) for n, s in enumerate(sizes) for k in range(sizes[s])]
-    df = spark.createDataFrame(rows, "doc_id long, source string")
-    found = mixing.mix(df, weights, block=block).collect()
-    slots = {}
-    for r in found:
-        assert slots.setdefault(r.slot, (r.source, r.block)) == (r.source, r.block)
-    blocks = {s: -(-n // block) for s, n in sizes.items()}
-    assert len(found) == len(rows) and sorted(slots) == list(range(sum(blocks.values())))
-    # Step by step: the pattern of the sources left, from its begin whenever one has given all.
-    left, order = dict(blocks), []
-    while left:
-        turn = mixing.pattern({s: weights.get(s, 1) for s in left})
-        for at in range(10_000):
-            s = turn[at % len(turn)]
-            order.append(s)
-            left[s] -= 1
-            if not left[s]:
-                del left[s]
-                break
-    assert [slots[t][0] for t in range(len(order))] == order
+    for t, k in enumerate(slots, 1):
+        given[list(weights)[k]] += 1
+        assert all(abs(given[x] - t * w / 13) < 1 for x, w in weights.items())
 
 
 def ideal_after(slots, blocks, weights):
@@ -499,7 +514,7 @@ def test_deviation_stays_below_one_block_over_all_ends(spark, short):
     weights = {"src0": 4, "m01": 3, "m05": 2}
     rows = [(k * 100 + n, s) for n, s in enumerate(blocks) for k in range(2 * blocks[s])]
     df = spark.createDataFrame(rows, "doc_id long, source string")
-    found = mixing.mix(df, weights, block=2, carry=True).collect()
+    found = mixing.mix(df, weights, block=2).collect()
     slots = {}
     for r in found:
         assert slots.setdefault(r.slot, (r.source, r.block)) == (r.source, r.block)
@@ -520,9 +535,6 @@ def test_schedule_tables_grow_with_blocks_not_with_sources_squared():
     for blocks in ({f"s{k:04}": k + 1 for k in range(300)}, {f"s{k:05}": 1 for k in range(10_000)}):
         stretches, places = mixing.carried_schedule(blocks, dict.fromkeys(blocks, 1))
         assert len(stretches) <= len(places) <= sum(blocks.values())
-    # The older rule keeps the slots of a pattern that are used, and no others.
-    blocks = {"a": 1, **{f"s{k:03}": 2 for k in range(100)}}
-    assert len(mixing.schedule(blocks, {**dict.fromkeys(blocks, 1), "a": 5})[1]) <= sum(blocks.values())
     # What repeats is held once.
     stretches, places = mixing.carried_schedule({"a": 4_000_000, "b": 1_000_000}, {"a": 4, "b": 1})
     assert len(places) <= 20
@@ -533,7 +545,7 @@ def test_many_sources_and_large_weights(spark, monkeypatch, most):
     monkeypatch.setattr(mixing, "BROADCAST_ROWS", most)
     rows = [(k, f"s{k % 3000:04}") for k in range(7000)]
     df = spark.createDataFrame(rows, "doc_id long, source string")
-    found = mixing.mix(df, {"s0001": 70_000, "s0002": 90_001}, block=1, carry=True).collect()
+    found = mixing.mix(df, {"s0001": 70_000, "s0002": 90_001}, block=1).collect()
     assert sorted(r.slot for r in found) == list(range(7000))
     assert all(r.release <= r.slot < r.deadline for r in found)
     # Ideally the three blocks of each have been given after 6.2 slots.
@@ -560,6 +572,15 @@ def test_mixing_keeps_every_row_and_column(odd_docs, no_docs):
     assert mixing.mixed(no_docs).count() == 0
 
 
+def test_mixing_keeps_columns_that_cannot_be_sorted(odd_docs):
+    extra = F.create_map(F.lit("k"), F.col("n_chars"))
+    docs = odd_docs.withColumn("m", extra).withColumn("s", F.array(F.struct(extra.alias("m"))))
+    out = mixing.mixed(docs)
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, docs.collect()))
+    keys = docs.select("doc_id", "source")
+    assert mixing.mixed(keys.select("doc_id"), source_col="doc_id").count() == keys.count()
+
+
 # --- queries and pipeline ----------------------------------------------------------------------------
 
 
