@@ -7,11 +7,15 @@ similarity reaches the threshold. The work goes in these steps:
    steps below work on these numbers, and ids come back at the end, one row per document.
 2. Each class gets ``trees * depth`` MinHash values. Tree t orders the classes by their
    values from t * depth on. A region is a run of one order with the first ``depth`` values
-   in common. A pair at 0.85 shares no region of 24 trees with probability 1e-10.
-3. Inside a region neighbours share the longest prefixes. The first round compares direct
-   neighbours of a few orders, which joins most copies. In the second the rows with most
-   links so far are compared with every row of their regions that has not joined them,
-   however many: they hold stars of edited copies together.
+   in common. A pair at 0.85 shares no region of 24 trees with probability 1e-10. Regions are
+   counted first, on their numbers alone; only rows that share one go on.
+3. The depth adapts: where more than ``leaf`` rows share a prefix it grows by two values, and
+   by two more, to cells that hold fewer. Rows still together after ``depth + 4`` values are
+   dealt to cells by a hash, so that no sorted run exceeds about ``leaf`` rows. Neighbours in
+   a cell's order share the longest prefixes. The first round compares direct neighbours of a
+   few orders, which joins most copies. In the second the rows with most links so far, a few
+   per region and per deeper cell, are compared with every row of the region or cell that has
+   not joined them, however many: they hold stars of edited copies together.
 4. The last round is exact. A region of up to ``REACH + 1`` rows is compared in full by the
    ``REACH`` rows behind each. A larger one that still holds several components goes in
    blocks of bounded rows and bytes, each pair of blocks a task of its own, and rows of
@@ -42,14 +46,14 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import named, stored
 from pulsegrid.llm.components import components
-from pulsegrid.llm.shingles import WIDTH, minhash_seeds, shingle_set, signature
+from pulsegrid.llm.shingles import ODD, WIDTH, minhash_seeds, mixed, shingle_set, signature
 
 TREES, DEPTH = 24, 3
 HUBS = 4
 REACH = 6
 SIGMAS = 6.5
-BROADCAST_IDS = 500_000
 FIRST_TREES = 4
+LEAF = 256
 BLOCK_ROWS = 2_048
 BLOCK_BYTES = 32 << 20
 MISS = 1e-9
@@ -86,33 +90,48 @@ def _profiles(width: int, count: int):
 FOREST = "region long, tree int, o1 long, o2 long, id long, n long, s1 long, s2 long"
 
 
+def _turned(sig: np.ndarray, trees: int, depth: int, more: int = 0) -> np.ndarray:
+    """Each tree's values in its order, from its own first value on: (rows, trees, depth + more)."""
+    places = np.arange(trees)[:, None] * depth + np.arange(depth + more)
+    return sig[:, places % (trees * depth)].astype(np.uint64)
+
+
+def _region(turned: np.ndarray) -> np.ndarray:
+    """A number for each row's tree and the values given."""
+    number = mixed(np.arange(1, turned.shape[1] + 1, dtype=np.uint64))[None, :]
+    for k in range(turned.shape[2]):
+        number = mixed(number * ODD + turned[:, :, k])
+    return number
+
+
+def _signatures(batch: pa.RecordBatch, count: int) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, count)
+
+
+def _region_numbers(trees: int, depth: int):
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            regions = _region(_turned(_signatures(batch, trees * depth), trees, depth)).ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(regions.view(np.int64))], ["region"])
+
+    return number
+
+
 def _trees(trees: int, depth: int):
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         count = trees * depth
         half = (count + 1) // 2
         for batch in batches:
-            if not batch.num_rows:
-                continue
             ids = np.repeat(batch.column("id").to_numpy(), trees)
             sizes = np.repeat(batch.column("n").to_numpy(), trees)
-            raw = b"".join(batch.column("sig").to_pylist())
-            sig = np.frombuffer(raw, np.uint32).reshape(-1, count)
+            sig = _signatures(batch, count)
             bits = (sig & 1).astype(np.uint64)
             weights = np.uint64(1) << np.arange(half, dtype=np.uint64)
             s1 = (bits[:, :half] * weights).sum(axis=1, dtype=np.uint64)
             s2 = (bits[:, half:] * weights[: count - half]).sum(axis=1, dtype=np.uint64)
-            turned = sig[:, (np.arange(trees)[:, None] * depth + np.arange(depth + 4)) % count]
-            regions = np.array(
-                [
-                    xxhash.xxh3_64_intdigest(row[t, :depth].tobytes(), t)
-                    for row in turned
-                    for t in range(trees)
-                ],
-                np.uint64,
-            )
-            rest = turned[:, :, depth:].astype(np.uint64).reshape(-1, 4)
+            turned = _turned(sig, trees, depth, 4)
+            regions = _region(turned[:, :, :depth]).ravel()
+            rest = turned[:, :, depth:].reshape(-1, 4)
             shift = np.uint64(32)
             columns = [
                 regions, np.tile(np.arange(trees, dtype=np.int32), len(sig)),
@@ -126,6 +145,29 @@ def _trees(trees: int, depth: int):
     return plant
 
 
+def _deepened(forest: DataFrame, leaf: int) -> DataFrame:
+    """Forest rows with the cell whose order they are sorted in, and the cells that have hubs.
+
+    A cell is the shortest prefix of ``depth``, ``depth + 2`` or ``depth + 4`` values that at
+    most ``leaf`` rows share, or a share by hash of the rows of the longest.
+    """
+    small = forest.filter(F.col("crowd") <= leaf)
+    small = small.withColumns({"cell": F.col("region"), "cells": F.array("region")})
+    large = forest.filter(F.col("crowd") > leaf)
+    large = large.withColumns({"second": F.xxhash64("region", "o1"), "third": F.xxhash64("region", "o1", "o2")})
+    seconds = large.groupBy("second").agg(F.count("*").alias("seconds"))
+    thirds = large.groupBy("third").agg(F.count("*").alias("thirds"))
+    large = large.join(seconds, "second").join(thirds, "third")
+    shares = F.pmod(F.xxhash64("id"), F.ceil(F.col("thirds") / leaf))
+    cell = F.when(F.col("seconds") <= leaf, F.col("second"))
+    cell = cell.when(F.col("thirds") <= leaf, F.col("third")).otherwise(F.xxhash64("third", shares))
+    deeper = F.when(F.col("seconds") <= leaf, F.array("region", "second")).otherwise(
+        F.array("region", "second", "third")
+    )
+    large = large.withColumns({"cell": cell, "cells": deeper})
+    return small.unionByName(large.drop("second", "third", "seconds", "thirds"))
+
+
 def _sets(width: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,24 +206,33 @@ def _likely(x: Column, y: Column, percent: int, count: int) -> Column:
     return (small * 100 >= large * percent) & (differ <= most) & (x["c"] != y["c"])
 
 
-def _candidates(rows: DataFrame, reach: int, percent: int, count: int) -> DataFrame:
-    """Pairs of neighbours, or with no reach pairs of a region's best linked rows with the others."""
-    fields = F.struct("id", "n", "s1", "s2", "c", "links")
-    if reach:
-        order = Window.partitionBy("region").orderBy("o1", "o2", "id")
-        paired = rows.withColumn("others", F.collect_list(fields).over(order.rowsBetween(1, reach)))
-    else:
-        # The list of hubs holds at most HUBS entries: the others are null and left out.
-        best = Window.partitionBy("region").orderBy(F.col("links").desc(), "id")
-        hubs = F.collect_list(F.when((F.col("rank") <= HUBS) & (F.col("links") > 1), fields))
-        ranked = rows.withColumn("rank", F.row_number().over(best))
-        paired = ranked.withColumn("others", hubs.over(Window.partitionBy("region")))
+def _pairs(paired: DataFrame, percent: int, count: int) -> DataFrame:
+    """Pairs of each row with those of its ``others`` that may link."""
     own = F.struct("id", "n", "s1", "s2", "c")
     fitting = F.filter("others", lambda y: _likely(own, y, percent, count))
     found = paired.select("id", F.explode(F.transform(fitting, lambda y: y["id"])).alias("o"))
     return found.select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b")).distinct()
 
 
+def _neighbours(rows: DataFrame, reach: int, percent: int, count: int) -> DataFrame:
+    """Pairs of rows that lie at most ``reach`` places apart in a cell's order."""
+    order = Window.partitionBy("cell").orderBy("o1", "o2", "id").rowsBetween(1, reach)
+    others = F.collect_list(F.struct("id", "n", "s1", "s2", "c")).over(order)
+    return _pairs(rows.withColumn("others", others), percent, count)
+
+
+def _with_hubs(rows: DataFrame, percent: int, count: int) -> DataFrame:
+    """Pairs of a cell's best linked rows with all its others, at every depth the cell has.
+
+    Each of ``HUBS`` shares by hash gives its best row, a maximum that is merged before the shuffle.
+    """
+    rows = rows.withColumn("cell", F.explode("cells"))
+    share = F.pmod(F.xxhash64("id", F.lit("hub")), F.lit(HUBS))
+    best = [F.max(F.when(share == k, F.struct("links", "id", "n", "s1", "s2", "c"))) for k in range(HUBS)]
+    hubs = rows.filter("links > 1").groupBy("cell").agg(F.array_compact(F.array(*best)).alias("others"))
+    return _pairs(rows.join(hubs, "cell"), percent, count)
+
+
 def fewest_equal(count: int, percent: int) -> int:
     """The number of equal MinHash values below which a linked pair falls with chance ``MISS``."""
     share, below = percent / 100, 0.0
@@ -258,12 +309,12 @@ def _crowded_links(
 
 
 def _labelled(forest: DataFrame, parts: DataFrame | None, links: DataFrame | None) -> DataFrame:
-    """Forest rows with their component so far and the number of links found."""
+    """Forest rows with their component so far and the number of links that the last round found."""
     if parts is None:
         return forest.withColumn("c", F.col("id")).withColumn("links", F.lit(0))
     ends = links.select(F.col("a").alias("node")).union(links.select("b"))
     degrees = ends.groupBy("node").agg(F.count("*").cast("int").alias("links"))
-    known = parts.join(degrees, "node").withColumnRenamed("node", "id")
+    known = parts.join(degrees, "node", "left").withColumnRenamed("node", "id")
     rows = forest.join(known, "id", "left")
     return rows.withColumns({
         "c": F.coalesce("component", "id"), "links": F.coalesce("links", F.lit(0))
@@ -278,6 +329,7 @@ def near_duplicates(
     width: int = WIDTH,
     trees: int = TREES,
     depth: int = DEPTH,
+    leaf: int = LEAF,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept, text_hash`` per row.
 
@@ -294,14 +346,14 @@ def near_duplicates(
     classes = stored(classes.select(F.monotonically_increasing_id().alias("class"), *place), "classes")
     numbered = classes.withColumnRenamed("class", "id")
     signed = real.select(F.col("id").alias("rep"), "d1", "d2", "n", "sig").join(numbered, place)
-    signed = signed.dropDuplicates(["id"]).select("id", "n", "sig")
-    planted = signed.mapInArrow(_trees(trees, depth), FOREST)
-    crowd = F.count("*").over(Window.partitionBy("region"))
-    forest = stored(planted.withColumn("crowd", crowd).filter("crowd > 1"), "forest")
+    signed = stored(signed.dropDuplicates(["id"]).select("id", "n", "sig"), "signed")
+    regions = signed.select("sig").mapInArrow(_region_numbers(trees, depth), "region long")
+    regions = regions.groupBy("region").agg(F.count("*").alias("crowd")).filter("crowd > 1")
+    regions = stored(regions, "regions")
+    forest = stored(signed.mapInArrow(_trees(trees, depth), FOREST).join(regions, "region"), "forest")
+    forest = stored(_deepened(forest, leaf), "orders")
 
     wanted = stored(numbered.join(forest.select("id").distinct(), "id"), "wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
     chosen = texts.select(F.col("id").alias("rep"), "t").join(wanted.select("rep").distinct(), "rep", "left_semi")
     # Of the texts of a repeated id, those count that the class was made of.
     sets = chosen.mapInArrow(_sets(width), "rep long, d1 long, d2 long, set binary").join(wanted, place)
@@ -311,9 +363,11 @@ def near_duplicates(
     # The neighbours of the first orders, then the hubs, then all that is still apart.
     for reach in (1, 0, REACH):
         rows = _labelled(forest, parts, links)
-        near = rows.filter(F.col("tree") < FIRST_TREES) if reach == 1 else rows
-        near = near.filter(F.col("crowd") <= REACH + 1) if reach == REACH else near
-        pairs = _candidates(near, reach, percent, count)
+        if not reach:
+            pairs = _with_hubs(rows, percent, count)
+        else:
+            first = F.col("tree") < FIRST_TREES if reach == 1 else F.col("crowd") <= REACH + 1
+            pairs = _neighbours(rows.filter(first), reach, percent, count)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -326,8 +380,10 @@ def near_duplicates(
             good = good.union(_crowded_links(rows, sets, signed, trees, depth, percent))
         good = stored(good, "links")
         if not good.isEmpty():
-            links = good if links is None else links.unionByName(good)
-            parts = stored(components(links), "parts")
+            links = good
+            # Earlier links count no more than the components they made.
+            edges = good if parts is None else good.union(parts.select("node", "component"))
+            parts = stored(components(edges), "parts")
         tested = pairs if tested is None else tested.unionByName(pairs)
 
     if parts is None:

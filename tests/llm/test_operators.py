@@ -13,12 +13,14 @@ from fractions import Fraction
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from check import compare
+from pulsegrid.llm import components as components_module
 from pulsegrid.llm import mixing, neardup, packing, quality, queries, tokenids, warc
 from pulsegrid.llm.common import in_file_order
 from pulsegrid.llm.components import components
@@ -179,8 +181,8 @@ def test_crowd_of_edited_copies_is_one_component(spark):
     assert found == brute_components({k: shingle_set(t) for k, t in texts.items()}, 85)
 
 
-@pytest.mark.parametrize("rows", [2_048, 32])
-def test_crowd_with_lone_links_is_compared_in_full(spark, monkeypatch, rows):
+@pytest.mark.parametrize("rows, leaf", [(2_048, neardup.LEAF), (32, 8)])
+def test_crowd_with_lone_links_is_compared_in_full(spark, monkeypatch, rows, leaf):
     """Copies around the threshold: many link with few others, and with no hub."""
     monkeypatch.setattr(neardup, "BLOCK_ROWS", rows)
     rng = np.random.default_rng(11)
@@ -192,11 +194,27 @@ def test_crowd_with_lone_links_is_compared_in_full(spark, monkeypatch, rows):
             words[at] = f"e{rng.integers(0, 6)}_{at}"
         texts[k] = " ".join(words)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
-    found = {r.doc_id: r.component_id for r in near_duplicates(df, percent=85).collect()}
+    found = {r.doc_id: r.component_id for r in near_duplicates(df, percent=85, leaf=leaf).collect()}
     want = brute_components({k: shingle_set(t) for k, t in texts.items()}, 85)
     assert found == want and 20 < len(set(want.values())) < 149
 
 
+def test_depth_grows_where_a_prefix_is_crowded(spark):
+    """Region 1 fits; region 2 splits at the next values; of region 3 one part stays crowded to the end."""
+    rows = [(1, 5, 5, k) for k in range(4)] + [(2, k // 3, 0, 10 + k) for k in range(12)]
+    rows += [(3, 7, 7, 100 + k) for k in range(40)] + [(3, 8, k, 200 + k) for k in range(3)]
+    forest = spark.createDataFrame(rows, "region long, o1 long, o2 long, id long")
+    forest = forest.join(forest.groupBy("region").agg(F.count("*").alias("crowd")), "region")
+    found = {r.id: r for r in neardup._deepened(forest, 4).collect()}
+    assert len(found) == len(rows)
+    assert all(found[k].cell == 1 and found[k].cells == [1] for k in range(4))
+    assert len({found[k].cell for k in range(10, 22)}) == 4 and len({found[k].cell for k in range(10, 13)}) == 1
+    crowded = collections.Counter(found[k].cell for k in range(100, 140))
+    assert len(crowded) > 5 and len({tuple(found[k].cells) for k in range(100, 140)}) == 1
+    assert len(found[100].cells) == 3 and len(found[200].cells) == 2
+    assert len({found[k].cell for k in range(200, 203)}) == 1
+
+
 def test_fewest_equal_values_of_a_linked_pair():
     fewest = neardup.fewest_equal(72, 85)
     equal = np.random.default_rng(0).binomial(72, 0.85, 100_000)
@@ -220,6 +238,23 @@ def test_components_of_a_chain_and_a_star(spark):
     assert found == {**dict.fromkeys(range(31), 0), **dict.fromkeys(range(100, 130), 100)}
 
 
+def test_components_of_many_tasks(spark, monkeypatch):
+    """Chains that run through all tasks, contracted a few edges at a time."""
+    order = np.random.default_rng(5).permutation(600)
+    edges = [(int(order[k]), int(order[k + 1])) for k in range(599) if k % 150 != 149]
+    want = {int(x): int(order[k // 150 * 150 : k // 150 * 150 + 150].min()) for k, x in enumerate(order)}
+    df = spark.createDataFrame(edges, "a long, b long").repartition(6)
+    assert {r.node: r.component for r in components(df).collect()} == want
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    ends = np.array([sorted(e, reverse=True) for e in edges])
+    batches = pa.table({"u": ends[:, 0], "v": ends[:, 1]}, schema).to_batches(max_chunksize=50)
+    monkeypatch.setattr(components_module, "CHUNK", 100)
+    stars = pa.Table.from_batches(list(components_module._contract(batches)))
+    pairs = zip(stars["u"].to_pylist(), stars["v"].to_pylist())
+    again = spark.createDataFrame(list(pairs), "a long, b long")
+    assert {r.node: r.component for r in components(again).collect()} == want
+
+
 # --- 3: WARC -----------------------------------------------------------------------------
 
 
