@@ -29,6 +29,7 @@ from pulsegrid.session import scratch_dir
 
 LEAST_BYTES = 100
 CHUNK = 1 << 16
+HOT_DIGESTS = 10_000
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
 CRLF = b"\r\n"
@@ -185,11 +186,21 @@ def write_archives(
         named(payload_col).cast("string").cast("binary").alias("payload"),
     )
     rows = rows.withColumn("digest", F.sha2(F.coalesce("payload", F.lit(b"")), 256))
-    # Only payloads that come twice matter; few digests do, so this side stays small.
-    long = rows.filter(F.octet_length("payload") >= LEAST_BYTES).filter(F.col("id").isNotNull())
-    first = long.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    first = first.filter("first < last").select("digest", "first")
-    joined = rows.join(first, "digest", "left")
+    fits = (F.octet_length("payload") >= LEAST_BYTES) & F.col("id").isNotNull()
+    first = rows.filter(fits).groupBy("digest").agg(
+        F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("copies")
+    )
+    first = stored(first.filter("first < last").select("digest", "first", "copies"), "first")
+    # At most HOT_DIGESTS payloads have more copies than this; they go to every task.
+    many = (first.agg(F.sum("copies")).first()[0] or 0) / HOT_DIGESTS
+    hot = first.filter(F.col("copies") > many).select(F.col("digest").alias("hot_digest"), F.col("first").alias("hot"))
+    other = first.filter(F.col("copies") <= many).select(F.col("digest").alias("key"), "first")
+    joined = rows.join(F.broadcast(hot), F.col("digest") == F.col("hot_digest"), "left")
+    # Rows that need no partner any more are spread by a key that no digest equals.
+    spread = F.concat(F.lit("-"), F.xxhash64("id", "url", "digest").cast("string"))
+    joined = joined.withColumn("key", F.when(fits & F.col("hot").isNull(), F.col("digest")).otherwise(spread))
+    joined = joined.join(other, "key", "left")
+    joined = joined.withColumn("first", F.when(fits, F.coalesce("hot", "first")))
     refers = F.when(F.col("id") != F.col("first"), F.col("first"))
     ready = joined.select("id", "url", "payload", refers.alias("refers"))
     return stored(ready.mapInArrow(_write(folder), "path string, records long"), "archives")

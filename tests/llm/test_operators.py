@@ -258,6 +258,25 @@ def test_components_of_many_tasks(spark, monkeypatch):
 # --- 3: WARC -----------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("most", [warc.HOT_DIGESTS, 1])
+def test_copies_of_hot_payloads(spark, folder, monkeypatch, most):
+    """A third of all rows share one payload; with one hot digest the others go by the join."""
+    monkeypatch.setattr(warc, "HOT_DIGESTS", most)
+    hot, pair = "h" * 100, "p" * 100
+    pages = [(k, "u", hot) for k in range(40, 10, -1)] + [(50, "u", pair), (51, "u", pair), (52, "u", pair)]
+    pages += [(k, "u", "s" * 99) for k in range(60, 90)] + [(None, "u", hot), (None, "u", None), (11, "v", hot)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    found = warc.read_archives(warc.write_archives(df, folder)).collect()
+    assert len(found) == len(pages)
+    for r in found:
+        want = None
+        if r.page_id is not None and 11 < r.page_id <= 40:
+            want = 11
+        elif r.page_id in (51, 52):
+            want = 50
+        assert r.refers_to == want and r.record_type == ("response" if want is None else "revisit")
+
+
 def test_warc_round_trip(spark, folder):
     same = "é" * 80
     pages = [(3, "u", same), (1, None, same), (9, "a\r\nb", None), (4, "u", "short"), (5, "u", "short"),
