@@ -52,6 +52,7 @@ TREES, DEPTH = 24, 3
 HUBS = 4
 REACH = 6
 SIGMAS = 6.5
+BROADCAST_IDS = 250_000
 FIRST_TREES = 4
 LEAF = 256
 BLOCK_ROWS = 2_048
@@ -346,7 +347,7 @@ def near_duplicates(
     classes = stored(classes.select(F.monotonically_increasing_id().alias("class"), *place), "classes")
     numbered = classes.withColumnRenamed("class", "id")
     signed = real.select(F.col("id").alias("rep"), "d1", "d2", "n", "sig").join(numbered, place)
-    signed = stored(signed.dropDuplicates(["id"]).select("id", "n", "sig"), "signed")
+    signed = stored(signed.dropDuplicates(place).select("id", "n", "sig"), "signed")
     regions = signed.select("sig").mapInArrow(_region_numbers(trees, depth), "region long")
     regions = regions.groupBy("region").agg(F.count("*").alias("crowd")).filter("crowd > 1")
     regions = stored(regions, "regions")
@@ -354,6 +355,9 @@ def near_duplicates(
     forest = stored(_deepened(forest, leaf), "orders")
 
     wanted = stored(numbered.join(forest.select("id").distinct(), "id"), "wanted")
+    # Four numbers a class: within this bound they go to every task, and texts need not move.
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     chosen = texts.select(F.col("id").alias("rep"), "t").join(wanted.select("rep").distinct(), "rep", "left_semi")
     # Of the texts of a repeated id, those count that the class was made of.
     sets = chosen.mapInArrow(_sets(width), "rep long, d1 long, d2 long, set binary").join(wanted, place)
