@@ -13,9 +13,9 @@ similarity reaches the threshold. The work goes in these steps:
    by two more, to cells that hold fewer. Rows still together after ``depth + 4`` values are
    dealt to cells by a hash, so that no sorted run exceeds about ``leaf`` rows. Neighbours in
    a cell's order share the longest prefixes. The first round compares direct neighbours of a
-   few orders, which joins most copies. In the second the rows with most links so far, a few
-   per region and per deeper cell, are compared with every row of the region or cell that has
-   not joined them, however many: they hold stars of edited copies together.
+   few orders, which joins most copies. In the second the row with most links so far, one
+   per region and one per deeper cell, is compared with every row of the region or cell that has
+   not joined it, however many: it holds a star of edited copies together.
 4. The last round is exact. A region of up to ``REACH + 1`` rows is compared in full by the
    ``REACH`` rows behind each. A larger one that still holds several components goes in
    blocks of bounded rows and bytes, each pair of blocks a task of its own, and rows of
@@ -49,7 +49,6 @@ from pulsegrid.llm.components import components
 from pulsegrid.llm.shingles import ODD, WIDTH, minhash_seeds, mixed, shingle_set, signature
 
 TREES, DEPTH = 24, 3
-HUBS = 4
 REACH = 6
 SIGMAS = 6.5
 BROADCAST_IDS = 250_000
@@ -162,9 +161,7 @@ def _deepened(forest: DataFrame, leaf: int) -> DataFrame:
     shares = F.pmod(F.xxhash64("id"), F.ceil(F.col("thirds") / leaf))
     cell = F.when(F.col("seconds") <= leaf, F.col("second"))
     cell = cell.when(F.col("thirds") <= leaf, F.col("third")).otherwise(F.xxhash64("third", shares))
-    deeper = F.when(F.col("seconds") <= leaf, F.array("region", "second")).otherwise(
-        F.array("region", "second", "third")
-    )
+    deeper = F.array("region", F.when(F.col("seconds") <= leaf, F.col("second")).otherwise(F.col("third")))
     large = large.withColumns({"cell": cell, "cells": deeper})
     return small.unionByName(large.drop("second", "third", "seconds", "thirds"))
 
@@ -223,14 +220,13 @@ def _neighbours(rows: DataFrame, reach: int, percent: int, count: int) -> DataFr
 
 
 def _with_hubs(rows: DataFrame, percent: int, count: int) -> DataFrame:
-    """Pairs of a cell's best linked rows with all its others, at every depth the cell has.
+    """Pairs of the best linked row with all others, in every region and in its deepest cells.
 
-    Each of ``HUBS`` shares by hash gives its best row, a maximum that is merged before the shuffle.
+    The best row is a maximum that is merged before the shuffle.
     """
     rows = rows.withColumn("cell", F.explode("cells"))
-    share = F.pmod(F.xxhash64("id", F.lit("hub")), F.lit(HUBS))
-    best = [F.max(F.when(share == k, F.struct("links", "id", "n", "s1", "s2", "c"))) for k in range(HUBS)]
-    hubs = rows.filter("links > 1").groupBy("cell").agg(F.array_compact(F.array(*best)).alias("others"))
+    best = F.max(F.struct("links", "id", "n", "s1", "s2", "c"))
+    hubs = rows.filter("links > 1").groupBy("cell").agg(F.array(best).alias("others"))
     return _pairs(rows.join(hubs, "cell"), percent, count)
 
 
