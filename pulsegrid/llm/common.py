@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pulsegrid.session import scratch_dir
 
 BUCKETS = 1 << 30
+#: Whether Spark removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def named(name: str) -> Column:
@@ -25,11 +27,17 @@ def named(name: str) -> Column:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a stage's rows to the shared scratch folder and read them back.
 
-    This cuts the lineage: an executor lost later costs no earlier stage.
+    This cuts the lineage: an executor lost later costs no earlier stage. The files of the
+    shuffles go when the rows are written, not when the driver next collects its garbage.
     """
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_dir(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def in_file_order(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import os
 import shutil
 import subprocess
 import sys
+import time
 import zlib
 from fractions import Fraction
 
@@ -22,7 +23,7 @@ import corpus_pipeline
 from check import compare
 from pulsegrid.llm import components as components_module
 from pulsegrid.llm import mixing, neardup, packing, quality, queries, tokenids, warc
-from pulsegrid.llm.common import in_file_order
+from pulsegrid.llm.common import CLEANUP, in_file_order, stored
 from pulsegrid.llm.components import components
 from pulsegrid.llm.neardup import near_duplicates
 from pulsegrid.llm.shingles import minhash_seeds, shingle_set, signature
@@ -232,6 +233,25 @@ def test_signature_estimates_similarity():
     assert abs((signature(a, seeds) == signature(b, seeds)).mean() - true) < 0.08
 
 
+def test_written_stages_leave_no_shuffle_files(spark):
+    def shuffles():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(k).getName() for k in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffles()
+    keys = spark.range(1000).withColumn("k", F.col("id") % 10)
+    rows = stored(keys.groupBy("k").count().join(keys.repartition(3, "k"), "k"), "joined")
+    for _ in range(50):
+        left = shuffles() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert rows.count() == 1000
+    assert spark.conf.get(CLEANUP, None) is None
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 130)] + [(7, 7)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
