@@ -5,6 +5,7 @@ import dataclasses
 import glob
 import io
 import os
+import re
 import shutil
 import subprocess
 import sys
@@ -28,7 +29,7 @@ from pulsegrid.llm.components import components
 from pulsegrid.llm.neardup import near_duplicates
 from pulsegrid.llm.shingles import minhash_seeds, shingle_set, signature
 from pulsegrid.llm.tokencounts import section_tokens
-from pulsegrid.llm.tokens import PieceEncoder, tokenizer_path
+from pulsegrid.llm.tokens import SPACE, PieceEncoder, tokenizer_path
 from pulsegrid.llm.topk import segment_statistics, top_k
 from pulsegrid.llm.toxicity import fit_toxicity, toxicity
 from pulsegrid.llm.vectors import near_vectors
@@ -496,6 +497,37 @@ def test_piece_encoder_of_letters_that_normalise_to_marks(name):
         assert rows[ends[k] : ends[k + 1], 0].tolist() == want, text
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_of_latin_letters_skip_the_search_for_units(name, monkeypatch):
+    encoder = PieceEncoder(tokenizer_path(name))
+    texts = ["Été à la plage.\nVoilà, Straße", "the cat sat.\nThe dog, too", "one two one\ntwo", "x"]
+    want = [library(name).encode(t, add_special_tokens=False).ids for t in texts]
+    seen = []
+    monkeypatch.setattr(encoder, "_whole", seen.append)
+    rows, ends = encoder.encode(texts)
+    assert [rows[a:b, 0].tolist() for a, b in zip(ends, ends[1:])] == want
+    assert seen == []
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_piece_encoder_of_any_mix_of_letters_stops_and_space(name, monkeypatch):
+    monkeypatch.setattr("pulsegrid.llm.tokens.CACHED", 300)
+    rng = np.random.default_rng(7)
+    parts = [*"aAzéÉßÿµªºÀ×÷ .,\n\n  \t\r'09!?«ñİıſς\x1c\x85\xa0\u0301\u2003\u3000日", "'s", "the", "The ", ".\n", ",\n", "ing"]
+    encoder, whole = PieceEncoder(tokenizer_path(name)), library(name)
+    for _ in range(3):
+        texts = ["".join(rng.choice(parts, rng.integers(0, 40))) for _ in range(500)]
+        rows, ends = encoder.encode(texts)
+        for k, text in enumerate(texts):
+            assert rows[ends[k] : ends[k + 1], 0].tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_arrow_knows_the_same_space_as_python():
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    found = pa.compute.match_substring_regex(pa.array(every), SPACE).to_pylist()
+    assert [c for c, hit in zip(every, found) if hit] == [c for c in every if re.match(r"\s", c)]
+
+
 def expected_ids(name, text):
     return np.array([*library(name).encode(text or "", add_special_tokens=False).ids, 2], "<u4")
 
