@@ -37,15 +37,15 @@ LEVEL_SHIFT = 1 << 56
 TASK_SHIFT = 1 << 32
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-SHAPE = PIECE + ", sequence_id long, offset long, ids binary"
+SHAPE = PIECE + ", sequence_id long, offset long, ids binary, grp long"
 NAMES = [f.split()[0] for f in SHAPE.split(", ")]
 
 
 class Packer:
     """Open windows of one task. A piece is (doc, start, ids, doc_tokens)."""
 
-    def __init__(self, length: int, open_windows: int, first: int):
-        self.length, self.most, self.number = length, open_windows, first
+    def __init__(self, length: int, open_windows: int, first: int, group: int | None = None):
+        self.length, self.most, self.number, self.group = length, open_windows, first, group
         self.windows: list[tuple[int, list]] = []
         self.out: list[tuple] = []
 
@@ -81,7 +81,7 @@ class Packer:
     def _emit(self, pieces: list) -> None:
         offset = 0
         for doc, start, ids, total in pieces:
-            self.out.append((doc, start, len(ids), zlib.crc32(ids.tobytes()), total, self.number, offset, None))
+            self.out.append((doc, start, len(ids), zlib.crc32(ids.tobytes()), total, self.number, offset, None, self.group))
             offset += len(ids)
         self.number += 1
 
@@ -89,7 +89,7 @@ class Packer:
         """Hand on what is open, with its ids, for the merge."""
         for _, pieces in self.windows:
             for doc, start, ids, total in pieces:
-                self.out.append((doc, start, len(ids), 0, total, None, 0, ids.tobytes()))
+                self.out.append((doc, start, len(ids), 0, total, None, 0, ids.tobytes(), self.group))
         self.windows = []
 
     def finish(self) -> None:
@@ -111,14 +111,15 @@ class Packer:
 
     def rows(self) -> pa.RecordBatch:
         columns = list(zip(*self.out)) or [()] * len(NAMES)
-        types = [pa.int64()] * (len(NAMES) - 1) + [pa.binary()]
+        types = [pa.binary() if n == "ids" else pa.int64() for n in NAMES]
         self.out = []
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], NAMES)
 
 
 def _pack(tokenizer: str, length: int, open_windows: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(length, open_windows, TaskContext.get().partitionId() * TASK_SHIFT)
+        task = TaskContext.get().partitionId()
+        packer = Packer(length, open_windows, task * TASK_SHIFT, task)
         for batch in batches:
             for part in slices(batch, "t", SLICE_BYTES):
                 rows, ends = encoder(tokenizer).encode(part.column("t").to_pylist())
@@ -141,6 +142,7 @@ def _merge(length: int, open_windows: int, level: int, last: bool):
                 if number != group:
                     packer.finish() if last else packer.leave()
                     group, packer.number = number, level * LEVEL_SHIFT + number * TASK_SHIFT
+                    packer.group = group
                 packer.add(doc, start, np.frombuffer(raw, "<u4"), total)
             yield packer.rows()
         packer.finish() if last else packer.leave()
@@ -164,7 +166,7 @@ def pack(
     text = F.coalesce(named(text_col).cast("string"), F.lit(""))
     rows = df.select(named(id_col).cast("long").alias("id"), text.alias("t"))
     mapped = rows.mapInArrow(_pack(tokenizer, length, open_windows), SHAPE)
-    now = stored(mapped.withColumn("grp", F.spark_partition_id().cast("long")), "packed")
+    now = stored(mapped, "packed")
     done = [now.filter("sequence_id is not null")]
     level = 0
     while True:
@@ -175,14 +177,12 @@ def pack(
             break
         last = groups == 1
         dealt = left.repartition(groups, "grp").sortWithinPartitions("grp", F.col("length").desc(), "doc_id", "start")
-        columns = [*NAMES, "grp"]
-        packed = dealt.select(*columns).mapInArrow(_merge(length, open_windows, level, last), SHAPE)
-        numbered = packed.withColumn("grp", F.spark_partition_id().cast("long"))
-        now = stored(numbered, "merged")
+        # Groups keep their numbers, whatever number of partitions they are dealt to.
+        now = stored(dealt.select(*NAMES).mapInArrow(_merge(length, open_windows, level, last), SHAPE), "merged")
         done.append(now.filter("sequence_id is not null"))
         if last:
             break
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    return out.select(*[c for c in NAMES if c != "ids"])
+    return out.select(*[c for c in NAMES if c not in ("ids", "grp")])

@@ -583,6 +583,22 @@ def test_packing_places_every_id_once(spark, odd_docs, length, open_windows, mer
     assert len(pieces) == len(TEXTS)
 
 
+def test_merges_end_when_groups_are_dealt_to_more_partitions(spark, monkeypatch):
+    docs = spark.range(48).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text")).repartition(24)
+    kind, calls = type(docs), []
+    deal = kind.repartition
+
+    def more(self, number, *keys):
+        calls.append(number)
+        assert len(calls) <= 2
+        return deal(self, max(24, number), *keys)
+
+    monkeypatch.setattr(kind, "repartition", more)
+    pieces = packing.pack(docs, merged=6).toPandas()
+    assert calls == [4, 1]
+    assert sorted(pieces["doc_id"].unique()) == list(range(48))
+
+
 def test_packing_of_odd_tables(odd_docs, no_docs):
     assert packing.pack(odd_docs).select("doc_id").distinct().count() == len(TEXTS) + 1
     assert packing.pack(no_docs).count() == 0
