@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import named, slices, stored
-from pulsegrid.llm.tokens import SLICE_BYTES, encoder, tokenizer_path
+from pulsegrid.llm.tokens import encoder, tokenizer_path
 
 LENGTH = 4096
 OPEN = 32
 LEAST_CUT = 64
 MERGED = 64
+#: Text encoded at once. What a worker process needs beside its cache grows with it.
+SLICE_BYTES = 1_000_000
 END_ID = 2
 LEVEL_SHIFT = 1 << 56
 TASK_SHIFT = 1 << 32

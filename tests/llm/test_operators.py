@@ -599,6 +599,32 @@ def test_merges_end_when_groups_are_dealt_to_more_partitions(spark, monkeypatch)
     assert sorted(pieces["doc_id"].unique()) == list(range(48))
 
 
+def test_memory_of_a_packing_task_does_not_follow_its_batches():
+    code = """
+import re, sys
+import numpy as np, pyarrow as pa
+from pulsegrid.llm import packing
+from pulsegrid.llm.tokens import encoder, tokenizer_path
+packing.TaskContext = type("One", (), {"get": classmethod(lambda c: c()), "partitionId": lambda self: 0})
+path = tokenizer_path("word_bpe_49k.json")
+words = np.array(["word%d" % k for k in range(5_000)])
+texts = [" ".join(words[np.random.default_rng(k).integers(0, 5_000, 300)]) for k in range(4_000)]
+encoder(path).encode([" ".join(words)])
+batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "t": texts})
+peak = lambda: int(re.search(r"VmHWM:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+before, pieces = peak(), 0
+for made in packing._pack(path, 4096, 32)(iter([batch])):
+    pieces += made.num_rows
+print(peak() - before, pieces)
+"""
+    root = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    run = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr
+    grown, pieces = map(int, run.stdout.split())
+    assert pieces >= 4_000
+    assert grown < 90, grown
+
+
 def test_packing_of_odd_tables(odd_docs, no_docs):
     assert packing.pack(odd_docs).select("doc_id").distinct().count() == len(TEXTS) + 1
     assert packing.pack(no_docs).count() == 0
