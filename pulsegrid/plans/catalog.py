@@ -28,7 +28,7 @@ from pulsegrid.schemas import FEATURE_COLS, LABEL, METRICS, TELEMETRY, TIMESTAMP
 from pulsegrid.session import scratch_dir
 from pulsegrid.sources.tables import read_table, write_report, write_table
 from pulsegrid.sources.views import documents, pages, reviews_view, telemetry_view
-from pulsegrid.streaming.reviews import read_review_stream, start_predictions
+from pulsegrid.streaming.reviews import read_table_stream, start_predictions
 
 UNITS = 1e6
 #: Slopes of the mean loss below this count as none; with all coefficients 0 the steepest is about 0.4.
@@ -502,7 +502,7 @@ def q_sentiment_stream(spark, folder):
     """Stream predictions, and whether each equals the batch prediction."""
     model, _ = sentiment.train_sentiment(reviews_view(spark, folder), "doc_id")
     schema = spark.read.parquet(f"{folder}/documents.parquet").schema
-    arriving = read_review_stream(spark, folder, schema, "documents.parquet")
+    arriving = read_table_stream(spark, folder, "documents.parquet", schema)
     arriving = arriving.select("doc_id", F.col("text").alias("review"))
     out = scratch_dir(spark, "stream")
     start_predictions(arriving, model, f"{out}/table", f"{out}/progress").awaitTermination()

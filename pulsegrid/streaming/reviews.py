@@ -22,6 +22,21 @@ def read_review_stream(
     )
 
 
+def read_table_stream(
+    spark: SparkSession, folder: str, name: str, schema: T.StructType
+) -> DataFrame:
+    """All files of a table as a stream, be the table one file or a folder of files.
+
+    A source cannot be a file by its own path, so that one is picked from its folder by name.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    found = path.getFileSystem(conf).globStatus(path) or []
+    if any(status.isDirectory() for status in found):
+        return read_review_stream(spark, f"{folder}/{name}", schema, "*")
+    return read_review_stream(spark, folder, schema, name)
+
+
 def start_predictions(
     reviews: DataFrame, model: PipelineModel, out: str, checkpoint: str
 ) -> StreamingQuery:

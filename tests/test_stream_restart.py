@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from pulsegrid.plans.catalog import QUERIES
 from pulsegrid.plans.sentiment import predict_reviews, train_sentiment
 from pulsegrid.streaming.reviews import read_review_stream, start_predictions
 
@@ -59,3 +60,19 @@ def test_a_killed_batch_is_written_once(spark, model, folder, lost, read_again):
     found = spark.read.parquet(f"{folder}/out")
     assert sorted(map(tuple, found.select("key", "sentiment").collect())) == want
     assert found.select(F.countDistinct("key")).first()[0] == len(want) == 60
+
+
+@pytest.mark.parametrize("parts,by", [(3, []), (1, ["lang"]), (0, [])])
+def test_documents_stream_from_a_folder_or_one_file(spark, folder, parts, by):
+    """Part files, also below a partition column, or (no parts) a single file by the table's name."""
+    rows = [(k, ("good fine film" if k % 2 else "bad poor film") + f" w{k % 5}", "de" if k % 3 else "en")
+            for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = f"{folder}/documents.parquet" if parts else f"{folder}/one"
+    docs.repartition(parts or 1).write.partitionBy(*by).parquet(out)
+    if not parts:
+        part = next(p for p in os.listdir(out) if p.endswith(".parquet"))
+        os.link(f"{out}/{part}", f"{folder}/documents.parquet")
+    docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality").write.parquet(f"{folder}/labels.parquet")
+    found = QUERIES["sentiment_stream"](spark, folder).collect()
+    assert sorted(map(tuple, found)) == [(k, True) for k in range(40)]
