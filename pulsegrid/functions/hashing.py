@@ -30,6 +30,12 @@ def below(hash_column: Column, rate: float) -> Column:
     return F.substring(hash_column, 1, HEX_DIGITS) < F.lit(f"{int(rate * 16**HEX_DIGITS):013x}")
 
 
+def least_digits(p: float) -> str | None:
+    """The first digits of the hashes whose uniform draw is ``p`` or more begin here; None if none is."""
+    least = math.ceil(p * 16**HEX_DIGITS)
+    return f"{least:0{HEX_DIGITS}x}" if least < 16**HEX_DIGITS else None
+
+
 def hash_uniform(seed: object, *parts: str | Column) -> Column:
     """Uniform draw in [0, 1)."""
     digits = F.substring(hash_hex(seed, *parts), 1, HEX_DIGITS)

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from pulsegrid.functions.hashing import HEX_DIGITS, hash_hex, hash_uniform
+from pulsegrid.functions.hashing import HEX_DIGITS, hash_hex, hash_uniform, least_digits
+from pulsegrid.functions.text import let
 from pulsegrid.operators.quantiles import quantile_columns
 from pulsegrid.schemas import FEATURE_COLS
 
@@ -88,16 +89,19 @@ def tree_samples(
     if rate >= FULL_RATE:
         drawn = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     else:
-        steps = F.array(*[F.lit(p) for p in poisson_steps(-trees * math.log1p(-rate))])
-        times = F.size(F.filter(steps, lambda p: p <= F.col("_u")))
+        # A row is considered as often as its draw reaches a step. Draws and steps are compared as
+        # text, and rows that reach none, nearly all of a large table, leave by their first hash.
+        draw = F.substring(hash_hex(f"{seed}:times", "_row"), 1, HEX_DIGITS)
+        steps = [least_digits(p) for p in poisson_steps(-trees * math.log1p(-rate))]
+        steps = F.array(*[F.lit(p) for p in steps if p is not None])
+        times = let(draw, lambda d: F.size(F.filter(steps, lambda p: p <= d)))
         turns = F.filter(F.sequence(F.lit(0), F.col("_times")), lambda j: j > 0)
         picks = F.transform(
             turns,
             lambda j: F.floor(hash_uniform(f"{seed}:pick", "_row", j) * trees).cast("int"),
         )
-        drawn = rows.withColumn("_u", hash_uniform(f"{seed}:times", "_row"))
-        drawn = drawn.withColumn("_times", times).filter("_times > 0")
-        drawn = drawn.withColumn("tree", F.explode(F.array_distinct(picks))).drop("_u", "_times")
+        drawn = rows.filter(steps[0] <= draw).withColumn("_times", times)
+        drawn = drawn.withColumn("tree", F.explode(F.array_distinct(picks))).drop("_times")
     drawn = drawn.withColumn("_draw", hash_hex(f"{seed}:tree", "tree", "_row"))
     order = Window.partitionBy("tree").orderBy("_draw", *key)
     ranked = drawn.withColumn("_rank", F.row_number().over(order))

@@ -123,12 +123,21 @@ def _carried(ends: DataFrame, axis: Axis, segment: str, columns: Sequence[str],
 
 
 def _fill_rows(
-    rows: DataFrame, columns: Sequence[str], axis: Axis, segment: str, forward: bool
+    rows: DataFrame,
+    columns: Sequence[str],
+    axis: Axis,
+    segment: str,
+    forward: bool,
+    long: DataFrame | None = None,
 ) -> DataFrame:
-    """Fill tagged rows that lie together by series and segment, without moving them again."""
+    """Fill tagged rows that lie together by series and segment, without moving them again.
+
+    ``long`` has the same rows, but may lack those of series with one segment only.
+    """
     nearest = F.max_by if forward else F.min_by
     known = {c: F.when(F.col(c).isNotNull(), F.col(axis.order)) for c in columns}
-    ends = rows.groupBy(*axis.series, segment).agg(*[nearest(c, known[c]).alias(c) for c in columns])
+    ends = (rows if long is None else long).groupBy(*axis.series, segment)
+    ends = ends.agg(*[nearest(c, known[c]).alias(c) for c in columns])
     carried = _carried(ends, axis, segment, columns, forward)
     # Backward fill looks at rows in descending order: a frame up to
     # unboundedFollowing would be evaluated anew for each row.
@@ -138,11 +147,10 @@ def _fill_rows(
         .orderBy(directed)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    filled = {
-        c: F.coalesce(F.last(c, ignorenulls=True).over(so_far), F.col(f"_carried_{c}"))
-        for c in columns
-    }
-    return rows.join(carried, [*axis.series, segment], "left").withColumns(filled)
+    # Joined after the window, whose sort serves the join too.
+    near = {f"_last_{c}": F.last(c, ignorenulls=True).over(so_far) for c in columns}
+    joined = rows.withColumns(near).join(carried, [*axis.series, segment], "left")
+    return joined.withColumns({c: F.coalesce(f"_last_{c}", f"_carried_{c}") for c in columns})
 
 
 def _fill(df: DataFrame, columns: Sequence[str] | None, axis: Axis, forward: bool) -> DataFrame:
@@ -187,19 +195,13 @@ def with_ordinal(df: DataFrame, axis: Axis, name: str = "ordinal") -> DataFrame:
     )
 
 
-def _windowed(
-    df: DataFrame,
-    axis: Axis,
-    back: int,
-    build: Callable[[WindowSpec], Mapping[str, Column]],
-) -> tuple[DataFrame, Axis, list[str]]:
-    """Tagged rows with the window expressions, lying together by series and ``_home``.
+def _homed(df: DataFrame, axis: Axis, back: int) -> tuple[DataFrame, Axis]:
+    """Tagged rows, those that the next segment looks back at twice; also the axis of the tags.
 
-    ``_home`` is the segment of the row; also the axis of the tags and the columns.
+    ``_home`` is the segment a row is for, its own or the next one.
     """
     if back > axis.segment:
         raise ValueError(f"segments of {axis.segment} rows are shorter than {back} rows back")
-    columns = df.columns
     if not axis.dense:
         df = with_ordinal(df, axis, "_ordinal")
         axis = replace(axis, order="_ordinal", dense=True)
@@ -208,12 +210,17 @@ def _windowed(
     homes = F.when(
         place >= axis.segment - back, F.array(F.col("_seg"), F.col("_seg") + 1)
     ).otherwise(F.array("_seg"))
-    rows = rows.withColumn("_home", F.explode(homes))
+    return rows.withColumn("_home", F.explode(homes)), axis
+
+
+def _windowed(
+    rows: DataFrame, axis: Axis, build: Callable[[WindowSpec], Mapping[str, Column]]
+) -> tuple[DataFrame, list[str]]:
+    """Window expressions of homed rows, which then lie together by series and segment; also their names."""
     window = Window.partitionBy(*axis.series, "_home").orderBy(axis.order)
     added = dict(build(window))
     # Filtered after the windows: copies serve as neighbours only.
-    own = rows.withColumns(added).filter("_seg = _home")
-    return own, axis, [*columns, *[n for n in added if n not in columns]]
+    return rows.withColumns(added).filter("_seg = _home"), list(added)
 
 
 def over_rows(
@@ -223,8 +230,9 @@ def over_rows(
     build: Callable[[WindowSpec], Mapping[str, Column]],
 ) -> DataFrame:
     """Add window expressions that look at no more than ``back`` earlier rows."""
-    rows, axis, columns = _windowed(df, axis, back, build)
-    return rows.select(*axis.restore(columns))
+    homed, axis = _homed(df, axis, back)
+    rows, added = _windowed(homed, axis, build)
+    return rows.select(*axis.restore([*df.columns, *[n for n in added if n not in df.columns]]))
 
 
 def over_rows_filled(
@@ -237,13 +245,27 @@ def over_rows_filled(
     """``over_rows``, more columns of each row alone, and a backward fill, with one shuffle of rows.
 
     The fill finds the rows of a segment where the windows left them; what it takes from later
-    segments is read from that shuffle as well.
+    segments is read from that shuffle as well. For that, windows run over series of several
+    segments only; where there are none, what the fill carries falls away at run time.
     """
-    rows, tagged, columns = _windowed(df, axis, back, build)
-    wide = extend(rows)
+    homed, tagged = _homed(df, axis, back)
+    rows, added = _windowed(homed, tagged, build)
+    wide, long = extend(rows), None
+    if back:
+        # Neighbouring segments have copies of rows before them, or a last place that is taken. Plain
+        # columns go into the window: an expression would be added to the rows before their shuffle.
+        group = Window.partitionBy(*tagged.series, "_home").orderBy(tagged.order)
+        group = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ends = homed.withColumns({"_first": F.min("_seg").over(group), "_last": F.max(tagged.order).over(group)})
+        last = F.pmod(replace(tagged, order="_last").position(ends), F.lit(axis.segment))
+        several = ends.filter((F.col("_first") < F.col("_home")) | (last == axis.segment - 1))
+        several = several.drop("_first", "_last")
+        long = extend(_windowed(several, tagged, build)[0])
+    columns = [*df.columns, *[n for n in added if n not in df.columns]]
     columns += [c for c in wide.columns if c not in rows.columns]
     filled = [c for c in columns if c not in (axis.order, *axis.keys)]
-    return _fill_rows(wide, filled, tagged, "_home", forward=False).select(*tagged.restore(columns))
+    rows = _fill_rows(wide, filled, tagged, "_home", forward=False, long=long)
+    return rows.select(*tagged.restore(columns))
 
 
 Names = str | Sequence[str]

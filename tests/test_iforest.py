@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from pulsegrid.functions.hashing import least_digits
 from pulsegrid.operators import iforest
 
 
@@ -71,6 +72,23 @@ def test_trees_draw_independently_from_all_rows(spark):
     assert rows == 256_000 and abs(distinct - 144_400) < 1500
 
 
+def test_rows_that_no_tree_picks_leave_before_their_draws(spark):
+    """By the hash of one draw, compared as text: no step, pick or tree is tried for them."""
+    df = spark.range(200_000).withColumnRenamed("id", "k")
+    plan = iforest.tree_samples(df, "k", trees=10, psi=16)._jdf.queryExecution().optimizedPlan().toString()
+    first = [line for line in plan.splitlines() if "Filter" in line][-1]
+    assert "md5" in first and "lambda" not in first and "conv(" not in first and "explode" not in first
+
+
+@pytest.mark.parametrize("p", [0.0, 1e-17, 0.25, 0.3, 1 - 2**-52, 1 - 2**-53, 1.0])
+def test_draws_reach_a_step_as_text(p):
+    """Text above and below the first digits of a step, and the numbers they stand for."""
+    least = least_digits(p)
+    near = [0, 1, 2**52 - 1] + [n + d for n in [int(p * 2**52)] for d in (-1, 0, 1)]
+    for n in [n for n in near if 0 <= n < 2**52]:
+        assert (least is not None and least <= f"{n:013x}") == (p <= n / 2**52)
+
+
 def test_repeated_keys_widen_the_draw(spark):
     df = spark.range(20_000).select((F.col("id") % 50).alias("k"), F.col("id").cast("double").alias("a"))
     fitted = iforest.fit_iforest(df, ["a"], "k", trees=5, psi=64, contamination=None)

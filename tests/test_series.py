@@ -305,3 +305,19 @@ def test_feature_stage_moves_its_rows_once(spark):
     assert len({line.split("plan_id=")[1] for line in moved}) <= 2 and "ReusedExchange" in plan
     # One exchange holds rows; what else is dealt out by segment are the ends of segments.
     assert sum("SinglePartition" in line for line in plan.splitlines()) == 0
+
+
+@pytest.mark.parametrize("segment", [30, 1000])
+def test_feature_stage_reads_only_long_series_for_what_it_carries(spark, segment):
+    """Series of one segment carry nothing: windows run once and no rows are joined."""
+    frame = spark.range(120).select(
+        (F.col("id") % 3).alias("k"), F.floor(F.col("id") / 3).alias("i"),
+        F.when(F.col("id") >= 117, 5.0).alias("temperature"),
+        *[F.lit(None).cast("double").alias(c) for c in ("voltage", "current")],
+    )
+    axis = series.Axis(order="i", keys=("k",), dense=True, segment=segment)
+    df = features.engineer_features(frame, axis)
+    assert {r.temperature for r in df.collect()} == {5.0} and df.count() == 120
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Forward windows and the fill behind them; where series are long, both sides of a join.
+    assert (plan.count("Join") == 0 and plan.count("Window") == 2) == (segment == 1000)
