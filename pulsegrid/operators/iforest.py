@@ -42,6 +42,8 @@ EULER_GAMMA = 0.5772156649015329
 DRAW_MARGIN = 4
 # From this rate on every row takes part in every tree.
 FULL_RATE = 0.5
+# Levels scored without looking up nodes: their 7 comparisons fit a byte.
+TOP_LEVELS = 3
 
 NODES = T.StructType(
     [
@@ -206,7 +208,11 @@ class IForestModel:
         )
 
     def packed(self) -> dict[str, np.ndarray]:
-        """All trees in flat arrays; children are absolute positions, leaves point at themselves."""
+        """All trees as complete ones, a row of each array per tree: below place p lie 2p and 2p + 1.
+
+        A leaf goes on as its own child down to the last level, which alone has lengths. As depth is
+        limited, a tree has less than 2 * psi places.
+        """
         nodes = self.nodes.sort_values(["tree", "node"])
         sizes = nodes.groupby("tree").size()
         roots = np.concatenate([[0], np.cumsum(sizes.to_numpy())[:-1]])
@@ -214,36 +220,57 @@ class IForestModel:
         own = np.arange(len(nodes))
         leaf = nodes["feature"].to_numpy() < 0
         depth = nodes["depth"].to_numpy(dtype=float)
+        levels = int(depth.max()) if len(depth) else 0
+        children = [np.where(leaf, own, base + nodes[side]) for side in ("left", "right")]
+        children = np.stack(children, axis=1)
+        feature = np.where(leaf, 0, nodes["feature"])
+        threshold = nodes["threshold"].to_numpy(dtype=float)
+        length = np.where(leaf, depth + average_path(nodes["n"]), 0.0)
+        features = np.zeros((len(roots), 1 << levels), dtype=np.intp)
+        thresholds = np.zeros(features.shape)
+        at = roots[:, None]
+        for level in range(levels):
+            places = slice(1 << level, 2 << level)
+            features[:, places], thresholds[:, places] = feature[at], threshold[at]
+            at = children[at].reshape(len(roots), -1)
         return {
-            "roots": roots,
-            "feature": np.where(leaf, 0, nodes["feature"]),
-            "threshold": nodes["threshold"].to_numpy(dtype=float),
-            # Both children of node i, left then right, at 2 * i.
-            "children": np.stack(
-                [
-                    np.where(leaf, own, base + nodes["left"]),
-                    np.where(leaf, own, base + nodes["right"]),
-                ],
-                axis=1,
-            ).ravel(),
-            "length": np.where(leaf, depth + average_path(nodes["n"]), 0.0),
-            "levels": np.array(int(depth.max()) if len(depth) else 0),
-        }
+            "feature": features, "threshold": thresholds, "length": length[at], "levels": np.array(levels)
+        }
 
 
 def path_lengths(forest: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
     """Mean path length of each row over all trees."""
-    total = np.zeros(len(rows))
-    values = np.ascontiguousarray(rows).ravel()
-    first = np.arange(len(rows)) * rows.shape[1]
-    for root in forest["roots"]:
-        at = np.full(len(rows), root)
-        for _ in range(int(forest["levels"])):
-            value = values.take(first + forest["feature"].take(at))
-            right = value > forest["threshold"].take(at)
-            at = forest["children"].take(2 * at + right)
-        total += forest["length"].take(at)
-    return total / max(len(forest["roots"]), 1)
+    levels, n = int(forest["levels"]), len(rows)
+    # On the top levels rows are compared with every node, column by column, which is quicker than to
+    # look up the node of each row. The results as bits of a number name the place below these levels.
+    top = min(levels, TOP_LEVELS)
+    numbers = np.arange(1 << ((1 << top) - 1))
+    below = np.ones(len(numbers), dtype=np.intp)
+    for _ in range(top):
+        below = 2 * below + ((numbers >> (below - 1)) & 1)
+    columns = np.ascontiguousarray(rows.T, dtype=float)
+    values, row = columns.ravel(), np.arange(n)
+    total, value, limit = np.zeros(n), np.empty(n), np.empty(n)
+    at, cell = np.empty(n, dtype=np.intp), np.empty(n, dtype=np.intp)
+    right, number = np.empty(n, dtype=bool), np.empty(n, dtype=np.uint8)
+    for feature, threshold, length in zip(forest["feature"], forest["threshold"], forest["length"]):
+        number[:] = 0
+        for place in range(1, 1 << top):
+            np.greater(columns[feature[place]], threshold[place], out=right)
+            number |= right.view(np.uint8) << np.uint8(place - 1)
+        below.take(number, out=at, mode="clip")
+        first = feature * n
+        for _ in range(levels - top):
+            first.take(at, out=cell, mode="clip")
+            cell += row
+            values.take(cell, out=value, mode="clip")
+            threshold.take(at, out=limit, mode="clip")
+            np.greater(value, limit, out=right)
+            at += at
+            at += right
+        at -= 1 << levels
+        total += length.take(at, out=limit, mode="clip")
+    return total / max(len(forest["length"]), 1)
 
 
 def fit_iforest(

@@ -156,6 +156,22 @@ def test_top_ties_go_by_file_order(spark):
     assert [r.seq for r in top] == [0, 1, 2, 3, 4]
 
 
+@pytest.mark.parametrize("psi", [1, 2, 4, 8, 40])
+def test_paths_of_shallow_and_deep_trees_equal_a_walk(psi):
+    """Fewer levels than are scored column by column, as many, and more."""
+    rng = np.random.default_rng(psi)
+    depth = math.ceil(math.log2(max(psi, 2)))
+    grown = [(t, *node) for t in range(6)
+             for node in iforest.grow_tree(rng.integers(0, 9, (psi, 3)), depth, iforest.tree_draws(1, t))]
+    nodes = pd.DataFrame(grown, columns=iforest.NODES.names)
+    rows = rng.integers(-1, 11, (200, 3)).astype(float)
+    forest = iforest.IForestModel(nodes, ["a", "b", "c"], psi).packed()
+    trees = [list(part.itertuples()) for _, part in nodes.groupby("tree")]
+    want = [sum(walk(tree, [0, 1, 2], row) for tree in trees) / 6 for row in rows]
+    assert forest["length"].shape[1] <= 2 * psi
+    assert iforest.path_lengths(forest, rows) == pytest.approx(want)
+
+
 def test_constant_table_has_single_node_trees(spark):
     df = spark.range(50).select("id", F.lit(1.0).alias("a"))
     model = iforest.fit_iforest(df, ["a"], key="id", trees=3)
